@@ -43,4 +43,109 @@ def _weather_queries() -> dict[str, tuple[QueryFn, str | None]]:
 
 
 def registry() -> dict[str, tuple[QueryFn, str | None]]:
-    return _weather_queries()
+    out = _weather_queries()
+    out.update(_quality_queries())
+    out.update(_load_queries())
+    out.update(_suite_queries())
+    return out
+
+
+def _quality_queries() -> dict[str, tuple[QueryFn, str | None]]:
+    from cirrus.operators.quality import CHECKS, quality_report
+    from cirrus.sources.derived import dirty_readings
+
+    def dirty_events(spark, sf_dir):
+        return dirty_readings(events_readings(spark, sf_dir))
+
+    def dirty_orders(spark, sf_dir):
+        return dirty_readings(orders_readings(spark, sf_dir))
+
+    out: dict[str, tuple[QueryFn, str | None]] = {
+        "quality_report": (lambda s, d: quality_report(dirty_events(s, d)), O.report_sql("dirty", "E")),
+        "quality_report_clean": (lambda s, d: quality_report(events_readings(s, d)), O.report_sql("readings", "E")),
+        "quality_report_orders": (lambda s, d: quality_report(dirty_orders(s, d)), O.report_sql("dirty", "O")),
+    }
+    for name in CHECKS:
+        out[f"check_{name}"] = (
+            (lambda n: lambda s, d: quality_report(dirty_events(s, d), [n]))(name),
+            O.report_sql("dirty", "E", [name]),
+        )
+    return out
+
+
+# Stored part of the incremental examples: readings before this instant are
+# "already loaded"; the rest of the source arrives incrementally.
+INCREMENTAL_SPLIT = dt.datetime(2024, 1, 21, 0, 0, 0)
+_SPLIT_SQL = "TIMESTAMP '2024-01-21 00:00:00'"
+
+
+def _load_queries() -> dict[str, tuple[QueryFn, str | None]]:
+    from pyspark.sql import functions as F
+
+    from cirrus.streaming.incremental import mark_of, newer_than
+
+    def stored(r: DataFrame) -> DataFrame:
+        return r.filter(F.col("recorded_at") < F.lit(INCREMENTAL_SPLIT))
+
+    def incremental_load(spark, sf_dir):
+        r = events_readings(spark, sf_dir)
+        return newer_than(r, stored(r))
+
+    def incremental_run(spark, sf_dir):
+        r = events_readings(spark, sf_dir)
+        return stored(r).unionByName(newer_than(r, stored(r)))
+
+    mark = f"(SELECT MAX(recorded_at) FROM readings WHERE recorded_at < {_SPLIT_SQL})"
+    return {
+        "high_water_mark": (
+            lambda s, d: mark_of(events_readings(s, d)),
+            O.with_fixture("E", "SELECT MAX(recorded_at) AS last_loaded FROM readings"),
+        ),
+        "incremental_load": (
+            incremental_load,
+            O.with_fixture("E", f"SELECT * FROM readings WHERE {mark} IS NULL OR recorded_at > {mark}"),
+        ),
+        "incremental_run": (
+            incremental_run,
+            O.with_fixture(
+                "E",
+                f"SELECT * FROM readings WHERE recorded_at < {_SPLIT_SQL} UNION ALL "
+                f"SELECT * FROM readings WHERE {mark} IS NULL OR recorded_at > {mark}",
+            ),
+        ),
+    }
+
+
+def _suite_queries() -> dict[str, tuple[QueryFn, str | None]]:
+    from pyspark.sql import functions as F
+
+    from cirrus.operators.quality import quality_report, report_summary
+    from cirrus.plans.suite import run_suite
+    from cirrus.sources.derived import dirty_readings
+
+    def suite_status(spark, sf_dir):
+        queries = dict(W.QUERIES)
+        queries["data_freshness_per_city"] = lambda r: W.data_freshness_per_city(r, FRESHNESS_AS_OF)
+        _, status = run_suite(events_readings(spark, sf_dir), queries)
+        return status.select("query_name", "status", "row_count")
+
+    def summary(spark, sf_dir):
+        s = report_summary(quality_report(dirty_readings(events_readings(spark, sf_dir))))
+        return s.withColumn("failed_checks", F.concat_ws(",", "failed_checks"))
+
+    arms = []
+    for name in W.QUERIES:
+        ctes, body = O.QUERY_SQL[name]
+        body = body.replace("{as_of}", O.FRESHNESS_AS_OF_SQL)
+        inner = (f"WITH {ctes} " if ctes else "") + body
+        arms.append(f"SELECT '{name}' AS query_name, 'ok' AS status, COUNT(*) AS row_count FROM ({inner}) q")
+    suite_sql = O.with_fixture("E", "\nUNION ALL\n".join(arms))
+    checks = O.report_sql("dirty", "E")
+    summary_sql = (
+        "SELECT bool_and(passed) AS passed, CAST(COUNT(*) FILTER (WHERE passed) AS BIGINT) AS passed_checks, "
+        "CAST(COUNT(*) AS BIGINT) AS total_checks, "
+        "CAST(COUNT(*) FILTER (WHERE passed) AS VARCHAR) || '/' || CAST(COUNT(*) AS VARCHAR) || ' checks passed' "
+        "AS summary, string_agg(CASE WHEN NOT passed THEN check_name END, ',' ORDER BY check_order) "
+        f"AS failed_checks FROM ({checks}) rep"
+    )
+    return {"run_suite": (suite_status, suite_sql), "quality_summary": (summary, summary_sql)}
