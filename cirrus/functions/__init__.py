@@ -1,35 +1,39 @@
 from cirrus.functions.expr import (
     band,
     band_sql,
-    day_start,
-    exact_mean,
+    day_start_sql,
     exact_mean_sql,
-    exact_sum_units,
-    guarded_corr,
-    hour_index,
-    hour_of_day,
-    hours_crossed,
+    exact_sum_units_sql,
+    guarded_corr_sql,
+    hour_index_sql,
+    hour_of_day_sql,
+    hours_crossed_sql,
     lookup,
     lookup_sql,
-    month_start,
-    period_start,
+    mean_from_sql,
+    month_start_sql,
+    period_start_sql,
+    q,
+    round_sql,
     round_to,
 )
 
 __all__ = [
     "band",
     "band_sql",
-    "day_start",
-    "exact_mean",
+    "day_start_sql",
     "exact_mean_sql",
-    "exact_sum_units",
-    "guarded_corr",
-    "hour_index",
-    "hour_of_day",
-    "hours_crossed",
+    "exact_sum_units_sql",
+    "guarded_corr_sql",
+    "hour_index_sql",
+    "hour_of_day_sql",
+    "hours_crossed_sql",
     "lookup",
     "lookup_sql",
-    "month_start",
-    "period_start",
+    "mean_from_sql",
+    "month_start_sql",
+    "period_start_sql",
+    "q",
+    "round_sql",
     "round_to",
 ]

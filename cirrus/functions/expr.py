@@ -1,23 +1,36 @@
-"""Column expressions shared by the operators.
+"""Expressions shared by the operators, as Spark SQL text.
 
 All of them are built-in Spark expressions (JVM side, inside whole-stage
-codegen); none is a Python UDF.
+codegen); none is a Python UDF.  They are produced as SQL text and turned
+into plans with ``selectExpr`` / ``F.expr``: one driver->JVM call per
+expression instead of one per node, which keeps planning cheap for the
+wide projections of a fused suite.  ``*_col`` variants return Columns.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_EPOCH = _dt.date(1970, 1, 1)
 
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
-def col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+
+def lit(v) -> str:
+    """SQL literal for a Python number or string."""
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, float):
+        return f"{v!r}D"
+    return str(v)
+
+
+def _d(x: float) -> str:
+    return f"{float(x)!r}D"
 
 
 # ---------------------------------------------------------------------------
@@ -25,17 +38,26 @@ def col(c: str | Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def round_to(x: str | Column, digits: int) -> Column:
+def round_sql(x: str, digits: int) -> str:
     """Round a double to ``digits`` decimals by scale, round, unscale.
 
-    ``F.round(x, n)`` rounds the decimal text of ``x`` (1.005 -> 1.01), while
+    ``round(x, n)`` rounds the decimal text of ``x`` (1.005 -> 1.01), while
     SQL engines that scale in binary give 1.0.  Rounding the scaled value to
     an integer gives the binary result in Spark as well.  The magnitude is
-    rounded and the sign put back, so -0.004 gives -0.0 as in IEEE rounding
-    (Spark's decimal rounding would drop the sign of zero).
+    rounded and the sign put back, so -0.004 gives -0.0 as IEEE rounding does
+    (decimal rounding would drop the sign of zero).
     """
+    m = _d(10**digits)
+    y = f"(({x}) * {m})"
+    return f"(CASE WHEN {y} < 0 THEN -ROUND(-{y}) ELSE ROUND({y}) END / {m})"
+
+
+def round_to(x: str | Column, digits: int) -> Column:
+    """Column form of ``round_sql`` (a name or a Column)."""
+    if isinstance(x, str):
+        return F.expr(round_sql(q(x), digits))
     m = float(10**digits)
-    y = col(x) * F.lit(m)
+    y = x * F.lit(m)
     return F.when(y < 0, -F.round(-y)).otherwise(F.round(y)) / F.lit(m)
 
 
@@ -44,32 +66,29 @@ def round_to(x: str | Column, digits: int) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def exact_sum_units(x: str | Column, decimals: int) -> Column:
+def exact_sum_units_sql(x: str, decimals: int) -> str:
     """Sum of ``x`` in integer units of ``10**-decimals``.
 
     Integer addition is associative, so the result does not depend on how
-    the rows were split over tasks (a floating-point sum does, in its last
-    bits, which flips rounded averages).  Values must carry at most
-    ``decimals`` decimals; under ANSI mode an overflow raises instead of
-    wrapping.
+    rows were split over tasks (a floating-point sum does, in its last bits,
+    which flips rounded averages).  Values must carry at most ``decimals``
+    decimals; under ANSI mode an overflow raises instead of wrapping.
     """
-    c = col(x)
     if decimals == 0:
-        return F.sum(c.cast("bigint"))
-    return F.sum(F.round(c * F.lit(float(10**decimals))).cast("bigint"))
+        return f"SUM(CAST({x} AS BIGINT))"
+    return f"SUM(CAST(ROUND(({x}) * {_d(10**decimals)}) AS BIGINT))"
 
 
-def exact_mean(x: str | Column, decimals: int) -> Column:
-    """Mean of ``x`` from an exact integer sum; NULL when no value is set."""
-    c = col(x)
-    total = exact_sum_units(c, decimals).cast("double")
+def mean_from_sql(sum_units: str, count: str, decimals: int) -> str:
+    """Mean from an integer-unit sum and a count; NULL for a zero count."""
+    total = f"CAST({sum_units} AS DOUBLE)"
     if decimals:
-        total = total / F.lit(float(10**decimals))
-    return total / F.nullif(F.count(c), F.lit(0))
+        total = f"{total} / {_d(10**decimals)}"
+    return f"({total} / CAST(NULLIF({count}, 0) AS DOUBLE))"
 
 
 def exact_mean_sql(x: str, decimals: int) -> str:
-    """The same mean as SQL text (for oracle queries)."""
+    """The whole exact mean as one aggregate expression (also valid DuckDB)."""
     if decimals == 0:
         return f"CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
     m = 10**decimals
@@ -81,22 +100,17 @@ def exact_mean_sql(x: str, decimals: int) -> str:
 # ---------------------------------------------------------------------------
 
 
-def guarded_corr(x: str | Column, y: str | Column) -> Column:
-    """Pearson correlation over complete (x, y) pairs.
+def guarded_corr_sql(x: str, y: str) -> str:
+    """Pearson correlation over complete (x, y) pairs, as an aggregate.
 
     NULL when there is no complete pair; NaN when either side has zero
     variance (one pair included).  Spark's ``corr`` raises on a zero
     denominator under ANSI mode and returns NULL for a single pair.
     """
-    cx, cy = col(x), col(y)
-    complete = cx.isNotNull() & cy.isNotNull()
-    xs = F.when(complete, cx)
-    ys = F.when(complete, cy)
-    denom = F.nullif(F.stddev_pop(xs) * F.stddev_pop(ys), F.lit(0.0))
-    r = F.covar_pop(xs, ys) / denom
-    return F.when(F.count_if(complete) == 0, F.lit(None).cast("double")).otherwise(
-        F.coalesce(r, F.lit(float("nan")))
-    )
+    ok = f"({x} IS NOT NULL AND {y} IS NOT NULL)"
+    xs, ys = f"CASE WHEN {ok} THEN {x} END", f"CASE WHEN {ok} THEN {y} END"
+    r = f"COVAR_POP({xs}, {ys}) / NULLIF(STDDEV_POP({xs}) * STDDEV_POP({ys}), 0D)"
+    return f"(CASE WHEN COUNT_IF({ok}) = 0 THEN CAST(NULL AS DOUBLE) ELSE COALESCE({r}, CAST('NaN' AS DOUBLE)) END)"
 
 
 # ---------------------------------------------------------------------------
@@ -104,39 +118,38 @@ def guarded_corr(x: str | Column, y: str | Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def day_start(ts: str | Column) -> Column:
+def day_start_sql(ts: str) -> str:
     """Midnight of the day of ``ts`` as a naive timestamp."""
-    return F.to_date(col(ts)).cast(T.TimestampNTZType())
+    return f"CAST(TO_DATE({ts}) AS TIMESTAMP_NTZ)"
 
 
-def month_start(ts: str | Column) -> Column:
+def month_start_sql(ts: str) -> str:
     """First midnight of the month of ``ts`` as a naive timestamp."""
-    return F.trunc(F.to_date(col(ts)), "MM").cast(T.TimestampNTZType())
+    return f"CAST(TRUNC(TO_DATE({ts}), 'MM') AS TIMESTAMP_NTZ)"
+
 
+def hour_of_day_sql(ts: str) -> str:
+    return f"CAST(HOUR({ts}) AS BIGINT)"
 
-def period_start(ts: str | Column, period: str) -> Column:
+
+def period_start_sql(ts: str, period: str) -> str:
     if period == "day":
-        return day_start(ts)
+        return day_start_sql(ts)
     if period == "month":
-        return month_start(ts)
+        return month_start_sql(ts)
     if period == "hour":
-        return F.to_timestamp_ntz(F.date_format(col(ts), "yyyy-MM-dd HH:00:00"))
+        return f"({day_start_sql(ts)} + MAKE_DT_INTERVAL(0, HOUR({ts}), 0, 0))"
     raise ValueError(f"unsupported period {period!r}")
 
 
-def hour_of_day(ts: str | Column) -> Column:
-    return F.hour(col(ts)).cast("bigint")
-
-
-def hour_index(ts: str | Column) -> Column:
+def hour_index_sql(ts: str) -> str:
     """Whole hours since 1970-01-01 00:00 of the hour ``ts`` falls in."""
-    days = F.datediff(F.to_date(col(ts)), F.lit(_EPOCH))
-    return days.cast("bigint") * F.lit(24) + F.hour(col(ts)).cast("bigint")
+    return f"(CAST(DATEDIFF(TO_DATE({ts}), DATE'1970-01-01') AS BIGINT) * 24 + CAST(HOUR({ts}) AS BIGINT))"
 
 
-def hours_crossed(start: str | Column, end: str | Column) -> Column:
+def hours_crossed_sql(start: str, end: str) -> str:
     """Hour boundaries crossed from ``start`` to ``end`` (10:59 -> 11:01 is 1)."""
-    return hour_index(end) - hour_index(start)
+    return f"({hour_index_sql(end)} - {hour_index_sql(start)})"
 
 
 # ---------------------------------------------------------------------------
@@ -144,31 +157,21 @@ def hours_crossed(start: str | Column, end: str | Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def band(x: str | Column, bands: Sequence[tuple[float, str]], otherwise: str) -> Column:
+def band_sql(x: str, bands: Iterable[tuple[float, str]], otherwise: str) -> str:
     """First label whose (exclusive) upper bound exceeds ``x``; NULL -> otherwise."""
-    c = col(x)
-    expr = None
-    for bound, label in bands:
-        cond = c < F.lit(bound)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return F.lit(otherwise) if expr is None else expr.otherwise(F.lit(otherwise))
+    arms = " ".join(f"WHEN {x} < {b} THEN {lit(lab)}" for b, lab in bands)
+    return f"CASE {arms} ELSE {lit(otherwise)} END"
 
 
-def lookup(x: str | Column, mapping: Mapping[str, str], otherwise: str) -> Column:
+def lookup_sql(x: str, mapping: Mapping[str, str], otherwise: str) -> str:
     """Value of ``mapping`` at ``x``; unknown or NULL keys -> otherwise."""
-    c = col(x)
-    expr = None
-    for k, v in mapping.items():
-        cond = c == F.lit(k)
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return F.lit(otherwise) if expr is None else expr.otherwise(F.lit(otherwise))
+    arms = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"CASE {x} {arms} ELSE {lit(otherwise)} END"
 
 
-def band_sql(x: str, bands: Iterable[tuple[float, str]], otherwise: str) -> str:
-    arms = " ".join(f"WHEN {x} < {b} THEN '{lab}'" for b, lab in bands)
-    return f"CASE {arms} ELSE '{otherwise}' END"
+def band(x: str, bands: Sequence[tuple[float, str]], otherwise: str) -> Column:
+    return F.expr(band_sql(q(x), bands, otherwise))
 
 
-def lookup_sql(x: str, mapping: Mapping[str, str], otherwise: str) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
-    return f"CASE {x} {arms} ELSE '{otherwise}' END"
+def lookup(x: str, mapping: Mapping[str, str], otherwise: str) -> Column:
+    return F.expr(lookup_sql(q(x), mapping, otherwise))

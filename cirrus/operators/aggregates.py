@@ -1,22 +1,37 @@
-"""Grouped statistics: the building block of every profile-style operator.
+"""Grouped statistics: the building block of every aggregate operator.
 
-A ``Stat`` names one output column.  ``grouped_stats`` turns a list of them
-into a single ``groupBy().agg()`` (one partial + one final aggregate, map-side
-combined, so a hot key costs one row per task in the shuffle), then rounds in
-a projection above the aggregate.  Unrounded values stay available under
-``raw_name(alias)`` for ranking, banding and HAVING, which work on them.
+An aggregate operator is an ``AggSpec``: the grouping keys, the columns to
+derive before grouping (calendar buckets, bands, differences), the aggregate
+*buffers* it needs (named canonically, e.g. ``__min__temperature``) and a
+``finish`` function that turns the aggregated frame (keys + buffers) into the
+result (rounding, windows over the aggregate, HAVING, ordering).
+
+* ``run_spec`` runs one spec as ``groupBy(keys).agg(buffers)``: one partial
+  aggregate per task (map-side combine, so a hot key costs one row per task
+  in the shuffle) and one final aggregate.
+* ``run_specs_fused`` runs many specs over the same input as a single
+  ``GROUPING SETS`` aggregate: one scan and one shuffle for all of them;
+  buffers with the same name are shared between specs.
+
+Means are exact at a fixed decimal scale (integer sums, see
+``functions.expr.exact_sum_units_sql``), which also makes them mergeable: a
+coarser grouping can be re-aggregated from a finer one without error.
+
+Expressions are SQL text (see ``functions.expr``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cirrus.functions.expr import exact_mean, round_to
+from cirrus.functions.expr import exact_sum_units_sql, mean_from_sql, q, round_sql
+from cirrus.session import ensure_checkpoint_dir
 
 _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
 
@@ -25,8 +40,7 @@ _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
 class Stat:
     """One aggregate output.
 
-    kind: avg | min | max | range | stddev_samp | stddev_pop | count |
-          count_distinct | sum
+    kind: avg | min | max | range | stddev_samp | stddev_pop | count | sum
     column: input column (None for count)
     alias: output name
     digits: decimals of the rounded output (fractional results only)
@@ -38,6 +52,14 @@ class Stat:
     digits: int = 2
 
 
+@dataclass
+class AggSpec:
+    keys: tuple[str, ...]
+    buffers: dict[str, str]  # name -> aggregate SQL
+    finish: Callable[[DataFrame], DataFrame]
+    derived: dict[str, str] = field(default_factory=dict)  # name -> row-level SQL
+
+
 def raw_name(alias: str) -> str:
     return f"__raw_{alias}"
 
@@ -46,60 +68,202 @@ def is_fractional(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, _FRACTIONAL)
 
 
-def _raw_expr(df: DataFrame, s: Stat, decimals: int | None) -> tuple[Column, bool]:
-    """Aggregate expression for ``s`` and whether its result is fractional."""
+def column_type(df: DataFrame, column: str, derived: Mapping[str, str]) -> bool:
+    """Whether ``column`` (possibly a derived one) is fractional."""
+    if column in df.columns:
+        return is_fractional(df, column)
+    return isinstance(df.selectExpr(derived[column]).schema[0].dataType, _FRACTIONAL)
+
+
+# ---------------------------------------------------------------------------
+# Buffers and values
+# ---------------------------------------------------------------------------
+
+
+def _scale(frac: bool, decimals: int | None) -> int | None:
+    """Decimal scale of the exact mean; None = floating ``avg``."""
+    if frac and decimals is None:
+        return None
+    return decimals if frac else 0
+
+
+def mean_buffers(column: str, frac: bool, decimals: int | None) -> dict[str, str]:
+    s = _scale(frac, decimals)
+    if s is None:
+        return {f"__avg__{column}": f"AVG({q(column)})"}
+    return {f"__su{s}__{column}": exact_sum_units_sql(q(column), s), f"__n__{column}": f"COUNT({q(column)})"}
+
+
+def mean_value(column: str, frac: bool, decimals: int | None) -> str:
+    s = _scale(frac, decimals)
+    if s is None:
+        return q(f"__avg__{column}")
+    return mean_from_sql(q(f"__su{s}__{column}"), q(f"__n__{column}"), s)
+
+
+_SIMPLE = {"min": "MIN", "max": "MAX", "stddev_samp": "STDDEV_SAMP", "stddev_pop": "STDDEV_POP", "sum": "SUM"}
+_SHORT = {"min": "min", "max": "max", "stddev_samp": "sds", "stddev_pop": "sdp", "sum": "sum"}
+
+
+def stat_buffers(s: Stat, frac: bool, decimals: int | None) -> dict[str, str]:
+    c = s.column
     if s.kind == "count":
-        return F.count(F.lit(1)), False
-    c = F.col(s.column)
-    frac = is_fractional(df, s.column)
+        return {"__rows": "COUNT(1)"}
     if s.kind == "avg":
-        if decimals is None and frac:
-            return F.avg(c), True
-        return exact_mean(c, decimals if frac else 0), True
-    if s.kind == "min":
-        return F.min(c), frac
-    if s.kind == "max":
-        return F.max(c), frac
+        return mean_buffers(c, frac, decimals)
     if s.kind == "range":
-        return F.max(c) - F.min(c), frac
-    if s.kind == "stddev_samp":
-        return F.stddev_samp(c), True
-    if s.kind == "stddev_pop":
-        return F.stddev_pop(c), True
-    if s.kind == "count_distinct":
-        return F.count_distinct(c), False
-    if s.kind == "sum":
-        return F.sum(c), frac
+        return {f"__min__{c}": f"MIN({q(c)})", f"__max__{c}": f"MAX({q(c)})"}
+    if s.kind in _SIMPLE:
+        return {f"__{_SHORT[s.kind]}__{c}": f"{_SIMPLE[s.kind]}({q(c)})"}
     raise ValueError(f"unknown stat kind {s.kind!r}")
 
 
-def grouped_stats(
+def stat_value(s: Stat, frac: bool, decimals: int | None) -> str:
+    c = s.column
+    if s.kind == "count":
+        return q("__rows")
+    if s.kind == "avg":
+        return mean_value(c, frac, decimals)
+    if s.kind == "range":
+        return f"({q(f'__max__{c}')} - {q(f'__min__{c}')})"
+    if s.kind in _SIMPLE:
+        return q(f"__{_SHORT[s.kind]}__{c}")
+    raise ValueError(f"unknown stat kind {s.kind!r}")
+
+
+def _is_frac_result(s: Stat, frac: bool) -> bool:
+    return s.kind in ("avg", "stddev_samp", "stddev_pop") or (s.kind != "count" and frac)
+
+
+def stats_spec(
     df: DataFrame,
-    keys: Sequence[str | Column],
+    keys: Sequence[str],
     stats: Sequence[Stat],
     decimals: int | None = None,
     keep_raw: Sequence[str] = (),
-) -> DataFrame:
-    """``groupBy(keys).agg(stats)`` with rounded outputs.
+    derived: Mapping[str, str] | None = None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
+) -> AggSpec:
+    """Spec producing ``keys + [s.alias ...] (+ raw_name(k) for k in keep_raw)``.
 
-    ``decimals``: when set, means are computed exactly from integer sums at
-    that scale (order independent); None uses Spark's floating ``avg``.
-    ``keep_raw``: aliases whose unrounded value is kept as ``raw_name``.
+    Fractional results are rounded to ``s.digits``; integer ones are not.
+    ``then`` post-processes the rounded frame (windows, HAVING, ordering).
     """
-    aggs, frac = [], {}
-    for s in stats:
-        e, is_frac = _raw_expr(df, s, decimals)
-        aggs.append(e.alias(raw_name(s.alias)))
-        frac[s.alias] = is_frac
-    g = df.groupBy(*keys).agg(*aggs)
-    # groupBy emits the grouping columns first, in order.
-    out = [F.col(c) for c in g.columns[: len(keys)]]
+    derived = dict(derived or {})
+    buffers: dict[str, str] = {}
+    cols = [q(k) for k in keys]
+    raws = []
+    types: dict[str, bool] = {}
     for s in stats:
-        r = F.col(raw_name(s.alias))
-        out.append((round_to(r, s.digits) if frac[s.alias] else r).alias(s.alias))
-    out += [F.col(raw_name(a)) for a in keep_raw]
-    return g.select(*out)
+        frac = False
+        if s.column is not None:
+            if s.column not in types:
+                types[s.column] = column_type(df, s.column, derived)
+            frac = types[s.column]
+        buffers.update(stat_buffers(s, frac, decimals))
+        v = stat_value(s, frac, decimals)
+        cols.append(f"{round_sql(v, s.digits) if _is_frac_result(s, frac) else v} AS {q(s.alias)}")
+        if s.alias in keep_raw:
+            raws.append(f"{v} AS {q(raw_name(s.alias))}")
+
+    def finish(g: DataFrame) -> DataFrame:
+        out = g.selectExpr(*cols, *raws)
+        return then(out) if then else out
+
+    return AggSpec(tuple(keys), buffers, finish, derived)
+
+
+# ---------------------------------------------------------------------------
+# Execution
+# ---------------------------------------------------------------------------
+
+
+def with_derived(df: DataFrame, derived: Mapping[str, str]) -> DataFrame:
+    new = [f"{t} AS {q(n)}" for n, t in derived.items() if n not in df.columns]
+    return df.selectExpr("*", *new) if new else df
+
+
+def _aggs(buffers: Mapping[str, str]):
+    return [F.expr(f"{t} AS {q(n)}") for n, t in buffers.items()]
+
+
+def run_spec(df: DataFrame, spec: AggSpec) -> DataFrame:
+    """One spec as a plain ``groupBy().agg()``."""
+    src = with_derived(df, spec.derived)
+    return spec.finish(src.groupBy(*spec.keys).agg(*_aggs(spec.buffers)))
+
+
+# Largest shared aggregate finished in a single task.  A single-partition
+# input satisfies every distribution, so the finishing windows and sorts then
+# need no exchange (and no range-sampling job); above it they stay
+# distributed.
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def run_specs_fused(
+    df: DataFrame, specs: Mapping[str, AggSpec], persist: bool = True, single_task_rows: int = SINGLE_TASK_ROWS
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Run several specs over ``df`` in one GROUPING SETS aggregate.
+
+    Returns the results by name and the shared aggregate (checkpointed: it
+    holds one row per group of every set, i.e. as many rows as the results
+    together).  ``grouping_id`` tells the sets apart, so genuine NULL keys in
+    the data are not confused with the NULLs of keys outside a set.
+    """
+    derived: dict[str, str] = {}
+    buffers: dict[str, str] = {}
+    all_keys: list[str] = []
+    sets: list[tuple[str, ...]] = []
+    for spec in specs.values():
+        derived.update(spec.derived)
+        buffers.update(spec.buffers)
+        for k in spec.keys:
+            if k not in all_keys:
+                all_keys.append(k)
+        if spec.keys not in sets:
+            sets.append(spec.keys)
+    src = with_derived(df, derived)
+    agg = src.groupingSets([list(s) for s in sets], *all_keys).agg(
+        *_aggs(buffers), F.expr("GROUPING_ID() AS __gid")
+    )
+    if persist:
+        # Persist, then checkpoint into the session's checkpoint folder: the
+        # aggregate is computed once, its lineage (the scan) is cut, and the
+        # results below are planned against a small leaf instead of the
+        # whole grouping-sets plan.
+        ensure_checkpoint_dir(df.sparkSession)
+        agg = agg.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
+        agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
+        if agg.count() <= single_task_rows:
+            agg = agg.coalesce(1)
+    n = len(all_keys)
+    out = {}
+    for name, spec in specs.items():
+        # grouping_id: bit (n-1-i) is set when key i is NOT grouped in the set.
+        gid = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in spec.keys)
+        part = agg.where(f"__gid = {gid}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
+        out[name] = spec.finish(part)
+    return out, agg
+
+
+def grouped_stats(
+    df: DataFrame,
+    keys: Sequence[str],
+    stats: Sequence[Stat],
+    decimals: int | None = None,
+    keep_raw: Sequence[str] = (),
+) -> DataFrame:
+    """``groupBy(keys).agg(stats)`` with rounded outputs (see ``stats_spec``)."""
+    return run_spec(df, stats_spec(df, keys, stats, decimals, keep_raw))
 
 
 def drop_raw(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.startswith("__raw_")])
+
+
+def asc(*names: str):
+    return [F.asc_nulls_last(n) for n in names]
+
+
+def desc(*names: str):
+    return [F.desc_nulls_last(n) for n in names]

@@ -5,44 +5,57 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cirrus.functions.expr import exact_mean, guarded_corr, round_to
-from cirrus.operators.aggregates import Stat, grouped_stats, is_fractional
+from cirrus.functions.expr import guarded_corr_sql, q, round_sql
+from cirrus.operators.aggregates import AggSpec, asc, column_type, desc, mean_buffers, mean_value, run_spec
 from cirrus.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 
 
-def grouped_correlation(
-    df: DataFrame,
-    keys: Sequence[str],
-    x: str,
-    y: str,
-    corr_alias: str,
-    decimals: int | None = None,
-) -> DataFrame:
+def grouped_correlation_spec(
+    df: DataFrame, keys: Sequence[str], x: str, y: str, corr_alias: str, decimals: int | None = None
+) -> AggSpec:
+    fx, fy = column_type(df, x, {}), column_type(df, y, {})
+    corr = f"__corr__{x}__{y}"
+    buffers = {corr: guarded_corr_sql(q(x), q(y)), **mean_buffers(x, fx, decimals), **mean_buffers(y, fy, decimals)}
+
+    def finish(g: DataFrame) -> DataFrame:
+        out = g.selectExpr(
+            *[q(k) for k in keys],
+            f"{round_sql(q(corr), 4)} AS {q(corr_alias)}",
+            f"{round_sql(mean_value(x, fx, decimals), 2)} AS {q('avg_' + x)}",
+            f"{round_sql(mean_value(y, fy, decimals), 2)} AS {q('avg_' + y)}",
+        )
+        return out.orderBy(*desc(corr_alias))
+
+    return AggSpec(tuple(keys), buffers, finish)
+
+
+def grouped_correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, corr_alias: str,
+                        decimals: int | None = None) -> DataFrame:
     """Per group: Pearson correlation of x and y (4 decimals) and both means.
 
     Correlation is NaN for zero variance and NULL without complete pairs
-    (see ``guarded_corr``).  Ordered by correlation, highest first.
+    (see ``guarded_corr_sql``).  Ordered by correlation, highest first.
     """
-    corr_raw = "__corr"
-    stats = [Stat("avg", x, f"avg_{x}"), Stat("avg", y, f"avg_{y}")]
-    g = df.groupBy(*keys).agg(
-        guarded_corr(x, y).alias(corr_raw),
-        *[_avg(df, s.column, decimals).alias(s.alias) for s in stats],
-    )
-    out = g.select(
-        *keys,
-        round_to(corr_raw, 4).alias(corr_alias),
-        *[round_to(s.alias, 2).alias(s.alias) for s in stats],
-    )
-    return out.orderBy(F.desc_nulls_last(corr_alias))
+    return run_spec(df, grouped_correlation_spec(df, keys, x, y, corr_alias, decimals))
+
+
+MEAN, SD = "__mean", "__sd"
 
 
-def _avg(df: DataFrame, column: str, decimals: int | None):
-    if decimals is None and is_fractional(df, column):
-        return F.avg(column)
-    return exact_mean(column, (decimals or 0) if is_fractional(df, column) else 0)
+def group_moments_spec(df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None) -> AggSpec:
+    """Per group: mean and sample stddev of ``value`` (columns ``__mean``,
+    ``__sd``); groups without a stddev (fewer than two values) are dropped,
+    since nothing can lie beyond it."""
+    frac = column_type(df, value, {})
+    sds = f"__sds__{value}"
+    buffers = {**mean_buffers(value, frac, decimals), sds: f"STDDEV_SAMP({q(value)})"}
+
+    def finish(g: DataFrame) -> DataFrame:
+        out = g.selectExpr(*[q(k) for k in keys], f"{mean_value(value, frac, decimals)} AS {MEAN}", f"{q(sds)} AS {SD}")
+        return out.where(f"{SD} IS NOT NULL")
+
+    return AggSpec(tuple(keys), buffers, finish)
 
 
 def zscore_outliers(
@@ -55,37 +68,36 @@ def zscore_outliers(
     decimals: int | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     names: Sequence[str] = ("city_mean", "city_stddev", "z_score", "is_anomaly"),
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose ``value`` lies more than ``threshold`` sample stddevs from
     their group mean, highest z-score first, top ``limit``.
 
-    Plan: one aggregate pass for (mean, stddev) per group, size-checked and
-    broadcast into an inner join with the readings (the readings are never
-    shuffled or broadcast), the deviation test as the join's filter, then a
-    per-task top-k merged on the driver (``limit`` rows per task at most).
-    Ties on the rounded z-score are broken by (ts, keys, value) so the
-    selection is deterministic.  Rows with NULL keys never match.
+    Plan: one aggregate pass for (mean, stddev) per group (or ``moments``
+    already computed, e.g. by a fused suite), size-checked and broadcast into
+    an inner join with the readings - the readings are never shuffled or
+    broadcast - the deviation test as the join's filter, then a per-task
+    top-k merged into ``limit`` rows.  Ties on the rounded z-score are broken
+    by (ts, keys, value) so the selection is deterministic.  Rows with NULL
+    keys never match.
     """
     mean_a, sd_a, z_a, flag_a = names
-    m, s = "__mean", "__sd"
-    stats = df.groupBy(*keys).agg(_avg(df, value, decimals).alias(m), F.stddev_samp(value).alias(s))
-    stats = size_checked_broadcast(stats.filter(F.col(s).isNotNull()), max_broadcast_rows)
-    dev = F.abs(F.col(value) - F.col(m))
-    flag = dev > F.lit(float(threshold)) * F.col(s)
-    joined = df.select(*keys, value, ts).join(stats, list(keys), "inner").filter(flag)
-    out = joined.select(
-        *keys,
-        value,
-        ts,
-        round_to(m, 2).alias(mean_a),
-        round_to(s, 2).alias(sd_a),
-        round_to(dev / F.nullif(F.col(s), F.lit(0.0)), 2).alias(z_a),
-        flag.alias(flag_a),
-    )
-    out = out.orderBy(
-        F.desc_nulls_last(z_a),
-        F.asc_nulls_last(ts),
-        *[F.asc_nulls_last(k) for k in keys],
-        F.asc_nulls_last(value),
+    if moments is None:
+        moments = run_spec(df, group_moments_spec(df, keys, value, decimals))
+    stats = size_checked_broadcast(moments, max_broadcast_rows)
+    v = q(value)
+    dev = f"ABS({v} - {MEAN})"
+    flag = f"({dev} > {float(threshold)!r}D * {SD})"
+    joined = df.select(*keys, value, ts).join(stats, list(keys), "inner").where(flag)
+    out = joined.selectExpr(
+        *[q(k) for k in keys],
+        v,
+        q(ts),
+        f"{round_sql(MEAN, 2)} AS {q(mean_a)}",
+        f"{round_sql(SD, 2)} AS {q(sd_a)}",
+        f"{round_sql(f'{dev} / NULLIF({SD}, 0D)', 2)} AS {q(z_a)}",
+        f"{flag} AS {q(flag_a)}",
     )
+    out = out.orderBy(*desc(z_a), *asc(ts, *keys, value))
     return out.limit(limit) if limit is not None else out
+

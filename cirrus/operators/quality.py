@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cirrus import schema as S
+from cirrus.functions.expr import lit, q
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -68,32 +69,26 @@ def _fractional(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
 
 
-def _is_null(df: DataFrame, c: str) -> Column:
+def _is_null(df: DataFrame, c: str) -> str:
     """A missing cell: NULL, or NaN in a floating column."""
-    e = F.col(c).isNull()
-    return e | F.isnan(c) if _fractional(df, c) else e
+    return f"({q(c)} IS NULL OR isnan({q(c)}))" if _fractional(df, c) else f"({q(c)} IS NULL)"
 
 
-def _out_of_range(df: DataFrame, c: str, lo: float, hi: float) -> Column:
+def _out_of_range(df: DataFrame, c: str, lo, hi) -> str:
     """Strictly outside [lo, hi]; NULL and NaN never count (NaN > x is true in Spark)."""
-    v = F.col(c)
-    cond = (v < F.lit(lo)) | (v > F.lit(hi))
-    return cond & ~F.isnan(c) if _fractional(df, c) else cond
+    cond = f"({q(c)} < {lo} OR {q(c)} > {hi})"
+    return f"({cond} AND NOT isnan({q(c)}))" if _fractional(df, c) else cond
 
 
-def _fmt(template: str, n: Column) -> Column:
+def _fmt(template: str, n: str) -> str:
     before, after = template.split("{n}")
-    return F.concat(F.lit(before), n.cast("string"), F.lit(after))
+    return f"concat({lit(before)}, CAST({n} AS STRING), {lit(after)})"
 
 
-def _row(order: int, name: str, passed: Column, message: Column, failed: Column, total: Column) -> Column:
-    return F.struct(
-        F.lit(order).cast("int").alias("check_order"),
-        F.lit(name).alias("check_name"),
-        passed.alias("passed"),
-        message.alias("message"),
-        failed.cast("bigint").alias("failed_records"),
-        total.cast("bigint").alias("total_records"),
+def _row(order: int, name: str, passed: str, message: str, failed: str) -> str:
+    return (
+        f"named_struct('check_order', {order}, 'check_name', {lit(name)}, 'passed', {passed}, "
+        f"'message', {message}, 'failed_records', CAST({failed} AS BIGINT), 'total_records', __total)"
     )
 
 
@@ -104,66 +99,56 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] = S.DUPLICATE_KEY) -> Dat
     the shuffle, so even a key holding a third of all rows costs one row per
     task.
     """
-    per_key = df.groupBy(*keys).agg((F.count(F.lit(1)) - F.lit(1)).alias("extra"))
-    return per_key.agg(F.coalesce(F.sum("extra"), F.lit(0)).cast("bigint").alias("duplicates"))
+    per_key = df.groupBy(*keys).agg(F.expr("COUNT(1) - 1 AS extra"))
+    return per_key.agg(F.expr("CAST(COALESCE(SUM(extra), 0) AS BIGINT) AS duplicates"))
 
 
 def quality_report(df: DataFrame, checks: Sequence[str] | None = None) -> DataFrame:
     """Report rows (``REPORT_SCHEMA``), one per requested check, in check order."""
     wanted = [c for c in CHECKS if checks is None or c in checks]
     present = set(df.columns)
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__total")]
+    aggs = ["COUNT(1) AS __total"]
     critical = [c for c in S.CRITICAL_COLUMNS if c in present]
     if "no_nulls" in wanted:
-        for c in critical:
-            aggs.append(F.count_if(_is_null(df, c)).alias(f"__null_{c}"))
+        aggs += [f"COUNT_IF({_is_null(df, c)}) AS {q('__null_' + c)}" for c in critical]
     for name, (c, lo, hi, _, _) in RANGE_CHECKS.items():
         if name in wanted and c in present:
-            aggs.append(F.count_if(_out_of_range(df, c, lo, hi)).alias(f"__bad_{name}"))
+            aggs.append(f"COUNT_IF({_out_of_range(df, c, lo, hi)}) AS __bad_{name}")
+    one = df.agg(*[F.expr(a) for a in aggs])
     dup_possible = all(k in present for k in S.DUPLICATE_KEY)
-    one = df.agg(*aggs)
     if "no_duplicates" in wanted and dup_possible:
         one = one.select("*", duplicate_count(df).scalar().alias("__dups"))
 
-    total = F.col("__total")
-    zero = F.lit(0).cast("bigint")
     rows = []
     for order, name in enumerate(CHECKS, start=1):
         if name not in wanted:
             continue
         if name == "not_empty":
-            ok = total > 0
-            msg = F.when(ok, _fmt(MSG_RECORDS_FOUND, total)).otherwise(F.lit(MSG_EMPTY))
-            rows.append(_row(order, name, ok, msg, zero, total))
+            msg = f"CASE WHEN __total > 0 THEN {_fmt(MSG_RECORDS_FOUND, '__total')} ELSE {lit(MSG_EMPTY)} END"
+            rows.append(_row(order, name, "__total > 0", msg, "0"))
         elif name == "required_columns":
             missing = [c for c in S.REQUIRED_COLUMNS if c not in present]
             msg = MSG_ALL_COLUMNS if not missing else MSG_MISSING_COLUMNS.format(missing=missing)
-            rows.append(_row(order, name, F.lit(not missing), F.lit(msg), zero, total))
+            rows.append(_row(order, name, "true" if not missing else "false", lit(msg), "0"))
         elif name == "no_nulls":
-            n = zero
-            for c in critical:
-                n = n + F.col(f"__null_{c}")
-            ok = n == 0
-            msg = F.when(ok, F.lit(MSG_NO_NULLS)).otherwise(_fmt(MSG_NULLS, n))
-            rows.append(_row(order, name, ok, msg, n, total))
+            n = "(" + " + ".join(["CAST(0 AS BIGINT)", *[q("__null_" + c) for c in critical]]) + ")"
+            msg = f"CASE WHEN {n} = 0 THEN {lit(MSG_NO_NULLS)} ELSE {_fmt(MSG_NULLS, n)} END"
+            rows.append(_row(order, name, f"{n} = 0", msg, n))
         elif name == "no_duplicates":
             if not dup_possible:
-                rows.append(_row(order, name, F.lit(False), F.lit(MSG_DUPLICATE_COLUMNS_MISSING), zero, total))
+                rows.append(_row(order, name, "false", lit(MSG_DUPLICATE_COLUMNS_MISSING), "0"))
                 continue
-            n = F.col("__dups")
-            ok = n == 0
-            msg = F.when(ok, F.lit(MSG_NO_DUPLICATES)).otherwise(_fmt(MSG_DUPLICATES, n))
-            rows.append(_row(order, name, ok, msg, n, total))
+            msg = f"CASE WHEN __dups = 0 THEN {lit(MSG_NO_DUPLICATES)} ELSE {_fmt(MSG_DUPLICATES, '__dups')} END"
+            rows.append(_row(order, name, "__dups = 0", msg, "__dups"))
         else:
             c, _, _, msg_ok, msg_bad = RANGE_CHECKS[name]
             if c not in present:
-                rows.append(_row(order, name, F.lit(False), F.lit(MSG_COLUMN_MISSING.format(column=c)), zero, total))
+                rows.append(_row(order, name, "false", lit(MSG_COLUMN_MISSING.format(column=c)), "0"))
                 continue
-            n = F.col(f"__bad_{name}")
-            ok = n == 0
-            msg = F.when(ok, F.lit(msg_ok)).otherwise(_fmt(msg_bad, n))
-            rows.append(_row(order, name, ok, msg, n, total))
-    return one.select(F.inline(F.array(*rows)))
+            n = f"__bad_{name}"
+            msg = f"CASE WHEN {n} = 0 THEN {lit(msg_ok)} ELSE {_fmt(msg_bad, n)} END"
+            rows.append(_row(order, name, f"{n} = 0", msg, n))
+    return one.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def check(df: DataFrame, name: str) -> DataFrame:
@@ -175,17 +160,17 @@ def check(df: DataFrame, name: str) -> DataFrame:
 
 def report_summary(report: DataFrame) -> DataFrame:
     """One row: passed (all checks; an empty report passes), counts, summary
-    text 'p/n checks passed' and the names of failed checks in order."""
-    n = F.count(F.lit(1))
-    p = F.count_if(F.col("passed"))
-    failed = F.transform(
-        F.array_sort(F.collect_list(F.when(~F.col("passed"), F.struct("check_order", "check_name")))),
-        lambda s: s["check_name"],
-    )
+    text 'p/n checks passed' and the names of failed checks in check order."""
     return report.agg(
-        (p == n).alias("passed"),
-        p.cast("bigint").alias("passed_checks"),
-        n.cast("bigint").alias("total_checks"),
-        F.concat(p.cast("string"), F.lit("/"), n.cast("string"), F.lit(" checks passed")).alias("summary"),
-        failed.alias("failed_checks"),
+        *[
+            F.expr(t)
+            for t in (
+                "COUNT_IF(passed) = COUNT(1) AS passed",
+                "CAST(COUNT_IF(passed) AS BIGINT) AS passed_checks",
+                "CAST(COUNT(1) AS BIGINT) AS total_checks",
+                "concat(CAST(COUNT_IF(passed) AS STRING), '/', CAST(COUNT(1) AS STRING), ' checks passed') AS summary",
+                "transform(array_sort(collect_list(CASE WHEN NOT passed THEN struct(check_order, check_name) END)),"
+                " s -> s.check_name) AS failed_checks",
+            )
+        ]
     )

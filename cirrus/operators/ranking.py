@@ -4,52 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.functions.expr import lookup, period_start, round_to
-from cirrus.operators.aggregates import Stat, drop_raw, grouped_stats, raw_name
+from cirrus.functions.expr import exact_sum_units_sql, lookup_sql, mean_from_sql, period_start_sql, q, round_sql
+from cirrus.operators.aggregates import (
+    AggSpec,
+    Stat,
+    _scale,
+    asc,
+    column_type,
+    raw_name,
+    run_spec,
+    stats_spec,
+)
 
 
-def rank_by(value: str | Column, descending: bool = True) -> Column:
+def rank_sql(value: str, descending: bool = True) -> str:
     """SQL ``RANK()`` (gaps after ties) over all rows, NULLs last, as bigint.
 
-    Used only on aggregates (one row per group), never on raw readings:
-    an unpartitioned window moves its input into one task.
+    Used only on aggregates (one row per group), never on raw readings: an
+    unpartitioned window moves its input into one task, which is bounded by
+    the number of groups.
     """
-    c = F.col(value) if isinstance(value, str) else value
-    order = F.desc_nulls_last(c) if descending else F.asc_nulls_last(c)
-    return F.rank().over(Window.orderBy(order)).cast("bigint")
+    order = "DESC" if descending else "ASC"
+    return f"CAST(RANK() OVER (ORDER BY {value} {order} NULLS LAST) AS BIGINT)"
 
 
-def rank_groups(
+def rank_groups_spec(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     decimals: int | None = None,
     desc_alias: str = "hottest_rank",
     asc_alias: str = "coldest_rank",
-) -> DataFrame:
+) -> AggSpec:
+    avg_a = f"avg_{value}"
+    raw = q(raw_name(avg_a))
+
+    def then(g: DataFrame) -> DataFrame:
+        out = g.selectExpr(
+            *[q(k) for k in keys],
+            q(avg_a),
+            f"{rank_sql(raw, True)} AS {q(desc_alias)}",
+            f"{rank_sql(raw, False)} AS {q(asc_alias)}",
+        )
+        return out.orderBy(*asc(desc_alias))
+
+    return stats_spec(df, keys, [Stat("avg", value, avg_a)], decimals, keep_raw=[avg_a], then=then)
+
+
+def rank_groups(df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None, **kw) -> DataFrame:
     """Per group: rounded mean, its rank highest-first and lowest-first.
 
     Ranks use the unrounded mean; output ordered by the descending rank.
     """
-    avg_a = f"avg_{value}"
-    g = grouped_stats(df, keys, [Stat("avg", value, avg_a)], decimals, keep_raw=[avg_a])
-    raw = raw_name(avg_a)
-    out = g.select(*keys, avg_a, rank_by(raw, True).alias(desc_alias), rank_by(raw, False).alias(asc_alias))
-    return out.orderBy(F.asc_nulls_last(desc_alias))
+    return run_spec(df, rank_groups_spec(df, keys, value, decimals, **kw))
 
 
-def volatility_rank(
+def volatility_rank_spec(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     decimals: int | None = None,
     count_alias: str = "total_readings",
     rank_alias: str = "volatility_rank",
-) -> DataFrame:
-    """Per group: population stddev, mean, min, max, count; ranked by stddev."""
+) -> AggSpec:
     sd = f"{value}_stddev"
     stats = [
         Stat("stddev_pop", value, sd),
@@ -58,12 +78,21 @@ def volatility_rank(
         Stat("max", value, f"max_{value}"),
         Stat("count", None, count_alias),
     ]
-    g = grouped_stats(df, keys, stats, decimals, keep_raw=[sd])
-    out = drop_raw(g.withColumn(rank_alias, rank_by(raw_name(sd), True)))
-    return out.orderBy(F.asc_nulls_last(rank_alias))
+    shown = [*keys, *[s.alias for s in stats]]
+
+    def then(g: DataFrame) -> DataFrame:
+        out = g.selectExpr(*[q(c) for c in shown], f"{rank_sql(q(raw_name(sd)))} AS {q(rank_alias)}")
+        return out.orderBy(*asc(rank_alias))
+
+    return stats_spec(df, keys, stats, decimals, keep_raw=[sd], then=then)
 
 
-def mapped_rollup_rank(
+def volatility_rank(df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None, **kw) -> DataFrame:
+    """Per group: population stddev, mean, min, max, count; ranked by stddev."""
+    return run_spec(df, volatility_rank_spec(df, keys, value, decimals, **kw))
+
+
+def mapped_rollup_rank_spec(
     df: DataFrame,
     key: str,
     mapping: Mapping[str, str],
@@ -74,28 +103,70 @@ def mapped_rollup_rank(
     distinct_alias: str | None = None,
     count_alias: str = "total_readings",
     rank_alias: str = "temperature_rank",
-) -> DataFrame:
+) -> AggSpec:
+    """Two-level plan: aggregate by (rolled-up key, key), then re-aggregate
+    by the rolled-up key.  The distinct count of ``key`` is then a plain
+    count of first-level groups (no Expand-based distinct aggregate), and the
+    exact integer sums merge without error."""
+    frac = column_type(df, value, {})
+    scale = _scale(frac, decimals)
+    su = f"__su{scale}__{value}" if scale is not None else f"__fsum__{value}"
+    n, mn, mx = f"__n__{value}", f"__min__{value}", f"__max__{value}"
+    v = q(value)
+    buffers = {
+        su: exact_sum_units_sql(v, scale) if scale is not None else f"SUM({v})",
+        n: f"COUNT({v})",
+        mn: f"MIN({v})",
+        mx: f"MAX({v})",
+        "__rows": "COUNT(1)",
+    }
+    avg_a = f"avg_{value}"
+    distinct_alias = distinct_alias or f"{key}_count"
+    mean = mean_from_sql(q(su), q(n), scale or 0)
+
+    def mm(c: str) -> str:
+        return round_sql(c, 2) if frac else c
+
+    def finish(g: DataFrame) -> DataFrame:
+        r = g.groupBy(rollup_alias).agg(
+            *[
+                F.expr(t)
+                for t in (
+                    f"SUM({q(su)}) AS {q(su)}",
+                    f"SUM({q(n)}) AS {q(n)}",
+                    f"MIN({q(mn)}) AS {q(mn)}",
+                    f"MAX({q(mx)}) AS {q(mx)}",
+                    f"COUNT({q(key)}) AS {q(distinct_alias)}",
+                    f"SUM(`__rows`) AS {q(count_alias)}",
+                )
+            ]
+        )
+        out = r.selectExpr(
+            q(rollup_alias),
+            f"{round_sql(mean, 2)} AS {q(avg_a)}",
+            f"{mm(q(mn))} AS {q('min_' + value)}",
+            f"{mm(q(mx))} AS {q('max_' + value)}",
+            q(distinct_alias),
+            q(count_alias),
+            f"{rank_sql(mean)} AS {q(rank_alias)}",
+        )
+        return out.orderBy(*asc(rank_alias))
+
+    return AggSpec((rollup_alias, key), buffers, finish, {rollup_alias: lookup_sql(q(key), mapping, otherwise)})
+
+
+def mapped_rollup_rank(df: DataFrame, key: str, mapping: Mapping[str, str], otherwise: str, value: str,
+                       rollup_alias: str, decimals: int | None = None, **kw) -> DataFrame:
     """Roll ``key`` up through ``mapping`` and rank the rolled-up groups.
 
     The map is a fixed literal expression (no join).  Per rolled-up group:
     mean, min, max of ``value``, distinct ``key`` count, row count and the
     rank of the unrounded mean, highest first.
     """
-    keyed = df.withColumn(rollup_alias, lookup(key, mapping, otherwise))
-    avg_a = f"avg_{value}"
-    stats = [
-        Stat("avg", value, avg_a),
-        Stat("min", value, f"min_{value}"),
-        Stat("max", value, f"max_{value}"),
-        Stat("count_distinct", key, distinct_alias or f"{key}_count"),
-        Stat("count", None, count_alias),
-    ]
-    g = grouped_stats(keyed, [rollup_alias], stats, decimals, keep_raw=[avg_a])
-    out = drop_raw(g.withColumn(rank_alias, rank_by(raw_name(avg_a), True)))
-    return out.orderBy(F.asc_nulls_last(rank_alias))
+    return run_spec(df, mapped_rollup_rank_spec(df, key, mapping, otherwise, value, rollup_alias, decimals, **kw))
 
 
-def period_over_period(
+def period_over_period_spec(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
@@ -104,18 +175,34 @@ def period_over_period(
     period_alias: str = "month",
     change_alias: str = "change_from_previous_month",
     decimals: int | None = None,
-) -> DataFrame:
+) -> AggSpec:
+    avg_a = f"avg_{value}"
+    raw = q(raw_name(avg_a))
+    part = ", ".join(q(k) for k in keys)
+
+    def then(g: DataFrame) -> DataFrame:
+        lag = f"LAG({raw}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
+        out = g.selectExpr(
+            *[q(k) for k in keys], q(period_alias), q(avg_a), f"{round_sql(f'{raw} - {lag}', 2)} AS {q(change_alias)}"
+        )
+        return out.orderBy(*asc(*keys, period_alias))
+
+    return stats_spec(
+        df,
+        [*keys, period_alias],
+        [Stat("avg", value, avg_a)],
+        decimals,
+        keep_raw=[avg_a],
+        derived={period_alias: period_start_sql(q(ts), period)},
+        then=then,
+    )
+
+
+def period_over_period(df: DataFrame, keys: Sequence[str], ts: str, period: str, value: str, **kw) -> DataFrame:
     """Per group and period: rounded mean and its change from the previous
     period *present* in the group (NULL for the first), from unrounded means.
 
     The lag window is partitioned by the group keys over the aggregate, so it
     sees one row per period.
     """
-    avg_a = f"avg_{value}"
-    keyed = df.withColumn(period_alias, period_start(ts, period))
-    g = grouped_stats(keyed, [*keys, period_alias], [Stat("avg", value, avg_a)], decimals, keep_raw=[avg_a])
-    raw = F.col(raw_name(avg_a))
-    w = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(period_alias))
-    change = round_to(raw - F.lag(raw, 1).over(w), 2)
-    out = g.select(*keys, period_alias, avg_a, change.alias(change_alias))
-    return out.orderBy(*[F.asc_nulls_last(k) for k in keys], F.asc_nulls_last(period_alias))
+    return run_spec(df, period_over_period_spec(df, keys, ts, period, value, **kw))

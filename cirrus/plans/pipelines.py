@@ -26,7 +26,7 @@ class AnalysisRun:
 
 def validate(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Quality report and its one-row summary; nothing is stored."""
-    report = quality_report(readings)
+    report = quality_report(readings).persist()
     return report, report_summary(report)
 
 
@@ -36,7 +36,8 @@ def analyse(
     export_dir: str | None = None,
     run_ts: str | None = None,
     strict: bool = False,
-    cache_input: bool = False,
+    as_of=None,
+    fused: bool = True,
 ) -> AnalysisRun:
     """Check the readings, run the query suite, optionally export.
 
@@ -50,6 +51,6 @@ def analyse(
         log.warning("failed checks: %s", ", ".join(s["failed_checks"]))
         if strict:
             raise ValueError(f"quality checks failed: {s['failed_checks']}")
-    results, status = run_suite(readings, cache_input=cache_input)
+    results, status = run_suite(readings, fused=fused, as_of=as_of)
     exported = export_all(results, export_dir, run_ts) if export_dir else {}
     return AnalysisRun(report, summary, results, status, exported)

@@ -124,9 +124,7 @@ def _suite_queries() -> dict[str, tuple[QueryFn, str | None]]:
     from cirrus.sources.derived import dirty_readings
 
     def suite_status(spark, sf_dir):
-        queries = dict(W.QUERIES)
-        queries["data_freshness_per_city"] = lambda r: W.data_freshness_per_city(r, FRESHNESS_AS_OF)
-        _, status = run_suite(events_readings(spark, sf_dir), queries)
+        _, status = run_suite(events_readings(spark, sf_dir), as_of=FRESHNESS_AS_OF)
         return status.select("query_name", "status", "row_count")
 
     def summary(spark, sf_dir):

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import time
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cirrus.plans.weather import QUERIES
+from cirrus.functions.expr import lit
+from cirrus.plans.weather import QUERIES, data_freshness_per_city, fused_queries
+from cirrus.sources.local import local_frame
 
 log = logging.getLogger(__name__)
 
@@ -24,30 +28,54 @@ STATUS_SCHEMA = T.StructType(
 )
 
 
+def _row_counts(frames: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Row count of every frame, all in one Spark job (a union of counts)."""
+    parts = [df.groupBy().count().selectExpr(f"{lit(name)} AS query_name", "count AS row_count")
+             for name, df in frames.items()]
+    return {r["query_name"]: r["row_count"] for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
 def run_suite(
     readings: DataFrame,
-    queries: Mapping[str, Callable[[DataFrame], DataFrame]] = QUERIES,
-    cache_input: bool = False,
+    queries: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
+    fused: bool = True,
+    as_of: dt.datetime | str | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Build and materialise every query in order.
+    """Run every query, in suite order, with a status each.
 
-    A query that fails (at plan or at run time: Spark errors surface at the
-    action, so the action is inside the guard) gets status 'failed' and no
-    result; the others go on.  Results are small aggregates and are
-    persisted (recomputable from lineage if an executor is lost).
+    ``fused`` (the default, for the sixteen named queries): all aggregate
+    queries share one GROUPING SETS scan of ``readings``, checkpointed, and
+    the anomaly query one more scan (see ``weather.fused_queries``); the
+    row counts of all results are then taken in one job.  The returned
+    results are lazy frames over the checkpointed aggregate: cheap to show or
+    export.  If that shared work fails, every query is run on its own so one
+    bad query cannot fail the others.
 
-    ``cache_input`` persists the readings once for all queries; worthwhile
-    when the input is an expensive derivation that fits the cluster's
-    memory+disk, otherwise each query re-scans only the columns it needs.
+    Otherwise each query is materialised (persisted, counted) on its own.  A
+    failing query (at plan or at run time - Spark errors surface at the
+    action, so the action is inside the guard) gets status 'failed' and no
+    result.
     """
     spark = readings.sparkSession
-    src = readings.persist(StorageLevel.MEMORY_AND_DISK) if cache_input else readings
+    named = queries is None
+    if named:
+        queries = dict(QUERIES)
+        queries["data_freshness_per_city"] = lambda r: data_freshness_per_city(r, as_of)
+    if named and fused:
+        try:
+            results, _ = fused_queries(readings, as_of)
+            counts = _row_counts(results)
+            status = [(name, "ok", counts[name], None) for name in results]
+            return results, local_frame(spark, status, STATUS_SCHEMA)
+        except Exception as e:  # noqa: BLE001 - fall back to one query at a time
+            log.error("fused suite failed (%s); running queries one by one", e)
+
     results: dict[str, DataFrame] = {}
     status = []
     for name, fn in queries.items():
         t0 = time.perf_counter()
         try:
-            df = fn(src).persist(StorageLevel.MEMORY_AND_DISK)
+            df = fn(readings).persist(StorageLevel.MEMORY_AND_DISK)
             n = df.count()
             results[name] = df
             status.append((name, "ok", n, time.perf_counter() - t0))
@@ -55,4 +83,4 @@ def run_suite(
         except Exception as e:  # noqa: BLE001 - isolate each query
             log.error("query %r failed: %s", name, e)
             status.append((name, "failed", None, time.perf_counter() - t0))
-    return results, spark.createDataFrame(status, STATUS_SCHEMA)
+    return results, local_frame(spark, status, STATUS_SCHEMA)

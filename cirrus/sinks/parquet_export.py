@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cirrus.sources.local import empty_frame, local_frame
+
 log = logging.getLogger(__name__)
 
 MANIFEST_SCHEMA = T.StructType(
@@ -63,7 +65,7 @@ def export(df: DataFrame, query_name: str, out_dir: str, run_ts: str | None = No
         _fs_delete(spark, path)
         log.warning("skipping export for %r - result is empty", query_name)
         return ""
-    spark.createDataFrame([(query_name, ts, path, rows)], MANIFEST_SCHEMA).write.mode("append").parquet(
+    local_frame(spark, [(query_name, ts, path, rows)], MANIFEST_SCHEMA).write.mode("append").parquet(
         _manifest(out_dir)
     )
     log.info("exported %r to %s (%d rows)", query_name, path, rows)
@@ -102,5 +104,5 @@ def list_exports(spark: SparkSession, out_dir: str) -> DataFrame:
 
     m = _manifest(out_dir)
     if not target_exists(spark, m):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
+        return empty_frame(spark, MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).parquet(m).orderBy("path")

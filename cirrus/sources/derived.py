@@ -13,8 +13,9 @@ plants nulls, out-of-range values and repeated keys for the quality checks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from cirrus.functions.expr import lit
 
 # ---------------------------------------------------------------------------
 # Fixed values of the derivation: the 12-entry city dimension
@@ -36,65 +37,64 @@ CITY_DIM = [
 ]
 
 
-def _dim(k: Column, field: int) -> Column:
-    values = F.array(*[F.lit(row[field]) for row in CITY_DIM])
-    return F.try_element_at(values, (k + F.lit(1)).cast("int"))
+def _dim(field: int) -> str:
+    values = ", ".join(lit(row[field]) for row in CITY_DIM)
+    return f"try_element_at(array({values}), CAST(k + 1 AS INT))"
 
 
-def _readings(id_col: Column, h: Column, descr: Column, recorded_at: Column, src: DataFrame) -> DataFrame:
+def _readings(src: DataFrame, id_sql: str, h_sql: str, descr_sql: str, ts_sql: str) -> DataFrame:
     n = len(CITY_DIM)
-    base = src.select(
-        (id_col % F.lit(n)).alias("k"), h.alias("h"), descr.alias("descr"), recorded_at.alias("recorded_at")
-    ).filter(F.col("k").between(0, n - 1))
-    k, h = F.col("k"), F.col("h")
-    base_temp = _dim(k, 3).cast("bigint")
-    spike = F.when(h % 97 == 0, F.lit(2500)).otherwise(F.lit(0))
-    return base.select(
-        _dim(k, 1).alias("city"),
-        _dim(k, 2).alias("country"),
-        ((base_temp * 100 + h % 1800 - 900 + spike).cast("double") / 100).alias("temperature"),
-        ((base_temp * 100 + h % 1300 - 750).cast("double") / 100).alias("feels_like"),
-        (F.lit(20) + h % 81).cast("bigint").alias("humidity"),
-        (F.lit(980) + h % 67).cast("bigint").alias("pressure"),
-        F.col("descr").alias("weather_description"),
-        ((h % 1531).cast("double") / 100).alias("wind_speed"),
-        F.floor((F.lit(400) + h % 14983).cast("double") * k / 6).cast("bigint").alias("visibility"),
-        F.col("recorded_at"),
+    base = src.selectExpr(
+        f"({id_sql}) % {n} AS k", f"{h_sql} AS h", f"{descr_sql} AS descr", f"{ts_sql} AS recorded_at"
+    ).where(f"k BETWEEN 0 AND {n - 1}")
+    base_temp = f"CAST({_dim(3)} AS BIGINT)"
+    return base.selectExpr(
+        f"{_dim(1)} AS city",
+        f"{_dim(2)} AS country",
+        f"CAST({base_temp} * 100 + h % 1800 - 900 + CASE WHEN h % 97 = 0 THEN 2500 ELSE 0 END AS DOUBLE) / 100"
+        " AS temperature",
+        f"CAST({base_temp} * 100 + h % 1300 - 750 AS DOUBLE) / 100 AS feels_like",
+        "CAST(20 + h % 81 AS BIGINT) AS humidity",
+        "CAST(980 + h % 67 AS BIGINT) AS pressure",
+        "descr AS weather_description",
+        "CAST(h % 1531 AS DOUBLE) / 100 AS wind_speed",
+        "CAST(FLOOR(CAST(400 + h % 14983 AS DOUBLE) * k / 6) AS BIGINT) AS visibility",
+        "recorded_at",
     )
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
     """View E: one reading per event (user -> city, value -> measurements)."""
-    h = F.round(F.col("value") * 100).cast("bigint") * 7919 + F.col("event_id") * 31
-    return _readings(F.col("user_id"), h, F.col("event_type"), F.col("ts"), events)
+    return _readings(
+        events, "user_id", "CAST(ROUND(value * 100) AS BIGINT) * 7919 + event_id * 31", "event_type", "ts"
+    )
 
 
 def readings_from_orders(orders: DataFrame) -> DataFrame:
     """View O: one reading per order, at order date + (orderkey mod 24) hours."""
-    h = F.round(F.col("o_totalprice") * 100).cast("bigint") * 7 + F.col("o_orderkey") * 31
-    hours = (F.col("o_orderkey") % 24).cast("int")
-    ts = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hours, F.lit(0), F.lit(0))
-    return _readings(F.col("o_custkey"), h, F.col("o_orderpriority"), ts, orders)
+    return _readings(
+        orders,
+        "o_custkey",
+        "CAST(ROUND(o_totalprice * 100) AS BIGINT) * 7 + o_orderkey * 31",
+        "o_orderpriority",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) + MAKE_DT_INTERVAL(0, CAST(o_orderkey % 24 AS INT), 0, 0)",
+    )
 
 
 def dirty_readings(readings: DataFrame) -> DataFrame:
     """Readings with planted faults (nulls, out-of-range values, repeated
     keys) over the seven checked columns."""
-    hum, pres = F.col("humidity"), F.col("pressure")
-    faulty = readings.select(
-        F.when((hum == 21) & (pres % 5 == 0), F.lit(None)).otherwise(F.col("city")).alias("city"),
-        F.col("country"),
-        F.when(hum == 22, F.lit(None).cast("double"))
-        .when(hum == 23, F.lit(200.0))
-        .when(hum == 24, F.lit(-100.0))
-        .otherwise(F.col("temperature"))
-        .alias("temperature"),
-        F.when(pres == 981, F.lit(150)).when(pres == 982, F.lit(-10)).otherwise(hum).cast("bigint").alias("humidity"),
-        F.when(hum == 25, F.lit(500)).otherwise(pres).cast("bigint").alias("pressure"),
-        F.when(hum == 26, F.lit(-5.0)).otherwise(F.col("wind_speed")).alias("wind_speed"),
-        F.col("recorded_at"),
+    faulty = readings.selectExpr(
+        "CASE WHEN humidity = 21 AND pressure % 5 = 0 THEN NULL ELSE city END AS city",
+        "country",
+        "CASE WHEN humidity = 22 THEN CAST(NULL AS DOUBLE) WHEN humidity = 23 THEN 200D "
+        "WHEN humidity = 24 THEN -100D ELSE temperature END AS temperature",
+        "CAST(CASE WHEN pressure = 981 THEN 150 WHEN pressure = 982 THEN -10 ELSE humidity END AS BIGINT) AS humidity",
+        "CAST(CASE WHEN humidity = 25 THEN 500 ELSE pressure END AS BIGINT) AS pressure",
+        "CASE WHEN humidity = 26 THEN -5D ELSE wind_speed END AS wind_speed",
+        "recorded_at",
     )
-    repeated = readings.filter(hum == 30).select(
+    repeated = readings.where("humidity = 30").select(
         "city", "country", "temperature", "humidity", "pressure", "wind_speed", "recorded_at"
     )
     return faulty.unionByName(repeated)

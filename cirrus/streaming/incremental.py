@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus.schema import READINGS_SCHEMA, RECORDED_AT
+from cirrus.sources.local import empty_frame
 from cirrus.sources.tables import append_or_create, read_target, target_exists
 
 log = logging.getLogger(__name__)
@@ -77,4 +78,4 @@ def incremental_run(
     log.info("loaded %d new record(s) since %s", n, mark)
     if target_exists(spark, target):
         return read_target(spark, target)
-    return spark.createDataFrame([], READINGS_SCHEMA)
+    return empty_frame(spark, READINGS_SCHEMA)
