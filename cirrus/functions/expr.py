@@ -25,6 +25,8 @@ def lit(v) -> str:
     if isinstance(v, str):
         return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(v, float):
+        if v != v or v in (float("inf"), float("-inf")):
+            return f"CAST('{'NaN' if v != v else ('Infinity' if v > 0 else '-Infinity')}' AS DOUBLE)"
         return f"{v!r}D"
     return str(v)
 

@@ -95,7 +95,8 @@ def _load_queries() -> dict[str, tuple[QueryFn, str | None]]:
         r = events_readings(spark, sf_dir)
         return stored(r).unionByName(newer_than(r, stored(r)))
 
-    mark = f"(SELECT MAX(recorded_at) FROM readings WHERE recorded_at < {_SPLIT_SQL})"
+    mark = (f"(SELECT COALESCE(MAX(recorded_at), TIMESTAMP '0001-01-01 00:00:00') FROM readings "
+            f"WHERE recorded_at < {_SPLIT_SQL})")
     return {
         "high_water_mark": (
             lambda s, d: mark_of(events_readings(s, d)),
@@ -103,14 +104,14 @@ def _load_queries() -> dict[str, tuple[QueryFn, str | None]]:
         ),
         "incremental_load": (
             incremental_load,
-            O.with_fixture("E", f"SELECT * FROM readings WHERE {mark} IS NULL OR recorded_at > {mark}"),
+            O.with_fixture("E", f"SELECT * FROM readings WHERE recorded_at > {mark}"),
         ),
         "incremental_run": (
             incremental_run,
             O.with_fixture(
                 "E",
                 f"SELECT * FROM readings WHERE recorded_at < {_SPLIT_SQL} UNION ALL "
-                f"SELECT * FROM readings WHERE {mark} IS NULL OR recorded_at > {mark}",
+                f"SELECT * FROM readings WHERE recorded_at > {mark}",
             ),
         ),
     }

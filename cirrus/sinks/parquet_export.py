@@ -33,9 +33,15 @@ def run_stamp(now: dt.datetime | None = None) -> str:
 
 
 def _fs_delete(spark: SparkSession, path: str) -> None:
+    """Remove an export folder we just wrote, and its query folder if that is
+    left empty."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(p, True)
+    parent = p.getParent()
+    if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
+        fs.delete(parent, False)
 
 
 def _manifest(out_dir: str) -> str:

@@ -49,8 +49,10 @@ def _reader(spark: SparkSession, url: str, properties: dict[str, str] | None, fe
 
 
 def _bounds(spark, url, table, column, properties, fetchsize, after: dt.datetime | None):
-    where = f" WHERE {column} > '{after.isoformat(sep=' ')}'" if after is not None else ""
-    q = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {table}{where}) bounds"
+    c = '"' + column.replace('"', '""') + '"'  # standard SQL quoting: exact (lower-case) name
+    # JDBC escape syntax: every driver translates it to its own timestamp literal.
+    where = f" WHERE {c} > {{ts '{after.isoformat(sep=' ')}'}}" if after is not None else ""
+    q = f"(SELECT MIN({c}) AS lo, MAX({c}) AS hi, COUNT(*) AS n FROM {table}{where}) bounds"
     return _reader(spark, url, properties, fetchsize).option("dbtable", q).load().first()
 
 
@@ -64,6 +66,8 @@ def jdbc_load(
     fetchsize: int = 10_000,
     max_retries: int = 3,
     retry_delay: float = 5.0,
+    rows_per_partition: int = ROWS_PER_PARTITION,
+    max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
     """Rows of ``table`` (optionally only those with ``partition_column`` >
     ``after``), read in parallel time slices.
@@ -75,13 +79,13 @@ def jdbc_load(
         lambda: _bounds(spark, url, table, partition_column, properties, fetchsize, after), max_retries, retry_delay
     )
     reader = _reader(spark, url, properties, fetchsize).option("dbtable", table)
-    n = int(b["n"] or 0)
-    parts = min(MAX_PARTITIONS, max(1, -(-n // ROWS_PER_PARTITION)))
-    if b["lo"] is not None and parts > 1 and b["lo"] != b["hi"]:
+    lo, hi, n = b[0], b[1], int(b[2] or 0)  # by position: databases fold alias case
+    parts = min(max_partitions, max(1, -(-n // rows_per_partition)))
+    if lo is not None and parts > 1 and lo != hi:
         reader = (
             reader.option("partitionColumn", partition_column)
-            .option("lowerBound", str(b["lo"]))
-            .option("upperBound", str(b["hi"]))
+            .option("lowerBound", str(lo))
+            .option("upperBound", str(hi))
             .option("numPartitions", str(parts))
         )
     df = reader.load()

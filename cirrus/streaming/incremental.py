@@ -27,6 +27,8 @@ from cirrus.sources.tables import append_or_create, read_target, target_exists
 
 log = logging.getLogger(__name__)
 
+EARLIEST = "0001-01-01 00:00:00"
+
 
 def high_water_mark(spark: SparkSession, target: str, ts: str = RECORDED_AT) -> dt.datetime | None:
     """Newest ``ts`` stored in ``target``; None when it is missing or empty.
@@ -54,11 +56,13 @@ def incremental_load(source: DataFrame, mark: dt.datetime | None, ts: str = RECO
 def newer_than(source: DataFrame, stored: DataFrame, ts: str = RECORDED_AT) -> DataFrame:
     """Lazy incremental load: source rows newer than ``max(stored.ts)``.
 
-    The mark is a scalar subquery, pushed into the source scan's filters;
-    when ``stored`` is empty (NULL mark) the whole source is returned.
+    The mark is a scalar subquery, so the comparison is pushed into the
+    source scan's filters and no value passes through the driver.  An empty
+    ``stored`` gives the earliest representable mark (everything with an
+    event time is newer); rows without an event time are never newer.
     """
-    mark = stored.agg(F.max(ts)).scalar()
-    return source.filter(mark.isNull() | (F.col(ts) > mark))
+    mark = stored.agg(F.expr(f"COALESCE(MAX({ts}), TIMESTAMP_NTZ'{EARLIEST}')")).scalar()
+    return source.filter(F.col(ts) > mark)
 
 
 def incremental_run(
