@@ -6,18 +6,20 @@ import datetime as dt
 import logging
 import time
 from collections.abc import Callable, Mapping
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cirrus.functions.expr import lit
 from cirrus.plans.weather import QUERIES, data_freshness_per_city, fused_queries
 from cirrus.sources.local import local_frame
 
 log = logging.getLogger(__name__)
 
+R = TypeVar("R")
+
 STATUS_SCHEMA = T.StructType(
     [
         T.StructField("query_name", T.StringType(), False),
@@ -28,11 +30,25 @@ STATUS_SCHEMA = T.StructType(
 )
 
 
-def _row_counts(frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Row count of every frame, all in one Spark job (a union of counts)."""
-    parts = [df.groupBy().count().selectExpr(f"{lit(name)} AS query_name", "count AS row_count")
-             for name, df in frames.items()]
-    return {r["query_name"]: r["row_count"] for r in reduce(DataFrame.unionByName, parts).collect()}
+def run_concurrently(actions: Mapping[str, Callable[[], R]], parallelism: int | None = None) -> dict[str, R | Exception]:
+    """Run independent Spark actions from a few driver threads.
+
+    Spark schedules jobs from different threads side by side, so small jobs
+    (the suite's results are aggregates) no longer wait for each other.
+    Each outcome is kept per name: a value, or the exception it raised.
+    """
+    if not actions:
+        return {}
+
+    def guarded(fn):
+        try:
+            return fn()
+        except Exception as e:  # noqa: BLE001 - reported per action
+            return e
+
+    workers = max(1, min(len(actions), parallelism or 8))
+    with ThreadPoolExecutor(workers, thread_name_prefix="cirrus-suite") as ex:
+        return dict(zip(actions, ex.map(guarded, actions.values())))
 
 
 def run_suite(
@@ -40,47 +56,56 @@ def run_suite(
     queries: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
     fused: bool = True,
     as_of: dt.datetime | str | None = None,
+    parallelism: int | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Run every query, in suite order, with a status each.
+    """Run every query with a status each (suite order).
 
     ``fused`` (the default, for the sixteen named queries): all aggregate
     queries share one GROUPING SETS scan of ``readings``, checkpointed, and
-    the anomaly query one more scan (see ``weather.fused_queries``); the
-    row counts of all results are then taken in one job.  The returned
-    results are lazy frames over the checkpointed aggregate: cheap to show or
-    export.  If that shared work fails, every query is run on its own so one
-    bad query cannot fail the others.
-
-    Otherwise each query is materialised (persisted, counted) on its own.  A
-    failing query (at plan or at run time - Spark errors surface at the
-    action, so the action is inside the guard) gets status 'failed' and no
-    result.
+    the anomaly query one more scan (see ``weather.fused_queries``).  The
+    returned results are lazy frames over the checkpointed aggregate, cheap
+    to show or export; their row counts are taken concurrently.  If the
+    shared pass fails, every query is run on its own so that one bad query
+    cannot fail the others.
+
+    Otherwise each query is materialised (persisted and counted) on its
+    own, concurrently.  A failing query - at plan or at run time; Spark
+    errors surface at the action, so the action is inside the guard - gets
+    status 'failed' and no result.
     """
     spark = readings.sparkSession
     named = queries is None
     if named:
         queries = dict(QUERIES)
         queries["data_freshness_per_city"] = lambda r: data_freshness_per_city(r, as_of)
+    built: dict[str, DataFrame] | None = None
     if named and fused:
         try:
-            results, _ = fused_queries(readings, as_of)
-            counts = _row_counts(results)
-            status = [(name, "ok", counts[name], None) for name in results]
-            return results, local_frame(spark, status, STATUS_SCHEMA)
+            built, _ = fused_queries(readings, as_of)
         except Exception as e:  # noqa: BLE001 - fall back to one query at a time
             log.error("fused suite failed (%s); running queries one by one", e)
 
+    def action(name: str, fn: Callable[[DataFrame], DataFrame]):
+        def run():
+            t0 = time.perf_counter()
+            if built is not None:
+                df = built[name]
+            else:
+                df = fn(readings).persist(StorageLevel.MEMORY_AND_DISK)
+            return df, df.count(), time.perf_counter() - t0
+
+        return run
+
+    outcomes = run_concurrently({n: action(n, f) for n, f in queries.items()}, parallelism)
     results: dict[str, DataFrame] = {}
     status = []
-    for name, fn in queries.items():
-        t0 = time.perf_counter()
-        try:
-            df = fn(readings).persist(StorageLevel.MEMORY_AND_DISK)
-            n = df.count()
+    for name in queries:
+        out = outcomes[name]
+        if isinstance(out, Exception):
+            log.error("query %r failed: %s", name, out)
+            status.append((name, "failed", None, None))
+        else:
+            df, n, secs = out
             results[name] = df
-            status.append((name, "ok", n, time.perf_counter() - t0))
-            log.info("query %r completed - %d rows", name, n)
-        except Exception as e:  # noqa: BLE001 - isolate each query
-            log.error("query %r failed: %s", name, e)
-            status.append((name, "failed", None, time.perf_counter() - t0))
+            status.append((name, "ok", n, secs))
     return results, local_frame(spark, status, STATUS_SCHEMA)

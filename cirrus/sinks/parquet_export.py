@@ -48,16 +48,13 @@ def _manifest(out_dir: str) -> str:
     return f"{out_dir.rstrip('/')}/_manifest"
 
 
-def export(df: DataFrame, query_name: str, out_dir: str, run_ts: str | None = None) -> str:
-    """Write one result as Snappy Parquet and return its path.
+def _write_manifest(spark: SparkSession, out_dir: str, entries: list[tuple[str, str, str, int]]) -> None:
+    if entries:
+        local_frame(spark, entries, MANIFEST_SCHEMA).write.mode("append").parquet(_manifest(out_dir))
 
-    An empty result is skipped and "" returned; emptiness is the row count
-    observed during the write itself (no second job over the query).  A
-    repeated (query, run) pair fails instead of overwriting.  Errors are
-    re-raised.
-    """
+
+def _export(df: DataFrame, query_name: str, out_dir: str, ts: str) -> tuple[str, int]:
     spark = df.sparkSession
-    ts = run_ts or run_stamp()
     path = f"{out_dir.rstrip('/')}/query_name={query_name}/run_ts={ts}"
     obs = Observation(f"export_{query_name}")
     (
@@ -70,30 +67,52 @@ def export(df: DataFrame, query_name: str, out_dir: str, run_ts: str | None = No
     if rows == 0:
         _fs_delete(spark, path)
         log.warning("skipping export for %r - result is empty", query_name)
-        return ""
-    local_frame(spark, [(query_name, ts, path, rows)], MANIFEST_SCHEMA).write.mode("append").parquet(
-        _manifest(out_dir)
-    )
+        return "", 0
     log.info("exported %r to %s (%d rows)", query_name, path, rows)
+    return path, rows
+
+
+def export(df: DataFrame, query_name: str, out_dir: str, run_ts: str | None = None) -> str:
+    """Write one result as Snappy Parquet and return its path.
+
+    An empty result is skipped and "" returned; emptiness is the row count
+    observed during the write itself (no second job over the query).  A
+    repeated (query, run) pair fails instead of overwriting.  Errors are
+    re-raised.
+    """
+    ts = run_ts or run_stamp()
+    path, rows = _export(df, query_name, out_dir, ts)
+    if path:
+        _write_manifest(df.sparkSession, out_dir, [(query_name, ts, path, rows)])
     return path
 
 
-def export_all(results: dict[str, DataFrame], out_dir: str, run_ts: str | None = None) -> dict[str, str]:
-    """Export every result under one run stamp.
+def export_all(
+    results: dict[str, DataFrame], out_dir: str, run_ts: str | None = None, parallelism: int | None = None
+) -> dict[str, str]:
+    """Export every result under one run stamp, writes running concurrently.
 
     A failed export is recorded as "" and does not stop the others; skipped
     (empty) results are absent from the returned map.
     """
+    from cirrus.plans.suite import run_concurrently
+
     ts = run_ts or run_stamp()
+    outcomes = run_concurrently(
+        {name: (lambda n=name, d=df: _export(d, n, out_dir, ts)) for name, df in results.items()}, parallelism
+    )
     exported: dict[str, str] = {}
-    for name, df in results.items():
-        try:
-            path = export(df, name, out_dir, ts)
-            if path:
-                exported[name] = path
-        except Exception as e:  # noqa: BLE001 - isolate each export
-            log.error("export failed for %r: %s", name, e)
+    entries = []
+    for name in results:
+        out = outcomes[name]
+        if isinstance(out, Exception):
+            log.error("export failed for %r: %s", name, out)
             exported[name] = ""
+        elif out[0]:
+            exported[name] = out[0]
+            entries.append((name, ts, out[0], out[1]))
+    # One manifest write for the run (concurrent appends to one folder clash).
+    _write_manifest(next(iter(results.values())).sparkSession, out_dir, entries)
     ok = sum(1 for p in exported.values() if p)
     log.info("export complete - %d/%d written", ok, len(results))
     return exported
