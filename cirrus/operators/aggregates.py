@@ -56,7 +56,9 @@ class Stat:
 class AggSpec:
     keys: tuple[str, ...]
     buffers: dict[str, str]  # name -> aggregate SQL
-    finish: Callable[[DataFrame], DataFrame]
+    # finish(aggregated, small): ``small`` is True when the aggregate is known
+    # to hold at most SINGLE_TASK_ROWS rows (window/rank strategy choice).
+    finish: Callable[..., DataFrame]
     derived: dict[str, str] = field(default_factory=dict)  # name -> row-level SQL
 
 
@@ -142,7 +144,7 @@ def stats_spec(
     decimals: int | None = None,
     keep_raw: Sequence[str] = (),
     derived: Mapping[str, str] | None = None,
-    then: Callable[[DataFrame], DataFrame] | None = None,
+    then: Callable[..., DataFrame] | None = None,
 ) -> AggSpec:
     """Spec producing ``keys + [s.alias ...] (+ raw_name(k) for k in keep_raw)``.
 
@@ -166,9 +168,9 @@ def stats_spec(
         if s.alias in keep_raw:
             raws.append(f"{v} AS {q(raw_name(s.alias))}")
 
-    def finish(g: DataFrame) -> DataFrame:
+    def finish(g: DataFrame, small: bool = False) -> DataFrame:
         out = g.selectExpr(*cols, *raws)
-        return then(out) if then else out
+        return then(out, small) if then else out
 
     return AggSpec(tuple(keys), buffers, finish, derived)
 
@@ -226,6 +228,7 @@ def run_specs_fused(
     agg = src.groupingSets([list(s) for s in sets], *all_keys).agg(
         *_aggs(buffers), F.expr("GROUPING_ID() AS __gid")
     )
+    small = False
     if persist:
         # Persist, then checkpoint into the session's checkpoint folder: the
         # aggregate is computed once, its lineage (the scan) is cut, and the
@@ -235,14 +238,14 @@ def run_specs_fused(
         agg = agg.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
         agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
         if agg.count() <= single_task_rows:
-            agg = agg.coalesce(1)
+            agg, small = agg.coalesce(1), True
     n = len(all_keys)
     out = {}
     for name, spec in specs.items():
         # grouping_id: bit (n-1-i) is set when key i is NOT grouped in the set.
         gid = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in spec.keys)
         part = agg.where(f"__gid = {gid}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
-        out[name] = spec.finish(part)
+        out[name] = spec.finish(part, small)
     return out, agg
 
 

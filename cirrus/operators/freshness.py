@@ -37,7 +37,7 @@ def freshness_spec(
         f"WHEN {hours} > {delayed_hours} THEN 'Delayed' ELSE 'Fresh' END"
     )
 
-    def finish(g: DataFrame) -> DataFrame:
+    def finish(g: DataFrame, small: bool = False) -> DataFrame:
         out = g.selectExpr(
             *[q(k) for k in keys],
             f"{q(mx)} AS {q(last_a)}",

@@ -18,7 +18,7 @@ def grouped_correlation_spec(
     corr = f"__corr__{x}__{y}"
     buffers = {corr: guarded_corr_sql(q(x), q(y)), **mean_buffers(x, fx, decimals), **mean_buffers(y, fy, decimals)}
 
-    def finish(g: DataFrame) -> DataFrame:
+    def finish(g: DataFrame, small: bool = False) -> DataFrame:
         out = g.selectExpr(
             *[q(k) for k in keys],
             f"{round_sql(q(corr), 4)} AS {q(corr_alias)}",
@@ -51,7 +51,7 @@ def group_moments_spec(df: DataFrame, keys: Sequence[str], value: str, decimals:
     sds = f"__sds__{value}"
     buffers = {**mean_buffers(value, frac, decimals), sds: f"STDDEV_SAMP({q(value)})"}
 
-    def finish(g: DataFrame) -> DataFrame:
+    def finish(g: DataFrame, small: bool = False) -> DataFrame:
         out = g.selectExpr(*[q(k) for k in keys], f"{mean_value(value, frac, decimals)} AS {MEAN}", f"{q(sds)} AS {SD}")
         return out.where(f"{SD} IS NOT NULL")
 

@@ -24,7 +24,7 @@ def grouped_profile_spec(
         Stat("stddev_samp", value, f"{value}_stddev"),
         Stat("count", None, count_alias),
     ]
-    return stats_spec(df, keys, stats, decimals, then=lambda g: g.orderBy(*desc(f"avg_{value}")))
+    return stats_spec(df, keys, stats, decimals, then=lambda g, small=False: g.orderBy(*desc(f"avg_{value}")))
 
 
 def grouped_profile(
@@ -60,7 +60,7 @@ def period_profile_spec(
         spec,
         decimals,
         derived={period_alias: period_start_sql(q(ts), period)},
-        then=lambda g: g.orderBy(*asc(*keys), *desc(period_alias)),
+        then=lambda g, small=False: g.orderBy(*asc(*keys), *desc(period_alias)),
     )
 
 
@@ -98,7 +98,7 @@ def paired_gap_spec(
         stats,
         decimals,
         derived={gap: f"({q(perceived)} - {q(actual)})"},
-        then=lambda g: g.orderBy(*desc(g_avg)),
+        then=lambda g, small=False: g.orderBy(*desc(g_avg)),
     )
 
 
@@ -125,7 +125,7 @@ def hour_of_day_spec(
         stats,
         decimals,
         derived={hour_alias: hour_of_day_sql(q(ts))},
-        then=lambda g: g.orderBy(*asc(hour_alias)),
+        then=lambda g, small=False: g.orderBy(*asc(hour_alias)),
     )
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cirrus.functions.expr import exact_sum_units_sql, lookup_sql, mean_from_sql, period_start_sql, q, round_sql
+from cirrus.session import ensure_checkpoint_dir
 from cirrus.operators.aggregates import (
     AggSpec,
     Stat,
@@ -20,6 +23,90 @@ from cirrus.operators.aggregates import (
 )
 
 
+# Aggregates up to this many rows are ranked with an unpartitioned window
+# (one task); larger ones with ``distributed_rank``.
+RANK_SINGLE_TASK_ROWS = 1_000_000
+
+
+def distributed_rank(df: DataFrame, column: str, descending: bool, alias: str) -> DataFrame:
+    """SQL ``RANK()`` over all rows of ``df`` ordered by ``column`` (NULLs
+    last), without moving the rows into one task.
+
+    The rows are range-partitioned and sorted by ``column`` (equal values
+    always land in the same range, so ties never straddle partitions) and
+    checkpointed, which fixes the sampled ranges for the two passes that
+    follow.  Pass one counts rows per partition - one number per partition
+    reaches the driver - giving each partition its offset; pass two ranks
+    each partition's sorted rows locally (vectorised, in ``mapInPandas``)
+    and adds the offset.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
+    ordered = (
+        df.repartitionByRange(order)
+        .sortWithinPartitions(order)
+        .withColumn("__pid", F.spark_partition_id())
+        .withColumn("__null", F.col(column).isNull())
+        .checkpoint(eager=True)
+    )
+    offsets, acc = {}, 0
+    for pid, n in sorted(tuple(r) for r in ordered.groupBy("__pid").count().collect()):
+        offsets[pid] = acc
+        acc += n
+    schema = T.StructType([*ordered.schema.fields, T.StructField(alias, T.LongType(), False)])
+
+    def rank_partition(batches):
+        import numpy as np
+
+        seen, prev = 0, None  # prev: (is_null, value, rank) of the last row seen
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                yield pdf.assign(**{alias: np.zeros(0, dtype="int64")})
+                continue
+            base = offsets[int(pdf["__pid"].iat[0])]
+            null = pdf["__null"].to_numpy(dtype=bool)
+            vals = pdf[column].to_numpy()
+            nan = np.isnan(vals) & ~null if vals.dtype.kind == "f" else np.zeros(n, dtype=bool)
+            new = np.ones(n, dtype=bool)
+            if n > 1:
+                both = ~null[1:] & ~null[:-1]
+                same = (null[1:] & null[:-1]) | (both & ((vals[1:] == vals[:-1]) | (nan[1:] & nan[:-1])))
+                new[1:] = ~same
+            if prev is not None:
+                p_null, p_val, p_nan, _ = prev
+                new[0] = not ((null[0] and p_null) or (not null[0] and not p_null and (vals[0] == p_val or (nan[0] and p_nan))))
+            pos = base + seen + np.arange(1, n + 1, dtype="int64")
+            ranks = np.maximum.accumulate(np.where(new, pos, 0))
+            if prev is not None:
+                ranks = np.where(ranks == 0, prev[3], ranks)
+            prev = (bool(null[-1]), vals[-1], bool(nan[-1]), int(ranks[-1]))
+            seen += n
+            yield pdf.assign(**{alias: ranks})
+
+    return ordered.mapInPandas(rank_partition, schema).drop("__pid", "__null")
+
+
+def add_ranks(
+    g: DataFrame, ranks: Sequence[tuple[str, bool, str]], small: bool, single_task_rows: int | None = None
+) -> DataFrame:
+    """Add ``RANK()`` columns, each ``(value column, descending, alias)``.
+
+    Unless the caller knows the aggregate is small, it is persisted and its
+    size checked first: up to ``single_task_rows`` rows a plain window (one
+    task, no extra passes), beyond that ``distributed_rank``.
+    """
+    if not small:
+        limit = RANK_SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+        g = g.persist(StorageLevel.MEMORY_AND_DISK)
+        small = g.count() <= limit
+    if small:
+        return g.selectExpr("*", *[f"{rank_sql(q(v), d)} AS {q(a)}" for v, d, a in ranks])
+    for v, d, a in ranks:
+        g = distributed_rank(g, v, d, a)
+    return g
+
+
 def rank_sql(value: str, descending: bool = True) -> str:
     """SQL ``RANK()`` (gaps after ties) over all rows, NULLs last, as bigint.
 
@@ -42,13 +129,9 @@ def rank_groups_spec(
     avg_a = f"avg_{value}"
     raw = q(raw_name(avg_a))
 
-    def then(g: DataFrame) -> DataFrame:
-        out = g.selectExpr(
-            *[q(k) for k in keys],
-            q(avg_a),
-            f"{rank_sql(raw, True)} AS {q(desc_alias)}",
-            f"{rank_sql(raw, False)} AS {q(asc_alias)}",
-        )
+    def then(g: DataFrame, small: bool = False) -> DataFrame:
+        ranked = add_ranks(g, [(raw_name(avg_a), True, desc_alias), (raw_name(avg_a), False, asc_alias)], small)
+        out = ranked.select(*keys, avg_a, desc_alias, asc_alias)
         return out.orderBy(*asc(desc_alias))
 
     return stats_spec(df, keys, [Stat("avg", value, avg_a)], decimals, keep_raw=[avg_a], then=then)
@@ -80,8 +163,8 @@ def volatility_rank_spec(
     ]
     shown = [*keys, *[s.alias for s in stats]]
 
-    def then(g: DataFrame) -> DataFrame:
-        out = g.selectExpr(*[q(c) for c in shown], f"{rank_sql(q(raw_name(sd)))} AS {q(rank_alias)}")
+    def then(g: DataFrame, small: bool = False) -> DataFrame:
+        out = add_ranks(g, [(raw_name(sd), True, rank_alias)], small).select(*shown, rank_alias)
         return out.orderBy(*asc(rank_alias))
 
     return stats_spec(df, keys, stats, decimals, keep_raw=[sd], then=then)
@@ -127,7 +210,7 @@ def mapped_rollup_rank_spec(
     def mm(c: str) -> str:
         return round_sql(c, 2) if frac else c
 
-    def finish(g: DataFrame) -> DataFrame:
+    def finish(g: DataFrame, small: bool = False) -> DataFrame:
         r = g.groupBy(rollup_alias).agg(
             *[
                 F.expr(t)
@@ -148,8 +231,9 @@ def mapped_rollup_rank_spec(
             f"{mm(q(mx))} AS {q('max_' + value)}",
             q(distinct_alias),
             q(count_alias),
-            f"{rank_sql(mean)} AS {q(rank_alias)}",
+            f"{mean} AS __rank_value",
         )
+        out = add_ranks(out, [("__rank_value", True, rank_alias)], small).drop("__rank_value")
         return out.orderBy(*asc(rank_alias))
 
     return AggSpec((rollup_alias, key), buffers, finish, {rollup_alias: lookup_sql(q(key), mapping, otherwise)})
@@ -180,7 +264,7 @@ def period_over_period_spec(
     raw = q(raw_name(avg_a))
     part = ", ".join(q(k) for k in keys)
 
-    def then(g: DataFrame) -> DataFrame:
+    def then(g: DataFrame, small: bool = False) -> DataFrame:
         lag = f"LAG({raw}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
         out = g.selectExpr(
             *[q(k) for k in keys], q(period_alias), q(avg_a), f"{round_sql(f'{raw} - {lag}', 2)} AS {q(change_alias)}"

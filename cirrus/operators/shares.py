@@ -20,7 +20,7 @@ def category_share_spec(
 ) -> AggSpec:
     part = ", ".join(q(k) for k in keys)
 
-    def then(g: DataFrame) -> DataFrame:
+    def then(g: DataFrame, small: bool = False) -> DataFrame:
         # The total is a window over the aggregated counts: one row per
         # (keys, category) reaches that shuffle, never the raw rows.
         n = q(count_alias)
@@ -76,7 +76,7 @@ def grouped_band_spec(
     stats = [Stat("avg", value, avg_a), Stat("min", value, min_a), Stat("count", None, count_alias)]
     raw = q(raw_name(avg_a))
 
-    def then(g: DataFrame) -> DataFrame:
+    def then(g: DataFrame, small: bool = False) -> DataFrame:
         if having_below is not None:
             g = g.where(f"{raw} < {having_below}")
         out = g.selectExpr(
