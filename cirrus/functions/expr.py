@@ -9,6 +9,7 @@ wide projections of a fused suite.  ``*_col`` variants return Columns.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -31,6 +32,17 @@ def lit(v) -> str:
     return str(v)
 
 
+def ntz_sql(instant: dt.datetime) -> str:
+    """A naive-timestamp literal.  ``F.lit(datetime)`` would make a zoned
+    timestamp (through the Python process's zone) and shift comparisons with
+    naive columns whenever the session zone differs."""
+    return f"TIMESTAMP_NTZ'{instant.replace(tzinfo=None).isoformat(sep=' ')}'"
+
+
+def ntz(instant: dt.datetime) -> Column:
+    return F.expr(ntz_sql(instant))
+
+
 def _d(x: float) -> str:
     return f"{float(x)!r}D"
 

@@ -42,8 +42,47 @@ def _weather_queries() -> dict[str, tuple[QueryFn, str | None]]:
     return out
 
 
+def _variant_queries() -> dict[str, tuple[QueryFn, str | None]]:
+    """The same operators on other inputs, to reach branches the main views
+    do not: per-user freshness on the raw events (by city every reading is
+    recent), anomalies on the orders view (more outliers than the top-50
+    cut, so tie-breaking matters), and an export read back."""
+    from cirrus.operators.freshness import freshness
+    from cirrus.session import ensure_checkpoint_dir
+    from cirrus.sinks.parquet_export import export, read_export, run_stamp
+    from cirrus.sources.derived import load_table
+
+    def per_user(spark, sf_dir):
+        return freshness(load_table(spark, sf_dir, "events"), ["user_id"], "ts", FRESHNESS_AS_OF)
+
+    def export_read_back(spark, sf_dir):
+        import uuid
+
+        out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cirrus-exports/{uuid.uuid4().hex}"
+        path = export(W.avg_temperature_per_city(events_readings(spark, sf_dir)), "avg_temperature_per_city",
+                      out, run_stamp())
+        return read_export(spark, path)
+
+    user_sql = O.with_fixture("E", """
+SELECT user_id,
+  MAX(ts) AS last_recorded_at,
+  COUNT(*) AS total_records,
+  DATE_DIFF('hour', MAX(ts), {as_of}) AS hours_since_last_record,
+  CASE WHEN DATE_DIFF('hour', MAX(ts), {as_of}) > 24 THEN 'Stale'
+       WHEN DATE_DIFF('hour', MAX(ts), {as_of}) > 6 THEN 'Delayed'
+       ELSE 'Fresh' END AS freshness_status
+FROM events GROUP BY user_id
+ORDER BY hours_since_last_record DESC""".replace("{as_of}", O.FRESHNESS_AS_OF_SQL))
+    return {
+        "freshness_per_user": (per_user, user_sql),
+        "anomaly_detection_orders": (_orders(W.anomaly_detection), O.query_sql("anomaly_detection", "O")),
+        "export_read_back": (export_read_back, O.query_sql("avg_temperature_per_city", "E")),
+    }
+
+
 def registry() -> dict[str, tuple[QueryFn, str | None]]:
     out = _weather_queries()
+    out.update(_variant_queries())
     out.update(_quality_queries())
     out.update(_load_queries())
     out.update(_suite_queries())
@@ -82,10 +121,11 @@ _SPLIT_SQL = "TIMESTAMP '2024-01-21 00:00:00'"
 def _load_queries() -> dict[str, tuple[QueryFn, str | None]]:
     from pyspark.sql import functions as F
 
+    from cirrus.functions.expr import ntz
     from cirrus.streaming.incremental import mark_of, newer_than
 
     def stored(r: DataFrame) -> DataFrame:
-        return r.filter(F.col("recorded_at") < F.lit(INCREMENTAL_SPLIT))
+        return r.filter(F.col("recorded_at") < ntz(INCREMENTAL_SPLIT))
 
     def incremental_load(spark, sf_dir):
         r = events_readings(spark, sf_dir)

@@ -19,6 +19,8 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cirrus.functions.expr import ntz_sql
+
 log = logging.getLogger(__name__)
 
 R = TypeVar("R")
@@ -90,8 +92,13 @@ def jdbc_load(
         )
     df = reader.load()
     if after is not None:
-        df = df.filter(F.col(partition_column) > F.lit(after))
-    return df
+        # Compared before any conversion, so the predicate reaches the remote
+        # WHERE clause (the literal folds to a plain timestamp).
+        df = df.filter(F.col(partition_column) > F.expr(f"CAST({ntz_sql(after)} AS TIMESTAMP)"))
+    # Readings carry naive event times.  Partitioned JDBC reads need a zoned
+    # column, so the conversion comes after the load; it keeps the database's
+    # wall-clock time when the session and JVM zones agree (UTC by default).
+    return df.withColumn(partition_column, F.col(partition_column).cast("timestamp_ntz"))
 
 
 def jdbc_full_load(spark: SparkSession, url: str, table: str = "weather_data", **kw) -> DataFrame:

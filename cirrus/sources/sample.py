@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus import schema as S
-from cirrus.functions.expr import round_to
+from cirrus.functions.expr import ntz, round_to
 
 
 def generate_readings(
@@ -60,7 +60,7 @@ def generate_readings(
         F.element_at(F.array(*[F.lit(d) for d in descriptions]), pick).alias(S.DESCRIPTION),
         round_to(F.abs(noise(5.0, 3.0, 4)), 2).alias(S.WIND_SPEED),
         noise(10000.0, 2000.0, 5).cast("bigint").alias(S.VISIBILITY),
-        (F.lit(base_time).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), step, F.lit(0), F.lit(0))).alias(
+        (ntz(base_time) - F.make_dt_interval(F.lit(0), step, F.lit(0), F.lit(0))).alias(
             S.RECORDED_AT
         ),
     )

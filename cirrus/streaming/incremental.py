@@ -21,6 +21,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cirrus.functions.expr import ntz
 from cirrus.schema import READINGS_SCHEMA, RECORDED_AT
 from cirrus.sources.local import empty_frame
 from cirrus.sources.tables import append_or_create, read_target, target_exists
@@ -50,7 +51,7 @@ def incremental_load(source: DataFrame, mark: dt.datetime | None, ts: str = RECO
     """Source rows strictly newer than ``mark``; the whole source when None."""
     if mark is None:
         return source
-    return source.filter(F.col(ts) > F.lit(mark))
+    return source.filter(F.col(ts) > ntz(mark))
 
 
 def newer_than(source: DataFrame, stored: DataFrame, ts: str = RECORDED_AT) -> DataFrame:

@@ -124,6 +124,8 @@ def test_jdbc_loads_over_embedded_derby(spark):
     full = jdbc_full_load(spark, url, rows_per_partition=10, max_retries=1)
     assert full.rdd.getNumPartitions() > 1
     assert full.count() == 80
+    assert dict(full.dtypes)["recorded_at"] == "timestamp_ntz"
+    assert full.agg({"recorded_at": "max"}).first()[0] == T0
     mark = T0 - dt.timedelta(hours=3)
     inc = jdbc_incremental_load(spark, url, mark, rows_per_partition=10, max_retries=1)
     assert inc.count() == 6
