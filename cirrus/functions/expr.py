@@ -114,6 +114,20 @@ def exact_mean_sql(x: str, decimals: int) -> str:
 # ---------------------------------------------------------------------------
 
 
+def corr_parts_sql(x: str, y: str) -> dict[str, str]:
+    """The correlation as separate single-function aggregates (pair count,
+    covariance, the two standard deviations) over complete pairs; combine
+    with ``corr_from_parts_sql``."""
+    ok = f"({x} IS NOT NULL AND {y} IS NOT NULL)"
+    xs, ys = f"CASE WHEN {ok} THEN {x} END", f"CASE WHEN {ok} THEN {y} END"
+    return {"n": f"COUNT_IF({ok})", "cov": f"COVAR_POP({xs}, {ys})", "sx": f"STDDEV_POP({xs})", "sy": f"STDDEV_POP({ys})"}
+
+
+def corr_from_parts_sql(n: str, cov: str, sx: str, sy: str) -> str:
+    """NULL without complete pairs, NaN for zero variance, else cov/(sx*sy)."""
+    return f"(CASE WHEN {n} = 0 THEN CAST(NULL AS DOUBLE) ELSE COALESCE({cov} / NULLIF({sx} * {sy}, 0D), CAST('NaN' AS DOUBLE)) END)"
+
+
 def guarded_corr_sql(x: str, y: str) -> str:
     """Pearson correlation over complete (x, y) pairs, as an aggregate.
 

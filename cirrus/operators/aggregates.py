@@ -189,6 +189,22 @@ def _aggs(buffers: Mapping[str, str]):
     return [F.expr(f"{t} AS {q(n)}") for n, t in buffers.items()]
 
 
+def _single_call(sql: str) -> bool:
+    """True for ``NAME(...)`` where the first '(' closes at the very end."""
+    head = sql.split("(", 1)[0]
+    if not head or not head.replace("_", "").isalnum():
+        return False
+    depth = 0
+    for i, ch in enumerate(sql):
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+            if depth == 0:
+                return i == len(sql) - 1
+    return False
+
+
 def run_spec(df: DataFrame, spec: AggSpec) -> DataFrame:
     """One spec as a plain ``groupBy().agg()``."""
     src = with_derived(df, spec.derived)
@@ -224,9 +240,26 @@ def run_specs_fused(
                 all_keys.append(k)
         if spec.keys not in sets:
             sets.append(spec.keys)
+    n = len(all_keys)
+
+    def gid_of(keys: tuple[str, ...]) -> int:
+        # grouping_id: bit (n-1-i) is set when key i is NOT grouped in the set.
+        return sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
+
+    # Every set would otherwise update every buffer: restrict each buffer to
+    # the sets whose specs use it (FILTER on the grouping id).
+    users: dict[str, set[int]] = {}
+    for spec in specs.values():
+        for b in spec.buffers:
+            users.setdefault(b, set()).add(gid_of(spec.keys))
+    filtered = {
+        b: (f"{t} FILTER (WHERE GROUPING_ID() IN ({', '.join(map(str, sorted(users[b])))}))"
+            if _single_call(t) and len(users[b]) < len(sets) else t)
+        for b, t in buffers.items()
+    }
     src = with_derived(df, derived)
     agg = src.groupingSets([list(s) for s in sets], *all_keys).agg(
-        *_aggs(buffers), F.expr("GROUPING_ID() AS __gid")
+        *_aggs(filtered), F.expr("GROUPING_ID() AS __gid")
     )
     small = False
     if persist:
@@ -239,12 +272,9 @@ def run_specs_fused(
         agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
         if agg.count() <= single_task_rows:
             agg, small = agg.coalesce(1), True
-    n = len(all_keys)
     out = {}
     for name, spec in specs.items():
-        # grouping_id: bit (n-1-i) is set when key i is NOT grouped in the set.
-        gid = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in spec.keys)
-        part = agg.where(f"__gid = {gid}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
+        part = agg.where(f"__gid = {gid_of(spec.keys)}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
         out[name] = spec.finish(part, small)
     return out, agg
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from cirrus.functions.expr import guarded_corr_sql, q, round_sql
+from cirrus.functions.expr import corr_from_parts_sql, corr_parts_sql, q, round_sql
 from cirrus.operators.aggregates import AggSpec, asc, column_type, desc, mean_buffers, mean_value, run_spec
 from cirrus.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 
@@ -15,13 +15,14 @@ def grouped_correlation_spec(
     df: DataFrame, keys: Sequence[str], x: str, y: str, corr_alias: str, decimals: int | None = None
 ) -> AggSpec:
     fx, fy = column_type(df, x, {}), column_type(df, y, {})
-    corr = f"__corr__{x}__{y}"
-    buffers = {corr: guarded_corr_sql(q(x), q(y)), **mean_buffers(x, fx, decimals), **mean_buffers(y, fy, decimals)}
+    parts = {f"__corr{k}__{x}__{y}": t for k, t in corr_parts_sql(q(x), q(y)).items()}
+    corr = corr_from_parts_sql(*[q(f"__corr{k}__{x}__{y}") for k in ("n", "cov", "sx", "sy")])
+    buffers = {**parts, **mean_buffers(x, fx, decimals), **mean_buffers(y, fy, decimals)}
 
     def finish(g: DataFrame, small: bool = False) -> DataFrame:
         out = g.selectExpr(
             *[q(k) for k in keys],
-            f"{round_sql(q(corr), 4)} AS {q(corr_alias)}",
+            f"{round_sql(corr, 4)} AS {q(corr_alias)}",
             f"{round_sql(mean_value(x, fx, decimals), 2)} AS {q('avg_' + x)}",
             f"{round_sql(mean_value(y, fy, decimals), 2)} AS {q('avg_' + y)}",
         )

@@ -1,9 +1,9 @@
 """Data-quality checks over a readings frame, as one report DataFrame.
 
-All value checks (row count, null cells, range violations) are fused into a
-single aggregate pass with one partial/final aggregate; the duplicate check
-is a second, key-shuffled aggregate attached as a scalar subquery, so the
-whole report is one Spark action.  Missing columns are decided from the
+All value checks (row count, null cells, range violations) are one grand
+total aggregate (an ``AggSpec`` with no keys, so a fused suite can compute it
+in its own pass); the duplicate check is a second, key-shuffled aggregate
+attached as a scalar subquery, so the whole report is one Spark action.  Missing columns are decided from the
 schema on the driver (metadata only, no job).
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from cirrus import schema as S
 from cirrus.functions.expr import lit, q
+from cirrus.operators.aggregates import AggSpec, run_spec
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -88,7 +89,7 @@ def _fmt(template: str, n: str) -> str:
 def _row(order: int, name: str, passed: str, message: str, failed: str) -> str:
     return (
         f"named_struct('check_order', {order}, 'check_name', {lit(name)}, 'passed', {passed}, "
-        f"'message', {message}, 'failed_records', CAST({failed} AS BIGINT), 'total_records', __total)"
+        f"'message', {message}, 'failed_records', CAST({failed} AS BIGINT), 'total_records', __rows)"
     )
 
 
@@ -103,29 +104,33 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] = S.DUPLICATE_KEY) -> Dat
     return per_key.agg(F.expr("CAST(COALESCE(SUM(extra), 0) AS BIGINT) AS duplicates"))
 
 
-def quality_report(df: DataFrame, checks: Sequence[str] | None = None) -> DataFrame:
-    """Report rows (``REPORT_SCHEMA``), one per requested check, in check order."""
+def quality_spec(df: DataFrame, checks: Sequence[str] | None = None) -> AggSpec:
+    """The report as an aggregate spec over the empty grouping (a grand
+    total), so it can share a fused GROUPING SETS pass with other specs.
+
+    Buffers: row count, null cells per critical column, violations per range
+    check.  The duplicate count is a separate key-shuffled aggregate attached
+    as a scalar subquery.
+    """
     wanted = [c for c in CHECKS if checks is None or c in checks]
     present = set(df.columns)
-    aggs = ["COUNT(1) AS __total"]
+    buffers = {"__rows": "COUNT(1)"}
     critical = [c for c in S.CRITICAL_COLUMNS if c in present]
     if "no_nulls" in wanted:
-        aggs += [f"COUNT_IF({_is_null(df, c)}) AS {q('__null_' + c)}" for c in critical]
+        buffers.update({f"__null_{c}": f"COUNT_IF({_is_null(df, c)})" for c in critical})
     for name, (c, lo, hi, _, _) in RANGE_CHECKS.items():
         if name in wanted and c in present:
-            aggs.append(f"COUNT_IF({_out_of_range(df, c, lo, hi)}) AS __bad_{name}")
-    one = df.agg(*[F.expr(a) for a in aggs])
+            buffers[f"__bad_{name}"] = f"COUNT_IF({_out_of_range(df, c, lo, hi)})"
     dup_possible = all(k in present for k in S.DUPLICATE_KEY)
-    if "no_duplicates" in wanted and dup_possible:
-        one = one.select("*", duplicate_count(df).scalar().alias("__dups"))
+    dups = duplicate_count(df) if "no_duplicates" in wanted and dup_possible else None
 
     rows = []
     for order, name in enumerate(CHECKS, start=1):
         if name not in wanted:
             continue
         if name == "not_empty":
-            msg = f"CASE WHEN __total > 0 THEN {_fmt(MSG_RECORDS_FOUND, '__total')} ELSE {lit(MSG_EMPTY)} END"
-            rows.append(_row(order, name, "__total > 0", msg, "0"))
+            msg = f"CASE WHEN __rows > 0 THEN {_fmt(MSG_RECORDS_FOUND, '__rows')} ELSE {lit(MSG_EMPTY)} END"
+            rows.append(_row(order, name, "__rows > 0", msg, "0"))
         elif name == "required_columns":
             missing = [c for c in S.REQUIRED_COLUMNS if c not in present]
             msg = MSG_ALL_COLUMNS if not missing else MSG_MISSING_COLUMNS.format(missing=missing)
@@ -135,7 +140,7 @@ def quality_report(df: DataFrame, checks: Sequence[str] | None = None) -> DataFr
             msg = f"CASE WHEN {n} = 0 THEN {lit(MSG_NO_NULLS)} ELSE {_fmt(MSG_NULLS, n)} END"
             rows.append(_row(order, name, f"{n} = 0", msg, n))
         elif name == "no_duplicates":
-            if not dup_possible:
+            if dups is None:
                 rows.append(_row(order, name, "false", lit(MSG_DUPLICATE_COLUMNS_MISSING), "0"))
                 continue
             msg = f"CASE WHEN __dups = 0 THEN {lit(MSG_NO_DUPLICATES)} ELSE {_fmt(MSG_DUPLICATES, '__dups')} END"
@@ -148,7 +153,23 @@ def quality_report(df: DataFrame, checks: Sequence[str] | None = None) -> DataFr
             n = f"__bad_{name}"
             msg = f"CASE WHEN {n} = 0 THEN {lit(msg_ok)} ELSE {_fmt(msg_bad, n)} END"
             rows.append(_row(order, name, f"{n} = 0", msg, n))
-    return one.selectExpr(f"inline(array({', '.join(rows)}))")
+
+    names = list(buffers)
+
+    def finish(g: DataFrame, small: bool = False) -> DataFrame:
+        # All buffers are counts: folding in a zero row yields exactly one
+        # row even when a grouping-sets pass produced none (empty input).
+        zero = g.sparkSession.range(1).selectExpr(*[f"CAST(0 AS BIGINT) AS {q(n)}" for n in names])
+        g = g.select(*names).unionByName(zero).agg(*[F.expr(f"SUM({q(n)}) AS {q(n)}") for n in names])
+        one = g if dups is None else g.select("*", dups.scalar().alias("__dups"))
+        return one.selectExpr(f"inline(array({', '.join(rows)}))")
+
+    return AggSpec((), buffers, finish)
+
+
+def quality_report(df: DataFrame, checks: Sequence[str] | None = None) -> DataFrame:
+    """Report rows (``REPORT_SCHEMA``), one per requested check, in check order."""
+    return run_spec(df, quality_spec(df, checks))
 
 
 def check(df: DataFrame, name: str) -> DataFrame:

@@ -7,13 +7,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cirrus.operators.quality import quality_report, report_summary
+from cirrus.operators.quality import quality_report, quality_spec, report_summary
 from cirrus.plans.suite import run_suite
 from cirrus.sinks.parquet_export import export_all
 from cirrus.sources.tables import conform
 
 log = logging.getLogger(__name__)
 
+_REPORT = "__quality_report"
+
 
 @dataclass
 class AnalysisRun:
@@ -42,15 +44,25 @@ def analyse(
     """Check the readings, run the query suite, optionally export.
 
     Failed checks are logged and, unless ``strict``, do not stop the run.
+    When fused (and not strict) the value checks ride along in the suite's
+    grouping-sets pass, so the whole analysis reads the readings three times:
+    that pass, the duplicate check and the anomaly join.  ``strict`` checks
+    first and stops before any query runs.
     """
     readings = conform(readings)
-    report, summary = validate(readings)
+    if fused and not strict:
+        results, status = run_suite(readings, fused=True, as_of=as_of, extra={_REPORT: quality_spec(readings)})
+        report = results.pop(_REPORT).persist()
+        summary = report_summary(report)
+    else:
+        report, summary = validate(readings)
     s = summary.first()
     log.info("data quality: %s", s["summary"])
     if not s["passed"]:
         log.warning("failed checks: %s", ", ".join(s["failed_checks"]))
         if strict:
             raise ValueError(f"quality checks failed: {s['failed_checks']}")
-    results, status = run_suite(readings, fused=fused, as_of=as_of)
+    if not (fused and not strict):
+        results, status = run_suite(readings, fused=fused, as_of=as_of)
     exported = export_all(results, export_dir, run_ts) if export_dir else {}
     return AnalysisRun(report, summary, results, status, exported)

@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from cirrus.operators.aggregates import AggSpec, run_spec
 from cirrus.plans.weather import QUERIES, data_freshness_per_city, fused_queries
 from cirrus.sources.local import local_frame
 
@@ -57,6 +58,7 @@ def run_suite(
     fused: bool = True,
     as_of: dt.datetime | str | None = None,
     parallelism: int | None = None,
+    extra: dict[str, AggSpec] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Run every query with a status each (suite order).
 
@@ -72,6 +74,10 @@ def run_suite(
     own, concurrently.  A failing query - at plan or at run time; Spark
     errors surface at the action, so the action is inside the guard - gets
     status 'failed' and no result.
+
+    ``extra`` specs share the fused pass (the analysis passes the quality
+    report this way); their lazy results are returned under their names,
+    or run on their own when the suite is not fused.
     """
     spark = readings.sparkSession
     named = queries is None
@@ -81,7 +87,7 @@ def run_suite(
     built: dict[str, DataFrame] | None = None
     if named and fused:
         try:
-            built, _ = fused_queries(readings, as_of)
+            built, _ = fused_queries(readings, as_of, extra=extra)
         except Exception as e:  # noqa: BLE001 - fall back to one query at a time
             log.error("fused suite failed (%s); running queries one by one", e)
 
@@ -96,7 +102,17 @@ def run_suite(
 
         return run
 
-    outcomes = run_concurrently({n: action(n, f) for n, f in queries.items()}, parallelism)
+    actions = {n: action(n, f) for n, f in queries.items()}
+    extras = dict(extra or {})
+    if built is not None:
+        # Extras (e.g. the quality report) materialise alongside the results.
+        def materialise(df: DataFrame):
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            return df, df.count(), None
+
+        for name in extras:
+            actions[name] = (lambda d=built[name]: materialise(d))
+    outcomes = run_concurrently(actions, parallelism)
     results: dict[str, DataFrame] = {}
     status = []
     for name in queries:
@@ -108,4 +124,10 @@ def run_suite(
             df, n, secs = out
             results[name] = df
             status.append((name, "ok", n, secs))
+    for name, spec in extras.items():
+        out = outcomes.get(name)
+        if isinstance(out, tuple):
+            results[name] = out[0]
+        else:
+            results[name] = run_spec(readings, spec)
     return results, local_frame(spark, status, STATUS_SCHEMA)

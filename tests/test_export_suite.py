@@ -98,3 +98,17 @@ def test_sample_generator(spark):
     assert min(r["recorded_at"] for r in rows) == base - dt.timedelta(hours=47)
     again = generate_readings(spark, hours=48, base_time=base, seed=7).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
+def test_fused_analysis_report_equals_standalone(spark):
+    from cirrus.operators.quality import quality_report
+    from cirrus.sources.derived import dirty_readings
+    from cirrus.sources.tables import conform
+
+    for df in (events_readings(spark, SF01), dirty_readings(events_readings(spark, SF001))):
+        run = analyse(spark, df, as_of=FRESHNESS_AS_OF)
+        want = [tuple(r) for r in quality_report(conform(df)).collect()]
+        assert [tuple(r) for r in run.report.collect()] == want
+    empty = analyse(spark, events_readings(spark, SF001).where("1 = 0"), as_of=FRESHNESS_AS_OF)
+    rep = {r["check_name"]: r["passed"] for r in empty.report.collect()}
+    assert rep["not_empty"] is False and len(rep) == 8
