@@ -4,7 +4,8 @@ All of them are built-in Spark expressions (JVM side, inside whole-stage
 codegen); none is a Python UDF.  They are produced as SQL text and turned
 into plans with ``selectExpr`` / ``F.expr``: one driver->JVM call per
 expression instead of one per node, which keeps planning cheap for the
-wide projections of a fused suite.  ``*_col`` variants return Columns.
+wide projections of a fused suite.  ``round_to``, ``ntz``, ``band`` and
+``lookup`` return Columns for callers that want them.
 """
 
 from __future__ import annotations
@@ -86,11 +87,13 @@ def exact_sum_units_sql(x: str, decimals: int) -> str:
     Integer addition is associative, so the result does not depend on how
     rows were split over tasks (a floating-point sum does, in its last bits,
     which flips rounded averages).  Values must carry at most ``decimals``
-    decimals; under ANSI mode an overflow raises instead of wrapping.
+    decimals.  ``TRY_SUM`` gives NULL on overflow (beyond 9.2e18 units, e.g.
+    9.2e16 degrees at 2 decimals) whatever the session's ANSI setting, so an
+    overflow can never wrap into a wrong mean.
     """
     if decimals == 0:
-        return f"SUM(CAST({x} AS BIGINT))"
-    return f"SUM(CAST(ROUND(({x}) * {_d(10**decimals)}) AS BIGINT))"
+        return f"TRY_SUM(CAST({x} AS BIGINT))"
+    return f"TRY_SUM(CAST(ROUND(({x}) * {_d(10**decimals)}) AS BIGINT))"
 
 
 def mean_from_sql(sum_units: str, count: str, decimals: int) -> str:

@@ -140,6 +140,7 @@ def fused_queries(
     as_of: dt.datetime | str | None = None,
     std_threshold: float = 2.0,
     extra: dict[str, AggSpec] | None = None,
+    single_task_rows: int | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """All sixteen results from two passes over ``r``.
 
@@ -154,6 +155,7 @@ def fused_queries(
     specs = {name: b(r) for name, b in builders.items()}
     specs[_MOMENTS] = group_moments_spec(r, [S.CITY], S.TEMPERATURE, D)
     specs.update(extra or {})
-    results, shared = run_specs_fused(r, specs)
+    kw = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
+    results, shared = run_specs_fused(r, specs, **kw)
     results["anomaly_detection"] = anomaly_detection(r, std_threshold, moments=results.pop(_MOMENTS))
     return {name: results[name] for name in [*QUERIES, *(extra or {})]}, shared

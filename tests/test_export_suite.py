@@ -55,6 +55,23 @@ def test_fused_suite_equals_standalone_queries(spark):
     shared.unpersist()
 
 
+def test_fused_suite_distributed_finishing_equals_single_task(spark):
+    r = events_readings(spark, SF001)
+    small, _ = W.fused_queries(r, FRESHNESS_AS_OF)
+    large, _ = W.fused_queries(r, FRESHNESS_AS_OF, single_task_rows=0)
+    for name in W.QUERIES:
+        assert sorted(map(tuple, small[name].collect()), key=repr) == sorted(map(tuple, large[name].collect()), key=repr)
+
+
+def test_every_query_is_partition_independent(spark):
+    r = events_readings(spark, SF01)
+    r7 = r.repartition(7)
+    for name, fn in W.QUERIES.items():
+        a = sorted(map(tuple, fn(r).collect()), key=repr)
+        b = sorted(map(tuple, fn(r7).collect()), key=repr)
+        assert a == b, name
+
+
 def test_fused_suite_reads_the_table_twice(spark):
     r = events_readings(spark, SF001)
     fused, _ = W.fused_queries(r, FRESHNESS_AS_OF)
