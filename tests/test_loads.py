@@ -130,3 +130,22 @@ def test_jdbc_loads_over_embedded_derby(spark):
     inc = jdbc_incremental_load(spark, url, mark, rows_per_partition=10, max_retries=1)
     assert inc.count() == 6
     assert "GreaterThan" in inc._jdf.queryExecution().executedPlan().toString()
+
+
+def test_incremental_run_from_jdbc(spark, tmp_dir):
+    url = "jdbc:derby:memory:cirrus_inc;create=true"
+    frame(spark, rows(n=5)).write.format("jdbc").option("url", url).option("dbtable", "weather_data").mode(
+        "overwrite"
+    ).save()
+    target = os.path.join(tmp_dir, "readings")
+    mark = high_water_mark(spark, target)
+    src = jdbc_incremental_load(spark, url, mark, max_retries=1)
+    assert incremental_run(spark, src, target).count() == 5
+    frame(spark, rows("London", 2, T0 + dt.timedelta(hours=2))).write.format("jdbc").option("url", url).option(
+        "dbtable", "weather_data"
+    ).mode("append").save()
+    mark = high_water_mark(spark, target)
+    src = jdbc_incremental_load(spark, url, mark, max_retries=1)
+    assert src.count() == 2
+    assert incremental_run(spark, src, target).count() == 7
+    assert high_water_mark(spark, target) == T0 + dt.timedelta(hours=2)

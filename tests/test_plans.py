@@ -39,3 +39,26 @@ def test_size_check_falls_back_to_shuffled_join(spark):
 def test_readings_view_needs_no_join(spark):
     p = plan(events_readings(spark, SF001))
     assert "Join" not in p and "Exchange" not in p
+
+
+def test_anomaly_join_without_broadcast_gives_same_rows(spark):
+    from cirrus import schema as S
+    from cirrus.operators.outliers import zscore_outliers
+
+    r = events_readings(spark, SF001)
+    a = zscore_outliers(r, [S.CITY], S.TEMPERATURE, S.RECORDED_AT, 2.0, 50, 2)
+    b = zscore_outliers(r, [S.CITY], S.TEMPERATURE, S.RECORDED_AT, 2.0, 50, 2, max_broadcast_rows=0)
+    assert "BroadcastHashJoin" not in plan(b) or "BroadcastHashJoin" in plan(a)
+    assert [tuple(x) for x in a.collect()] == [tuple(x) for x in b.collect()]
+
+
+def test_hot_key_holding_most_rows(spark):
+    """One city with most of the rows: same answers as without the skew."""
+    r = events_readings(spark, SF001)
+    hot = r.selectExpr("CASE WHEN humidity % 3 <> 0 THEN 'Paris' ELSE city END AS city",
+                       *[c for c in r.columns if c != "city"])
+    share = hot.where("city = 'Paris'").count() / hot.count()
+    assert share > 1 / 3
+    groups = W.avg_temperature_per_city(hot).collect()
+    assert sum(x["record_count"] for x in groups) == hot.count()
+    assert len(W.anomaly_detection(hot).collect()) <= 50
