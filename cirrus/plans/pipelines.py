@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from cirrus.operators.quality import quality_report, quality_spec, report_summary
 from cirrus.plans.suite import run_suite
 from cirrus.sinks.parquet_export import export_all
-from cirrus.sources.tables import conform
+from cirrus.sources.jdbc import jdbc_full_load, jdbc_incremental_load
+from cirrus.sources.sample import generate_readings
+from cirrus.sources.tables import conform, read_readings
+from cirrus.streaming.incremental import high_water_mark, incremental_run
 
 log = logging.getLogger(__name__)
 
@@ -26,6 +29,36 @@ class AnalysisRun:
     exported: dict[str, str] = field(default_factory=dict)
 
 
+def load_readings(
+    spark: SparkSession,
+    mode: str,
+    *,
+    path: str | None = None,
+    url: str | None = None,
+    table: str = "weather_data",
+    target: str | None = None,
+    properties: dict[str, str] | None = None,
+    **sample_kw,
+) -> DataFrame:
+    """The readings an analysis starts from.
+
+    mode 'sample': generated readings (``generate_readings(**sample_kw)``);
+    'parquet': a stored table at ``path``; 'full': the whole JDBC ``table``;
+    'incremental': JDBC rows newer than ``target``'s high-water mark are
+    appended to ``target`` and the whole stored table is returned.
+    """
+    if mode == "sample":
+        return generate_readings(spark, **sample_kw)
+    if mode == "parquet":
+        return read_readings(spark, path)
+    if mode == "full":
+        return jdbc_full_load(spark, url, table, properties=properties)
+    if mode == "incremental":
+        source = jdbc_incremental_load(spark, url, high_water_mark(spark, target), table, properties=properties)
+        return incremental_run(spark, source, target)
+    raise ValueError(f"unknown mode {mode!r}")
+
+
 def validate(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Quality report and its one-row summary; nothing is stored."""
     report = quality_report(readings).persist()

@@ -129,3 +129,22 @@ def test_fused_analysis_report_equals_standalone(spark):
     empty = analyse(spark, events_readings(spark, SF001).where("1 = 0"), as_of=FRESHNESS_AS_OF)
     rep = {r["check_name"]: r["passed"] for r in empty.report.collect()}
     assert rep["not_empty"] is False and len(rep) == 8
+
+
+def test_load_modes_feed_the_analysis(spark, tmp_dir):
+    from cirrus.plans.pipelines import load_readings
+    from cirrus.sources.tables import append_or_create
+
+    base = dt.datetime(2026, 1, 10, 12, 0)
+    sample = load_readings(spark, "sample", hours=24, base_time=base, seed=3)
+    assert sample.count() == 24 * 12
+    append_or_create(sample, os.path.join(tmp_dir, "stored"))
+    stored = load_readings(spark, "parquet", path=os.path.join(tmp_dir, "stored"))
+    run = analyse(spark, stored, as_of=base)
+    st = {r["query_name"]: r["row_count"] for r in run.status.collect()}
+    assert st["avg_temperature_per_city"] == 12 and st["hourly_weather_pattern"] == 24
+    url = "jdbc:derby:memory:cirrus_modes;create=true"
+    sample.write.format("jdbc").option("url", url).option("dbtable", "weather_data").mode("overwrite").save()
+    assert load_readings(spark, "full", url=url).count() == 24 * 12
+    inc = load_readings(spark, "incremental", url=url, target=os.path.join(tmp_dir, "inc"))
+    assert inc.count() == 24 * 12
