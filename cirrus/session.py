@@ -26,13 +26,22 @@ def build_session(
     app_name: str = "cirrus",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    cores: int | None = None,
 ) -> SparkSession:
     """Return a session configured for the readings workloads.
 
     Only settings the library relies on are forced: UTC session time (all
     calendar logic is written against naive timestamps anyway), AQE with
     partition coalescing and skew-join splitting, and no UI server.
+
+    ``input_bytes`` (+ ``cores``, the cluster's total) sizes the shuffles:
+    the one wide shuffle of the analysis (the duplicate check, keyed by
+    series and time) carries about the whole input, so it starts with one
+    partition per ~128 MiB and AQE coalesces the small ones.
     """
+    if shuffle_partitions is None and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes, cores or 1)
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
