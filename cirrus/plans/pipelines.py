@@ -38,6 +38,7 @@ def load_readings(
     table: str = "weather_data",
     target: str | None = None,
     properties: dict[str, str] | None = None,
+    day_partition: str | None = None,
     **sample_kw,
 ) -> DataFrame:
     """The readings an analysis starts from.
@@ -45,7 +46,8 @@ def load_readings(
     mode 'sample': generated readings (``generate_readings(**sample_kw)``);
     'parquet': a stored table at ``path``; 'full': the whole JDBC ``table``;
     'incremental': JDBC rows newer than ``target``'s high-water mark are
-    appended to ``target`` and the whole stored table is returned.
+    appended to ``target`` (optionally partitioned by day, see
+    ``append_or_create``) and the whole stored table is returned.
     """
     if mode == "sample":
         return generate_readings(spark, **sample_kw)
@@ -54,8 +56,9 @@ def load_readings(
     if mode == "full":
         return jdbc_full_load(spark, url, table, properties=properties)
     if mode == "incremental":
-        source = jdbc_incremental_load(spark, url, high_water_mark(spark, target), table, properties=properties)
-        return incremental_run(spark, source, target)
+        mark = high_water_mark(spark, target, day_partition=day_partition)
+        source = jdbc_incremental_load(spark, url, mark, table, properties=properties)
+        return incremental_run(spark, source, target, day_partition=day_partition)
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -60,6 +60,8 @@ def read_readings(spark: SparkSession, target: str) -> DataFrame:
 def _ordered_like(df: DataFrame, spark: SparkSession, target: str) -> DataFrame:
     """Align ``df`` to the stored column order by name (never by position)."""
     stored = read_target(spark, target).columns
+    if set(stored) == set(df.columns):
+        return df.select(*stored)
     missing = [c for c in stored if c not in df.columns]
     extra = [c for c in df.columns if c not in stored]
     if missing or extra:
@@ -67,19 +69,32 @@ def _ordered_like(df: DataFrame, spark: SparkSession, target: str) -> DataFrame:
     return df.select(*stored)
 
 
-def append_or_create(df: DataFrame, target: str) -> int:
+def with_day(df: DataFrame, ts: str, day_column: str) -> DataFrame:
+    """Add the (naive) calendar day of ``ts`` as ``day_column``."""
+    return df if day_column in df.columns else df.withColumn(day_column, F.to_date(F.col(ts)))
+
+
+def append_or_create(df: DataFrame, target: str, day_partition: str | None = None, ts: str = "recorded_at") -> int:
     """Append ``df`` to ``target`` (by column name), creating it if absent.
 
     Never drops existing rows.  Returns the number of rows written, observed
     during the write itself (no separate counting job).  Appending nothing
     leaves an existing target unchanged; a new target is still created, with
     the frame's schema and no rows, so a following read succeeds.
+
+    ``day_partition`` stores the table partitioned by the day of ``ts`` (a
+    column of that name): readers filtering on time prune to the days they
+    need, and the high-water mark reads only the newest day.
     """
     spark = df.sparkSession
     obs = Observation("append")
+    if day_partition:
+        df = with_day(df, ts, day_partition)
     exists = target_exists(spark, target)
     data = _ordered_like(df, spark, target) if exists else df
     w = data.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    if day_partition:
+        w = w.partitionBy(day_partition)
     if is_path(target):
         w.parquet(target)
     else:

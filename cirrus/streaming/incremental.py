@@ -24,22 +24,46 @@ from pyspark.sql import functions as F
 from cirrus.functions.expr import ntz
 from cirrus.schema import READINGS_SCHEMA, RECORDED_AT
 from cirrus.sources.local import empty_frame
-from cirrus.sources.tables import append_or_create, read_target, target_exists
+from cirrus.sources.tables import append_or_create, is_path, read_target, target_exists
 
 log = logging.getLogger(__name__)
 
 EARLIEST = "0001-01-01 00:00:00"
 
 
-def high_water_mark(spark: SparkSession, target: str, ts: str = RECORDED_AT) -> dt.datetime | None:
+def _newest_day(spark: SparkSession, target: str, day_partition: str) -> str | None:
+    """Newest ``day_partition=YYYY-MM-DD`` folder of a stored path (a listing
+    of one entry per day, read on the driver; no data is scanned)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{day_partition}="
+    days = [s.getPath().getName()[len(prefix):] for s in fs.listStatus(root)
+            if s.isDirectory() and s.getPath().getName().startswith(prefix)]
+    days = [d for d in days if d != "__HIVE_DEFAULT_PARTITION__"]
+    return max(days) if days else None
+
+
+def high_water_mark(
+    spark: SparkSession, target: str, ts: str = RECORDED_AT, day_partition: str | None = None
+) -> dt.datetime | None:
     """Newest ``ts`` stored in ``target``; None when it is missing or empty.
 
-    One global aggregate (partial max per task, one row to the driver).
+    One global aggregate (partial max per task, one row to the driver).  For
+    a day-partitioned stored path only the newest day is read (partition
+    pruning); the newest day comes from the folder listing.
     """
     if not target_exists(spark, target):
         log.info("%s does not exist yet - full load required", target)
         return None
-    return read_target(spark, target).agg(F.max(ts)).first()[0]
+    stored = read_target(spark, target)
+    if day_partition and is_path(target):
+        day = _newest_day(spark, target, day_partition)
+        if day is not None:
+            newest = stored.where(F.col(day_partition) == F.to_date(F.lit(day))).agg(F.max(ts)).first()[0]
+            if newest is not None:
+                return newest
+    return stored.agg(F.max(ts)).first()[0]
 
 
 def mark_of(stored: DataFrame, ts: str = RECORDED_AT) -> DataFrame:
@@ -71,15 +95,16 @@ def incremental_run(
     source: DataFrame,
     target: str,
     ts: str = RECORDED_AT,
+    day_partition: str | None = None,
 ) -> DataFrame:
     """Mark -> load newer rows -> append -> the whole stored table.
 
     Returns an empty frame with the readings schema when neither the source
     nor the target holds anything.
     """
-    mark = high_water_mark(spark, target, ts)
+    mark = high_water_mark(spark, target, ts, day_partition)
     new_rows = incremental_load(source, mark, ts)
-    n = append_or_create(new_rows, target)
+    n = append_or_create(new_rows, target, day_partition, ts)
     log.info("loaded %d new record(s) since %s", n, mark)
     if target_exists(spark, target):
         return read_target(spark, target)

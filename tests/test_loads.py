@@ -149,3 +149,18 @@ def test_incremental_run_from_jdbc(spark, tmp_dir):
     assert src.count() == 2
     assert incremental_run(spark, src, target).count() == 7
     assert high_water_mark(spark, target) == T0 + dt.timedelta(hours=2)
+
+
+def test_day_partitioned_store_prunes_the_mark(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "by_day")
+    first = frame(spark, rows(n=30))                        # spans two days
+    assert incremental_run(spark, first, target, day_partition="event_date").count() == 30
+    assert sorted(d for d in os.listdir(target) if d.startswith("event_date=")) == [
+        "event_date=2026-05-31", "event_date=2026-06-01"]
+    assert high_water_mark(spark, target, day_partition="event_date") == T0
+    newer = frame(spark, rows(n=30) + rows("Paris", 3, T0 + dt.timedelta(hours=14)))   # into the next day
+    out = incremental_run(spark, newer, target, day_partition="event_date")
+    assert out.count() == 33
+    assert high_water_mark(spark, target, day_partition="event_date") == T0 + dt.timedelta(hours=14)
+    pruned = read_readings(spark, target).where("event_date = DATE'2026-06-02'").agg({"recorded_at": "max"})
+    assert "PartitionFilters: [isnotnull(event_date" in pruned._jdf.queryExecution().executedPlan().toString()
