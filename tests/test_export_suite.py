@@ -148,3 +148,17 @@ def test_load_modes_feed_the_analysis(spark, tmp_dir):
     assert load_readings(spark, "full", url=url).count() == 24 * 12
     inc = load_readings(spark, "incremental", url=url, target=os.path.join(tmp_dir, "inc"))
     assert inc.count() == 24 * 12
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from cirrus.__main__ import main
+
+    assert main(["validate", "--sample", "--hours", "6"]) == 0
+    out = capsys.readouterr().out
+    assert "8/8 checks passed" in out
+    assert main(["analyse", "--sample", "--hours", "6", "--rows", "2", "--as-of", "2026-01-01 00:00:00",
+                 "--export", os.path.join(tmp_dir, "out")]) == 0
+    out = capsys.readouterr().out
+    assert "== temperature_volatility_by_city" in out and "exported 16 results" in out
+    assert main(["list-exports", os.path.join(tmp_dir, "out")]) == 0
+    assert "avg_temperature_per_city" in capsys.readouterr().out
