@@ -290,10 +290,6 @@ def grouped_stats(
     return run_spec(df, stats_spec(df, keys, stats, decimals, keep_raw))
 
 
-def drop_raw(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if not c.startswith("__raw_")])
-
-
 def asc(*names: str):
     return [F.asc_nulls_last(n) for n in names]
 

@@ -28,63 +28,127 @@ from cirrus.operators.aggregates import (
 RANK_SINGLE_TASK_ROWS = 1_000_000
 
 
+def _same(null_a, val_a, nan_a, null_b, val_b, nan_b) -> bool:
+    """Equality for ranking: NULLs equal each other, NaNs equal each other."""
+    if null_a or null_b:
+        return bool(null_a and null_b)
+    return bool((nan_a and nan_b) or val_a == val_b)
+
+
 def distributed_rank(df: DataFrame, column: str, descending: bool, alias: str) -> DataFrame:
     """SQL ``RANK()`` over all rows of ``df`` ordered by ``column`` (NULLs
     last), without moving the rows into one task.
 
-    The rows are range-partitioned and sorted by ``column`` (equal values
-    always land in the same range, so ties never straddle partitions) and
-    checkpointed, which fixes the sampled ranges for the two passes that
-    follow.  Pass one counts rows per partition - one number per partition
-    reaches the driver - giving each partition its offset; pass two ranks
-    each partition's sorted rows locally (vectorised, in ``mapInPandas``)
-    and adds the offset.
+    Rows are range-partitioned on (``column``, a hash of the row), so even a
+    value shared by a third of the rows is split over several ranges, sorted
+    within each range, and checkpointed (which fixes the sampled ranges for
+    the passes that follow).  Pass one emits one summary row per partition
+    (row count, first and last value, length of the trailing run of equal
+    values); from these the driver gets each partition's offset and the rank
+    of a tie run that continues from earlier partitions.  Pass two ranks each
+    partition's sorted rows locally (vectorised, ``mapInPandas``).
     """
     ensure_checkpoint_dir(df.sparkSession)
     order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
     ordered = (
-        df.repartitionByRange(order)
-        .sortWithinPartitions(order)
+        df.withColumn("__tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+        .repartitionByRange(order, F.col("__tie"))
+        .sortWithinPartitions(order, "__tie")
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__null", F.col(column).isNull())
         .checkpoint(eager=True)
     )
-    offsets, acc = {}, 0
-    for pid, n in sorted(tuple(r) for r in ordered.groupBy("__pid").count().collect()):
-        offsets[pid] = acc
-        acc += n
+
+    def arrays(pdf):
+        import numpy as np
+
+        null = pdf["__null"].to_numpy(dtype=bool)
+        vals = pdf[column].to_numpy()
+        nan = np.isnan(vals.astype("float64")) & ~null if vals.dtype.kind in "fc" else np.zeros(len(pdf), dtype=bool)
+        return null, vals, nan
+
+    def run_starts(null, vals, nan):
+        import numpy as np
+
+        new = np.ones(len(null), dtype=bool)
+        if len(null) > 1:
+            both = ~null[1:] & ~null[:-1]
+            same = (null[1:] & null[:-1]) | (both & ((vals[1:] == vals[:-1]) | (nan[1:] & nan[:-1])))
+            new[1:] = ~same
+        return new
+
+    summary_schema = (
+        "pid int, n long, first_null boolean, first_val double, first_nan boolean, "
+        "last_null boolean, last_val double, last_nan boolean, tail long"
+    )
+
+    def summarise(batches):
+        import pandas as pd
+
+        pid, n, first, last, tail = None, 0, None, None, 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pid = int(pdf["__pid"].iat[0])
+            null, vals, nan = arrays(pdf)
+            new = run_starts(null, vals, nan)
+            if first is None:
+                first = (bool(null[0]), vals[0], bool(nan[0]))
+            continues = last is not None and _same(*last, bool(null[0]), vals[0], bool(nan[0]))
+            starts = [i for i in range(len(pdf)) if new[i] and not (i == 0 and continues)]
+            tail = (len(pdf) - starts[-1]) if starts else tail + len(pdf)
+            last = (bool(null[-1]), vals[-1], bool(nan[-1]))
+            n += len(pdf)
+        if pid is not None:
+            yield pd.DataFrame([{
+                "pid": pid, "n": n,
+                "first_null": first[0], "first_val": float(first[1]) if not first[0] else None, "first_nan": first[2],
+                "last_null": last[0], "last_val": float(last[1]) if not last[0] else None, "last_nan": last[2],
+                "tail": tail,
+            }])
+
+    parts = sorted(
+        (tuple(r) for r in ordered.select("__pid", "__null", column).mapInPandas(summarise, summary_schema).collect()),
+        key=lambda r: r[0],
+    )
+    # Per partition: offset (rows before it) and, when its first rows continue
+    # the previous partition's last run, the rank of that run.
+    start, carry, acc, prev_last, prev_run_start = {}, {}, 0, None, None
+    for pid, n, f_null, f_val, f_nan, l_null, l_val, l_nan, tail in parts:
+        first = (f_null, f_val, f_nan)
+        cont = prev_last is not None and _same(*prev_last, *first)
+        start[pid], carry[pid] = acc, (prev_run_start if cont else None)
+        whole = tail == n
+        prev_run_start = prev_run_start if (cont and whole) else acc + n - tail + 1
+        prev_last, acc = (l_null, l_val, l_nan), acc + n
     schema = T.StructType([*ordered.schema.fields, T.StructField(alias, T.LongType(), False)])
 
     def rank_partition(batches):
         import numpy as np
 
-        seen, prev = 0, None  # prev: (is_null, value, rank) of the last row seen
+        seen, prev = 0, None  # prev: (null, value, nan, rank) of the last row seen in this partition
         for pdf in batches:
             n = len(pdf)
             if n == 0:
                 yield pdf.assign(**{alias: np.zeros(0, dtype="int64")})
                 continue
-            base = offsets[int(pdf["__pid"].iat[0])]
-            null = pdf["__null"].to_numpy(dtype=bool)
-            vals = pdf[column].to_numpy()
-            nan = np.isnan(vals) & ~null if vals.dtype.kind == "f" else np.zeros(n, dtype=bool)
-            new = np.ones(n, dtype=bool)
-            if n > 1:
-                both = ~null[1:] & ~null[:-1]
-                same = (null[1:] & null[:-1]) | (both & ((vals[1:] == vals[:-1]) | (nan[1:] & nan[:-1])))
-                new[1:] = ~same
+            pid = int(pdf["__pid"].iat[0])
+            null, vals, nan = arrays(pdf)
+            new = run_starts(null, vals, nan)
             if prev is not None:
-                p_null, p_val, p_nan, _ = prev
-                new[0] = not ((null[0] and p_null) or (not null[0] and not p_null and (vals[0] == p_val or (nan[0] and p_nan))))
-            pos = base + seen + np.arange(1, n + 1, dtype="int64")
+                new[0] = not _same(prev[0], prev[1], prev[2], bool(null[0]), vals[0], bool(nan[0]))
+                lead = prev[3]
+            else:
+                new[0] = carry[pid] is None
+                lead = carry[pid] or 0
+            pos = start[pid] + seen + np.arange(1, n + 1, dtype="int64")
             ranks = np.maximum.accumulate(np.where(new, pos, 0))
-            if prev is not None:
-                ranks = np.where(ranks == 0, prev[3], ranks)
+            ranks = np.where(ranks == 0, lead, ranks)
             prev = (bool(null[-1]), vals[-1], bool(nan[-1]), int(ranks[-1]))
             seen += n
             yield pdf.assign(**{alias: ranks})
 
-    return ordered.mapInPandas(rank_partition, schema).drop("__pid", "__null")
+    return ordered.mapInPandas(rank_partition, schema).drop("__pid", "__null", "__tie")
 
 
 def add_ranks(

@@ -26,13 +26,38 @@ def frame(spark, n, seed):
 def test_distributed_rank_matches_window(spark, descending, seed):
     df = frame(spark, 3000, seed).repartition(5)
     want = {r["id"]: r["r"] for r in df.selectExpr("id", f"{rank_sql('v', descending)} AS r").collect()}
-    got_df = distributed_rank(df, "v", descending, "r")
-    got = {r["id"]: r["r"] for r in got_df.collect()}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # many small ranges: ties straddle partition boundaries
+    try:
+        got_df = distributed_rank(df, "v", descending, "r")
+        got = {r["id"]: r["r"] for r in got_df.collect()}
+    finally:
+        spark.conf.set(key, old)
     assert got == want
     plan = got_df._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan or "MapInArrow" in plan
 
 
+def test_distributed_rank_splits_a_hot_value(spark):
+    # A third of the rows share one value: it must spread over partitions.
+    from pyspark.sql import functions as F
+
+    rows = [(i, 7.0 if i % 3 == 0 else float(i % 50)) for i in range(3000)]
+    df = local_frame(spark, rows, SCHEMA).repartition(6)
+    want = {r["id"]: r["r"] for r in df.selectExpr("id", f"{rank_sql('v', True)} AS r").collect()}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep the 8 ranges apart on this tiny input
+    try:
+        got = distributed_rank(df, "v", True, "r").withColumn("pid", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert {r["id"]: r["r"] for r in got} == want
+    hot_parts = {r["pid"] for r in got if r["v"] == 7.0}
+    assert len(hot_parts) > 1
+
+
 def test_rank_queries_take_the_distributed_path_when_large(spark, monkeypatch):
     r = events_readings(spark, SF001)
     small = {tuple(x) for x in W.temperature_volatility_by_city(r).collect()}
