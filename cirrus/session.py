@@ -51,8 +51,6 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Coalesce small shuffles by size, not down to the core count.
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.parquet.compression.codec": "snappy",
