@@ -17,6 +17,8 @@ from cirrus.operators.aggregates import (
     _scale,
     asc,
     column_type,
+    mean_buffers,
+    mean_value,
     raw_name,
     run_spec,
     stats_spec,
@@ -250,9 +252,12 @@ def mapped_rollup_rank_spec(
     distinct_alias: str | None = None,
     count_alias: str = "total_readings",
     rank_alias: str = "temperature_rank",
+    via_keys: Sequence[str] | None = None,
 ) -> AggSpec:
     """Two-level plan: aggregate by (rolled-up key, key), then re-aggregate
-    by the rolled-up key.  The distinct count of ``key`` is then a plain
+    by the rolled-up key.  ``via_keys`` (containing ``key``) groups by those
+    keys instead and maps ``key`` in the finishing step, so a fused suite
+    serves this query from an existing grouping set.  The distinct count of ``key`` is then a plain
     count of first-level groups (no Expand-based distinct aggregate), and the
     exact integer sums merge without error."""
     frac = column_type(df, value, {})
@@ -275,6 +280,11 @@ def mapped_rollup_rank_spec(
         return round_sql(c, 2) if frac else c
 
     def finish(g: DataFrame, small: bool = False) -> DataFrame:
+        if via_keys:
+            merge = {su: "TRY_SUM" if scale is not None else "SUM", n: "SUM", mn: "MIN", mx: "MAX", "__rows": "SUM"}
+            g = g.selectExpr(f"{lookup_sql(q(key), mapping, otherwise)} AS {q(rollup_alias)}", q(key),
+                             *[q(b) for b in buffers])
+            g = g.groupBy(rollup_alias, key).agg(*[F.expr(f"{merge[b]}({q(b)}) AS {q(b)}") for b in buffers])
         r = g.groupBy(rollup_alias).agg(
             *[
                 F.expr(t)
@@ -300,6 +310,8 @@ def mapped_rollup_rank_spec(
         out = add_ranks(out, [("__rank_value", True, rank_alias)], small).drop("__rank_value")
         return out.orderBy(*asc(rank_alias))
 
+    if via_keys:
+        return AggSpec(tuple(via_keys), buffers, finish)
     return AggSpec((rollup_alias, key), buffers, finish, {rollup_alias: lookup_sql(q(key), mapping, otherwise)})
 
 
@@ -323,10 +335,17 @@ def period_over_period_spec(
     period_alias: str = "month",
     change_alias: str = "change_from_previous_month",
     decimals: int | None = None,
+    via_day: str | None = None,
 ) -> AggSpec:
+    """``via_day`` (a column name): group by (keys, day of ``ts``) and roll the
+    exact sums up to the period in the finishing step, so a fused suite
+    serves this query from the same grouping set as its daily profiles."""
     avg_a = f"avg_{value}"
     raw = q(raw_name(avg_a))
     part = ", ".join(q(k) for k in keys)
+    frac = column_type(df, value, {})
+    if via_day and _scale(frac, decimals) is not None:
+        return _period_over_period_via_day(df, keys, ts, period, value, period_alias, change_alias, decimals, via_day)
 
     def then(g: DataFrame, small: bool = False) -> DataFrame:
         lag = f"LAG({raw}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
@@ -346,6 +365,30 @@ def period_over_period_spec(
     )
 
 
+def _period_over_period_via_day(df, keys, ts, period, value, period_alias, change_alias, decimals, day):
+    frac = column_type(df, value, {})
+    buffers = mean_buffers(value, frac, decimals)
+    avg_a = f"avg_{value}"
+    mean = mean_value(value, frac, decimals)
+    part = ", ".join(q(k) for k in keys)
+
+    def finish(g: DataFrame, small: bool = False) -> DataFrame:
+        per = g.selectExpr(*[q(k) for k in keys], f"{period_start_sql(q(day), period)} AS {q(period_alias)}",
+                           *[q(b) for b in buffers])
+        # Exact integer sums and counts merge without error.
+        per = per.groupBy(*keys, period_alias).agg(*[F.expr(f"TRY_SUM({q(b)}) AS {q(b)}") for b in buffers])
+        lag = f"LAG({mean}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
+        out = per.selectExpr(
+            *[q(k) for k in keys],
+            q(period_alias),
+            f"{round_sql(mean, 2)} AS {q(avg_a)}",
+            f"{round_sql(f'{mean} - {lag}', 2)} AS {q(change_alias)}",
+        )
+        return out.orderBy(*asc(*keys, period_alias))
+
+    return AggSpec((*keys, day), buffers, finish, {day: period_start_sql(q(ts), "day")})
+
+
 def period_over_period(df: DataFrame, keys: Sequence[str], ts: str, period: str, value: str, **kw) -> DataFrame:
     """Per group and period: rounded mean and its change from the previous
     period *present* in the group (NULL for the first), from unrounded means.

@@ -68,10 +68,14 @@ def _specs(as_of: dt.datetime | str | None = None) -> dict[str, Callable[[DataFr
         "data_freshness_per_city": lambda r: freshness_spec(
             r, [S.CITY], TS, as_of, S.FRESHNESS_DELAYED_HOURS, S.FRESHNESS_STALE_HOURS
         ),
-        "monthly_temperature_trend": lambda r: period_over_period_spec(r, [S.CITY], TS, "month", S.TEMPERATURE,
-                                                                       decimals=D),
+        # Rolled up from the (city, day) set the daily profiles use.
+        "monthly_temperature_trend": lambda r: period_over_period_spec(
+            r, [S.CITY], TS, "month", S.TEMPERATURE, decimals=D, via_day="date"
+        ),
+        # Rolled up from the (city, country) set of the per-city profiles.
         "continent_temperature_ranking": lambda r: mapped_rollup_rank_spec(
-            r, S.CITY, S.CONTINENT_OF_CITY, S.CONTINENT_ELSE, S.TEMPERATURE, "continent", D, distinct_alias="city_count"
+            r, S.CITY, S.CONTINENT_OF_CITY, S.CONTINENT_ELSE, S.TEMPERATURE, "continent", D,
+            distinct_alias="city_count", via_keys=CITY_COUNTRY,
         ),
         "temperature_volatility_by_city": lambda r: volatility_rank_spec(r, CITY_COUNTRY, S.TEMPERATURE, D),
     }

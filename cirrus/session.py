@@ -54,6 +54,9 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.parquet.compression.codec": "snappy",
+        # Remove checkpoint files of frames that are gone, so repeated runs do
+        # not grow the shared checkpoint folder.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
