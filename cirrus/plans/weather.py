@@ -35,7 +35,11 @@ CITY_COUNTRY = [S.CITY, S.COUNTRY]
 TS = S.RECORDED_AT
 
 
-def _specs(as_of: dt.datetime | str | None = None) -> dict[str, Callable[[DataFrame], AggSpec]]:
+def _specs(as_of: dt.datetime | str | None = None, fused: bool = False) -> dict[str, Callable[[DataFrame], AggSpec]]:
+    """Specs of the aggregate queries.  ``fused``: the monthly trend and the
+    continent ranking are served from grouping sets other queries need
+    anyway (rolled up in their finishing steps); on their own they group
+    directly."""
     return {
         "avg_temperature_per_city": lambda r: grouped_profile_spec(r, CITY_COUNTRY, S.TEMPERATURE, D),
         "hottest_coldest_ranking": lambda r: rank_groups_spec(r, CITY_COUNTRY, S.TEMPERATURE, D),
@@ -70,12 +74,12 @@ def _specs(as_of: dt.datetime | str | None = None) -> dict[str, Callable[[DataFr
         ),
         # Rolled up from the (city, day) set the daily profiles use.
         "monthly_temperature_trend": lambda r: period_over_period_spec(
-            r, [S.CITY], TS, "month", S.TEMPERATURE, decimals=D, via_day="date"
+            r, [S.CITY], TS, "month", S.TEMPERATURE, decimals=D, via_day="date" if fused else None
         ),
         # Rolled up from the (city, country) set of the per-city profiles.
         "continent_temperature_ranking": lambda r: mapped_rollup_rank_spec(
             r, S.CITY, S.CONTINENT_OF_CITY, S.CONTINENT_ELSE, S.TEMPERATURE, "continent", D,
-            distinct_alias="city_count", via_keys=CITY_COUNTRY,
+            distinct_alias="city_count", via_keys=CITY_COUNTRY if fused else None,
         ),
         "temperature_volatility_by_city": lambda r: volatility_rank_spec(r, CITY_COUNTRY, S.TEMPERATURE, D),
     }
@@ -155,7 +159,7 @@ def fused_queries(
     aggregate (to unpersist when done).  ``extra`` specs (e.g. the quality
     report) ride along in the same pass; their results follow the queries.
     """
-    builders = _specs(as_of)
+    builders = _specs(as_of, fused=True)
     specs = {name: b(r) for name, b in builders.items()}
     specs[_MOMENTS] = group_moments_spec(r, [S.CITY], S.TEMPERATURE, D)
     specs.update(extra or {})

@@ -44,7 +44,7 @@ def main() -> None:
     for title, df in shown.items():
         print(f"## {title}\n\n```\n{plan(df)}```\n")
     # The shared aggregate itself, as planned before checkpointing.
-    specs = {n: b(r) for n, b in W._specs(FRESHNESS_AS_OF).items()}
+    specs = {n: b(r) for n, b in W._specs(FRESHNESS_AS_OF, fused=True).items()}
     from cirrus.operators.aggregates import run_specs_fused
 
     _, agg = run_specs_fused(r, specs, persist=False)
