@@ -144,3 +144,17 @@ def test_anomaly_top_k_is_deterministic_on_ties(spark):
 def test_empty_input_gives_empty_result(spark, name):
     df = W.QUERIES[name](readings(spark, []))
     assert df.collect() == []
+
+
+def test_rollup_variants_equal_direct_grouping(spark):
+    from cirrus.operators.ranking import mapped_rollup_rank, period_over_period
+    from cirrus.sources.derived import orders_readings
+
+    o = orders_readings(spark, SF01)
+    direct = period_over_period(o, ["city"], "recorded_at", "month", "temperature", decimals=2)
+    rolled = period_over_period(o, ["city"], "recorded_at", "month", "temperature", decimals=2, via_day="date")
+    assert [tuple(r) for r in direct.collect()] == [tuple(r) for r in rolled.collect()]
+    args = (o, "city", S.CONTINENT_OF_CITY, "Other", "temperature", "continent", 2)
+    a = mapped_rollup_rank(*args, distinct_alias="city_count")
+    b = mapped_rollup_rank(*args, distinct_alias="city_count", via_keys=["city", "country"])
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
