@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit -m cirrus <command> ...`` or ``python -m cirrus``.
+"""Command line: ``python -m cirrus <command> ...``, or on a cluster
+``spark-submit --py-files cirrus.zip cirrus/__main__.py <command> ...``.
 
 Commands
   analyse       load readings, check them, run the sixteen queries, print
