@@ -187,4 +187,19 @@ def _suite_queries() -> dict[str, tuple[QueryFn, str | None]]:
         "AS summary, string_agg(CASE WHEN NOT passed THEN check_name END, ',' ORDER BY check_order) "
         f"AS failed_checks FROM ({checks}) rep"
     )
-    return {"run_suite": (suite_status, suite_sql), "quality_summary": (summary, summary_sql)}
+    from cirrus.plans.pipelines import analyse, validate
+    from cirrus.sources.tables import conform
+
+    def analyse_pipeline(spark, sf_dir):
+        run = analyse(spark, events_readings(spark, sf_dir), as_of=FRESHNESS_AS_OF)
+        return run.status.select("query_name", "status", "row_count")
+
+    def validate_pipeline(spark, sf_dir):
+        return validate(conform(events_readings(spark, sf_dir)))[0]
+
+    return {
+        "run_suite": (suite_status, suite_sql),
+        "quality_summary": (summary, summary_sql),
+        "analyse_pipeline": (analyse_pipeline, suite_sql),
+        "validate_pipeline": (validate_pipeline, O.report_sql("readings", "E")),
+    }
