@@ -232,9 +232,11 @@ def run_specs_fused(
     buffers: dict[str, str] = {}
     all_keys: list[str] = []
     sets: list[tuple[str, ...]] = []
-    for spec in specs.values():
-        derived.update(spec.derived)
-        buffers.update(spec.buffers)
+    for name, spec in specs.items():
+        for pool, new in ((derived, spec.derived), (buffers, spec.buffers)):
+            for col, sql in new.items():
+                if pool.setdefault(col, sql) != sql:
+                    raise ValueError(f"spec {name!r} redefines {col!r} differently")
         for k in spec.keys:
             if k not in all_keys:
                 all_keys.append(k)
