@@ -162,3 +162,15 @@ def test_command_line(spark, tmp_dir, capsys):
     assert "== temperature_volatility_by_city" in out and "exported " in out  # empty results are skipped
     assert main(["list-exports", os.path.join(tmp_dir, "out")]) == 0
     assert "avg_temperature_per_city" in capsys.readouterr().out
+
+
+def test_fused_refuses_conflicting_buffers(spark):
+    import pytest
+
+    from cirrus.operators.aggregates import AggSpec, run_specs_fused
+
+    r = events_readings(spark, SF001)
+    a = AggSpec(("city",), {"__x": "MIN(temperature)"}, lambda g, small=False: g)
+    b = AggSpec(("country",), {"__x": "MAX(temperature)"}, lambda g, small=False: g)
+    with pytest.raises(ValueError, match="redefines"):
+        run_specs_fused(r, {"a": a, "b": b}, persist=False)
