@@ -174,3 +174,13 @@ def test_fused_refuses_conflicting_buffers(spark):
     b = AggSpec(("country",), {"__x": "MAX(temperature)"}, lambda g, small=False: g)
     with pytest.raises(ValueError, match="redefines"):
         run_specs_fused(r, {"a": a, "b": b}, persist=False)
+
+
+def test_same_run_stamp_does_not_overwrite(spark, tmp_dir):
+    import pytest
+
+    res = W.feels_like_gap(events_readings(spark, SF001))
+    export(res, "feels_like_gap", tmp_dir, "20260101_000009")
+    with pytest.raises(Exception):
+        export(res, "feels_like_gap", tmp_dir, "20260101_000009")
+    assert [x["query_name"] for x in list_exports(spark, tmp_dir).collect()] == ["feels_like_gap"]

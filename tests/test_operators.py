@@ -158,3 +158,10 @@ def test_rollup_variants_equal_direct_grouping(spark):
     a = mapped_rollup_rank(*args, distinct_alias="city_count")
     b = mapped_rollup_rank(*args, distinct_alias="city_count", via_keys=["city", "country"])
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_null_last_reading_is_fresh(spark):
+    rows = [("ghost", 1.0, 1, 1.0, 1, None), ("live", 1.0, 1, 1.0, 1, T0)]
+    out = {r["city"]: (r["hours_since_last_record"], r["freshness_status"])
+           for r in W.data_freshness_per_city(readings(spark, rows), T0 + dt.timedelta(hours=30)).collect()}
+    assert out == {"ghost": (None, "Fresh"), "live": (30, "Stale")}
