@@ -60,6 +60,10 @@ class AggSpec:
     # to hold at most SINGLE_TASK_ROWS rows (window/rank strategy choice).
     finish: Callable[..., DataFrame]
     derived: dict[str, str] = field(default_factory=dict)  # name -> row-level SQL
+    # For a grand total (no keys) of count-like buffers: in a grouping-sets
+    # pass an empty input yields no row for the empty set, so the fused run
+    # folds in a row of zeros (a plain global aggregate always has one row).
+    counts_only: bool = False
 
 
 def raw_name(alias: str) -> str:
@@ -277,6 +281,10 @@ def run_specs_fused(
     out = {}
     for name, spec in specs.items():
         part = agg.where(f"__gid = {gid_of(spec.keys)}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
+        if not spec.keys and spec.counts_only:
+            cols = list(spec.buffers)
+            zero = df.sparkSession.range(1).selectExpr(*[f"CAST(0 AS BIGINT) AS {q(c)}" for c in cols])
+            part = part.unionByName(zero).agg(*[F.expr(f"SUM({q(c)}) AS {q(c)}") for c in cols])
         out[name] = spec.finish(part, small)
     return out, agg
 
