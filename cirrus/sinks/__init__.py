@@ -1 +1 @@
-
+"""Parquet export of results, with a manifest."""

@@ -1 +1 @@
-
+"""Incremental (high-water-mark) loading and appending."""
