@@ -116,11 +116,19 @@ def replace_table(df: DataFrame, target: str) -> int:
     return int(obs.get.get("rows", 0))
 
 
-def run_sql(spark: SparkSession, query: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
+def run_sql(
+    spark: SparkSession,
+    query: str,
+    views: dict[str, DataFrame] | None = None,
+    observation: Observation | None = None,
+) -> DataFrame:
     """Run a SQL string over the given frames (registered as temp views).
 
     Lazy: time and row count belong to whatever action consumes the result.
+    With an ``observation``, that action also records the row count
+    (``observation.get["rows"]``) without a second job.
     """
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    out = spark.sql(query)
+    return out.observe(observation, F.count(F.lit(1)).alias("rows")) if observation is not None else out

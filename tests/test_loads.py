@@ -85,8 +85,12 @@ def test_replace_and_run_sql(spark, tmp_dir):
     target = os.path.join(tmp_dir, "t")
     append_or_create(frame(spark, rows(n=5)), target)
     assert replace_table(frame(spark, rows(n=2)), target) == 2
-    df = run_sql(spark, "SELECT city, COUNT(*) AS n FROM r GROUP BY city", {"r": read_readings(spark, target)})
+    from pyspark.sql import Observation
+
+    obs = Observation("q")
+    df = run_sql(spark, "SELECT city, COUNT(*) AS n FROM r GROUP BY city", {"r": read_readings(spark, target)}, obs)
     assert [tuple(r) for r in df.collect()] == [("Paris", 2)]
+    assert obs.get["rows"] == 1
 
 
 def test_conform_casts_and_normalises_nan(spark):
