@@ -22,7 +22,9 @@ from cirrus.llm.sampling import held_out, labelled_sample
 
 MAX_TRAIN_ROWS = 20_000  # bound of the fitted sample
 MAX_FEATURES = 3_000  # for each category
+LEAST_Z = 5.0  # standard errors that a feature's shares must differ by
 FOLDS = 3
+THRESHOLD = 0.4
 PREFIXES = (4, 5, 6)  # lengths of the word beginnings that are features
 TRIM = ".,;:!?#*$%&|()[]\"'"
 CATEGORIES = ("quality", "toxic")  # the label columns, in chain order
@@ -108,7 +110,8 @@ def _feature_array(text: Column) -> Column:
 
 def choose_features(sample: DataFrame, categories: Sequence[str], most: int = MAX_FEATURES) -> list[str]:
     """The features whose share of documents differs most between the labels of
-    a category, in standard errors; at most ``most`` for each category."""
+    a category, in standard errors (``LEAST_Z`` at least, so that chance finds
+    among a million words stay out); at most ``most`` for each category."""
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in categories]).first()
     n = totals["n"]
     if not n:
@@ -121,7 +124,7 @@ def choose_features(sample: DataFrame, categories: Sequence[str], most: int = MA
         if 0 < pos < n:
             a, b, p = F.col(c) / pos, (F.col("n") - F.col(c)) / (n - pos), F.col("n") / n
             z = F.abs(a - b) / F.sqrt(p * (1 - p) * (1 / pos + 1 / (n - pos)) + 1e-12)
-            top = counted.where("f <> ''").orderBy(F.desc(z), "f").limit(most).select("f")
+            top = counted.where((F.col("f") != "") & (z >= LEAST_Z)).orderBy(F.desc(z), "f").limit(most).select("f")
             chosen |= {r["f"] for r in top.collect()}
     return sorted(chosen)
 
@@ -166,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
     """doc_id, held_out, the probability of each category (p_<name>), score (that
-    of the last category) and predicted (score >= 0.5) of every whole text.
+    of the last category) and predicted (score >= 0.4) of every whole text.
 
     A null text counts as empty; empty texts get the models' constants.
     """
@@ -184,5 +187,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, categories: Sequence[str
     last = F.col(f"p_{categories[-1]}")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), *[f"p_{c}" for c in categories],
-        last.alias("score"), (last >= 0.5).cast("int").alias("predicted"),
+        last.alias("score"), (last >= THRESHOLD).cast("int").alias("predicted"),
     )
