@@ -1,12 +1,12 @@
 """Benchmark decontamination over a distributed positional inverted index
 (DataFrame functions only).
 
-Postings (term, text, position) are kept of the terms that the test windows
-are searched by: the rarest of each window, by their count in all documents.
-Shifting a posting by the term's offset in the window gives the place where
-the window would start; a window's lists are intersected on that place.  What
-remains is compared word for word (exact phrases) or by the spread of the
-shifted positions (proximity).
+Every window of ten words of a test item is searched by its rarest terms, by
+their count in all documents.  Postings (term, text, position) are kept of
+those terms.  Shifting a posting by the term's place in the item gives the
+alignment of item and text; a window's posting lists are intersected on that
+alignment.  What remains is compared word for word (exact phrases) or by the
+spread of the shifted positions (proximity).
 
 Texts are keyed by 128 bits of their content, so the postings of copies
 collapse while they are aggregated.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cirrus.llm.common import cut, sized, text_key
 
 WINDOW = 10
-RAREST = 3  # terms of a window whose lists are intersected
+RAREST = 2  # terms of a window whose lists are intersected
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -36,117 +36,115 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(ascii_lower, _GAP), lambda w: w != "")
 
 
-def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """window (a key of its words), item, words: the runs of ``size`` words of
-    each item; an item with fewer, but not none, is one window.  A null id
-    counts as the item ''."""
-    b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), terms(F.col("text")).alias("__w"))
-    w = F.col("__w")
-    last = F.greatest(F.size(w) - size, F.lit(0))
-    cut_out = F.transform(F.sequence(F.lit(0), last), lambda s: F.slice(w, s + 1, size))
-    b = b.where(F.size(w) > 0).select("item", F.explode(cut_out).alias("words")).distinct()
-    return b.select(F.unhex(F.md5(F.concat_ws(" ", "words").cast("binary"))).alias("window"), "item", "words")
+def indexed(docs: DataFrame) -> DataFrame:
+    """key and terms of every whole text."""
+    return docs.select(text_key(F.col("text")).alias("key"), terms(F.col("text")).alias("__w"))
+
 
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """item (its id as text; null: ''), test (a key of its words) and words of
+    every item that has words."""
+    b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), terms(F.col("text")).alias("words"))
+    key = F.unhex(F.md5(F.concat_ws(" ", "words").cast("binary")))
+    return b.where(F.size("words") > 0).select("item", key.alias("test"), "words")
 
-def _postings(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """term, key, pos of every occurrence of the wanted terms (column t)."""
-    at = texts.select("key", F.posexplode("__w").alias("pos", "term"))
-    return at.join(wanted, F.col("term") == F.col("t")).select("term", "key", "pos")
 
+def tests_of(items: DataFrame, texts: DataFrame, size: int = WINDOW, rarest: int = RAREST) -> DataFrame:
+    """One row for each distinct test: test, words, length (of its windows) and
+    wins, its windows (s, the start; at, the rarest places in it).
 
-def anchors(texts: DataFrame, wins: DataFrame, rarest: int = RAREST) -> DataFrame:
-    """window, term, offset, bit, full: the rarest places of each window that
-    can occur at all (a window with a term no text has is left out)."""
-    places = wins.select("window", "words").dropDuplicates(["window"])
-    places = places.select("window", F.posexplode("words").alias("offset", "term"))
-    vocab = cut(places.select(F.col("term").alias("t")).distinct())
+    A test with fewer than ``size`` words is one window.  Windows with a term
+    that no text has cannot occur and are left out.
+    """
+    tests = items.select("test", "words").dropDuplicates(["test"])
+    vocab = cut(tests.select(F.explode("words").alias("t")).distinct())
     seen = (
         texts.select(F.explode("__w").alias("term"))
         .join(sized(vocab, 64), F.col("term") == F.col("t"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    seen = cut(seen)
-    ranked = places.join(sized(seen, 72), "term", "left").groupBy("window").agg(
-        F.min(F.coalesce("n", F.lit(0))).alias("least"),
-        F.sort_array(F.collect_list(F.struct("n", "offset", "term"))).alias("by_count"),  # at most WINDOW places
-    )
-    ranked = ranked.where("least > 0").select("window", F.slice("by_count", 1, rarest).alias("chosen"))
-    out = ranked.select("window", F.expr("cast(shiftleft(1, size(chosen)) - 1 as int)").alias("full"), F.posexplode("chosen").alias("k", "c"))
-    return out.select("window", F.col("c.term").alias("term"), F.col("c.offset").alias("offset"), F.expr("shiftleft(1, k)").alias("bit"), "full")
-
+    places = tests.select("test", F.posexplode("words").alias("p", "term"))
+    counted = places.join(sized(cut(seen), 72), "term", "left").groupBy("test")
+    counted = counted.agg(F.sort_array(F.collect_list(F.struct("p", F.coalesce("n", F.lit(0)).alias("n")))).alias("c"))  # one item
+    d = tests.join(counted, "test").withColumn("length", F.least(F.lit(size), F.size("words")))
+
+    def window(s: Column) -> Column:
+        inside = F.slice(F.col("c"), s + 1, F.col("length"))
+        by_count = F.sort_array(F.transform(inside, lambda x: F.struct(x["n"].alias("n"), x["p"].alias("p"))))
+        first = F.slice(by_count, 1, rarest)
+        return F.struct(s.alias("s"), F.get(by_count, F.lit(0))["n"].alias("least"), F.transform(first, lambda x: x["p"]).alias("at"))
+
+    wins = F.filter(F.transform(F.sequence(F.lit(0), F.size("words") - F.col("length")), window), lambda x: x["least"] > 0)
+    return d.select("test", "words", "length", wins.alias("wins")).where(F.size("wins") > 0)
+
+
+def shifted_postings(texts: DataFrame, tests: DataFrame) -> DataFrame:
+    """test, key, shift, p: the postings of the anchors, each less its place p."""
+    at = tests.select("test", "words", F.explode(F.array_distinct(F.flatten(F.transform("wins", lambda x: x["at"])))).alias("p"))
+    at = cut(at.select("test", "p", F.get("words", F.col("p")).alias("t")))
+    postings = texts.select("key", F.posexplode("__w").alias("pos", "term"))
+    found = postings.join(sized(at, 112), F.col("term") == F.col("t"))
+    return found.select("test", "key", (F.col("pos") - F.col("p")).alias("shift"), "p")
+
+
+def phrases(
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, rarest: int = RAREST
+) -> tuple[DataFrame, DataFrame]:
+    """Exact occurrences (test, key, start, length) of every test window in the
+    texts of ``docs``, and the items (item, test, words)."""
+    items = cut(items_of(benchmark))
+    texts = indexed(docs)
+    tests = cut(tests_of(items, texts, size, rarest))
+    lists = shifted_postings(texts, tests).groupBy("test", "key", "shift").agg(F.collect_set("p").alias("ps"))
+    ps = F.col("ps")
+    both = F.filter("wins", lambda x: F.size(F.array_except(x["at"], ps)) == 0)
+    met = lists.join(sized(tests, 4096), "test").select("test", "key", "shift", "words", "length", both.alias("wins"))
+    met = met.where(F.size("wins") > 0).withColumn("wins", F.transform("wins", lambda x: x["s"]))
+    met = cut(met.groupBy("key").agg(F.collect_list(F.struct("test", "shift", "words", "length", "wins")).alias("met")))
+    of_key = sized(met.withColumnRenamed("key", "__k"), 4096)
+    there = docs.select(text_key(F.col("text")).alias("key"), "text").join(of_key, F.col("key") == F.col("__k"))
+    there = there.select("key", terms(F.col("text")).alias("__w"), F.explode("met").alias("m"))
+    w, m = F.col("__w"), F.col("m")
 
-def indexed(docs: DataFrame) -> DataFrame:
-    """key and terms of every whole text."""
-    return docs.select(text_key(F.col("text")).alias("key"), terms(F.col("text")).alias("__w"))
+    def same(s: Column) -> Column:
+        begin = m["shift"] + s
+        return (begin >= 0) & (F.slice(w, F.greatest(begin, F.lit(0)) + 1, m["length"]) == F.slice(m["words"], s + 1, m["length"]))
 
+    out = there.select("key", m["test"].alias("test"), m["length"].alias("length"), m["shift"].alias("shift"), F.explode(F.filter(m["wins"], same)).alias("s"))
+    out = out.select("test", "key", (F.col("shift") + F.col("s")).alias("start"), "length")
+    return cut(out.distinct()), items
 
-def shifted_postings(texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """window, key, start, bit, full: the postings of the anchors, offset-adjusted."""
-    wanted = cut(chosen.select(F.col("term").alias("t")).distinct())
-    hits = _postings(texts, sized(wanted, 64))
-    by_term = sized(chosen.withColumnRenamed("term", "t"), 112)
-    return hits.join(by_term, F.col("term") == F.col("t")).select(
-        "window", "key", (F.col("pos") - F.col("offset")).alias("start"), "bit", "full"
-    )
 
+def proximity(docs: DataFrame, benchmark: DataFrame, slack: int = 5, size: int = WINDOW, rarest: int = 3) -> DataFrame:
+    """test, key, s, shift: windows (start s) whose rarest terms all occur with
+    shifts at most ``slack`` apart, so words may be added, dropped or swapped
+    between them.  One row for each lowest shift.
 
-def phrases(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, rarest: int = RAREST) -> tuple[DataFrame, DataFrame]:
-    """Exact occurrences (window, key, start, length) of every test window in the
-    texts of ``docs``, and the windows (window, item, words)."""
-    wins = cut(windows(benchmark, size))
-    texts = indexed(docs)
-    chosen = cut(anchors(texts, wins, rarest))
-    met = (
-        shifted_postings(texts, chosen)
-        .groupBy("window", "key", "start")
-        .agg(F.bit_or("bit").alias("mask"), F.first("full").alias("full"))
-        .where("mask = full and start >= 0")
-    )
-    words_of = wins.select("window", "words").dropDuplicates(["window"])
-    met = met.join(words_of, "window").select("key", "window", "start", "words")
-    found = cut(met.groupBy("key").agg(F.collect_list(F.struct("start", "window", "words")).alias("met")))
-    of_key = sized(found.withColumnRenamed("key", "__k"), 4096)
-    there = docs.select(text_key(F.col("text")).alias("key"), "text").join(of_key, F.col("key") == F.col("__k"))
-    there = there.select("key", "met", terms(F.col("text")).alias("__w"))
-    w = F.col("__w")
-    same = F.filter("met", lambda m: F.slice(w, m["start"] + 1, F.size(m["words"])) == m["words"])
-    out = there.select("key", F.explode(same).alias("m"))
-    out = out.select(F.col("m.window").alias("window"), "key", F.col("m.start").alias("start"), F.size("m.words").alias("length"))
-    return cut(out.distinct()), wins
-
-
-def proximity(docs: DataFrame, benchmark: DataFrame, slack: int = 5, size: int = WINDOW, rarest: int = RAREST) -> DataFrame:
-    """window, key, start: places where all anchors of a window occur with
-    shifted positions at most ``slack`` apart (words may be added, dropped or
-    swapped between them).  One row for each lowest shifted position.
-
-    Shifted positions are dealt to two overlapping rows of buckets of twice
-    the slack, so that any such place lies within one; a bucket holds at most
-    2 * (slack + 1) * ``rarest`` positions.
+    Shifts are dealt to two overlapping rows of buckets of twice the slack, so
+    that any such place lies within one.
     """
-    wins = cut(windows(benchmark, size))
     texts = indexed(docs)
-    chosen = cut(anchors(texts, wins, rarest))
+    tests = cut(tests_of(cut(items_of(benchmark)), texts, size, rarest))
     step = slack + 1
-    p = shifted_postings(texts, chosen).withColumn("start", F.col("start").cast("long"))
-    b = F.floor(F.col("start") / step)
-    p = p.withColumn("bucket", F.explode(F.array(b, b - 1)))
-    grouped = p.groupBy("window", "key", "bucket", "full").agg(F.collect_set(F.struct("start", "bit")).alias("s"))
-    s = F.col("s")
+    b = F.floor(F.col("shift") / step)
+    p = shifted_postings(texts, tests).withColumn("bucket", F.explode(F.array(b, b - 1)))
+    grouped = p.groupBy("test", "key", "bucket").agg(F.collect_set(F.struct("shift", "p")).alias("near"))
+    d = grouped.join(sized(tests, 4096), "test").select("key", "test", "near", F.explode("wins").alias("win"))
+    near, at = F.col("near"), F.col("win")["at"]
 
     def complete(x: Column) -> Column:
-        near = F.filter(s, lambda y: (y["start"] >= x["start"]) & (y["start"] <= x["start"] + slack))
-        return F.aggregate(near, F.lit(0), lambda a, y: a.bitwiseOR(y["bit"])) == F.col("full")
+        close = F.filter(near, lambda y: (y["shift"] >= x["shift"]) & (y["shift"] <= x["shift"] + slack))
+        return F.array_contains(at, x["p"]) & (F.size(F.array_except(at, F.transform(close, lambda y: y["p"]))) == 0)
 
-    lows = F.transform(F.filter(s, complete), lambda x: x["start"])
-    return grouped.select("window", "key", F.explode(lows).alias("start")).distinct()
+    lows = F.array_distinct(F.transform(F.filter(near, complete), lambda x: x["shift"]))
+    return d.select("test", "key", F.col("win")["s"].alias("s"), F.explode(lows).alias("shift")).distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """key, n_hit and items of every text with an exact occurrence: the words
     inside one, and the sorted ids of the items it comes from."""
-    found, wins = phrases(docs, benchmark)
+    found, items = phrases(docs, benchmark)
     spans = found.select("key", "start", "length").distinct().groupBy("key")
     spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("s"))  # within one text
     # Words from the furthest end so far to each end.
@@ -159,9 +157,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
     )
     spans = spans.select("key", walk["n"].alias("n_hit"))
-    items = found.select("key", "window").distinct().join(wins.select("window", "item"), "window").select("key", "item")
-    items = items.distinct().groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    return spans.join(items, "key")
+    of_key = found.select("key", "test").distinct().join(items.select("test", "item"), "test").select("key", "item").distinct()
+    return spans.join(of_key.groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items")), "key")
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -1,0 +1,30 @@
+import pandas as pd
+import pytest
+
+DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture
+def docs_of(spark):
+    """Frame of documents from (doc_id, text) or (doc_id, text, lang, source) rows."""
+
+    def make(rows, extra=None):
+        rows = [(*r, "en", "src0")[:4] if len(r) == 2 else r for r in rows]
+        data = [(i, t, lang, src, len(t or "")) for i, t, lang, src in rows]
+        df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+        if extra:
+            for c, v in extra.items():
+                from pyspark.sql import functions as F
+
+                df = df.withColumn(c, F.lit(v))
+        return df.repartition(3)
+
+    return make
+
+
+@pytest.fixture
+def frame(spark):
+    def make(df) -> pd.DataFrame:
+        return df.toPandas()
+
+    return make
