@@ -2,7 +2,6 @@ from cirrus.functions.expr import (
     band,
     band_sql,
     day_start_sql,
-    exact_mean_sql,
     exact_sum_units_sql,
     guarded_corr_sql,
     hour_index_sql,
@@ -22,7 +21,6 @@ __all__ = [
     "band",
     "band_sql",
     "day_start_sql",
-    "exact_mean_sql",
     "exact_sum_units_sql",
     "guarded_corr_sql",
     "hour_index_sql",

@@ -82,34 +82,32 @@ def round_to(x: str | Column, digits: int) -> Column:
 
 
 def exact_sum_units_sql(x: str, decimals: int) -> str:
-    """Sum of ``x`` in integer units of ``10**-decimals``.
+    """Exact sum of ``x`` as a decimal of ``decimals`` places.
 
-    Integer addition is associative, so the result does not depend on how
+    Decimal addition is associative, so the result does not depend on how
     rows were split over tasks (a floating-point sum does, in its last bits,
-    which flips rounded averages).  Values must carry at most ``decimals``
-    decimals.  ``TRY_SUM`` gives NULL on overflow (beyond 9.2e18 units, e.g.
-    9.2e16 degrees at 2 decimals) whatever the session's ANSI setting, so an
-    overflow can never wrap into a wrong mean.
+    which flips rounded averages).  A double is taken at its shortest decimal
+    form, up to ``decimals`` places.  NaN and infinities count as missing.
     """
     if decimals == 0:
-        return f"TRY_SUM(CAST({x} AS BIGINT))"
-    return f"TRY_SUM(CAST(ROUND(({x}) * {_d(10**decimals)}) AS BIGINT))"
+        return f"SUM(CAST({x} AS BIGINT))"
+    return f"SUM({decimal_sql(x, decimals)})"
 
 
-def mean_from_sql(sum_units: str, count: str, decimals: int) -> str:
-    """Mean from an integer-unit sum and a count; NULL for a zero count."""
-    total = f"CAST({sum_units} AS DOUBLE)"
-    if decimals:
-        total = f"{total} / {_d(10**decimals)}"
-    return f"({total} / CAST(NULLIF({count}, 0) AS DOUBLE))"
+def decimal_sql(x: str, decimals: int) -> str:
+    """``x`` as a decimal; NULL for NaN and infinities."""
+    finite = f"(CAST({x} AS DOUBLE) - CAST({x} AS DOUBLE)) = 0D"
+    return f"CASE WHEN {finite} THEN CAST({x} AS DECIMAL(38, {decimals})) END"
 
 
-def exact_mean_sql(x: str, decimals: int) -> str:
-    """The whole exact mean as one aggregate expression (also valid DuckDB)."""
-    if decimals == 0:
-        return f"CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
-    m = 10**decimals
-    return f"CAST(SUM(CAST(ROUND(({x}) * {m}) AS BIGINT)) AS DOUBLE) / {m} / NULLIF(COUNT({x}), 0)"
+def counted_sql(x: str, decimals: int) -> str:
+    """Count of the values that ``exact_sum_units_sql`` adds up."""
+    return f"COUNT({decimal_sql(x, decimals)})" if decimals else f"COUNT({x})"
+
+
+def mean_from_sql(sum_units: str, count: str, decimals: int) -> str:
+    """Mean from an exact sum and a count; NULL for a zero count."""
+    return f"(CAST({sum_units} AS DOUBLE) / CAST(NULLIF({count}, 0) AS DOUBLE))"
 
 
 # ---------------------------------------------------------------------------

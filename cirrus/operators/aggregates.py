@@ -13,7 +13,7 @@ result (rounding, windows over the aggregate, HAVING, ordering).
   ``GROUPING SETS`` aggregate: one scan and one shuffle for all of them;
   buffers with the same name are shared between specs.
 
-Means are exact at a fixed decimal scale (integer sums, see
+Means are exact (decimal sums of the values as they are, see
 ``functions.expr.exact_sum_units_sql``), which also makes them mergeable: a
 coarser grouping can be re-aggregated from a finer one without error.
 
@@ -25,12 +25,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cirrus.functions.expr import exact_sum_units_sql, mean_from_sql, q, round_sql
+from cirrus.functions.expr import counted_sql, exact_sum_units_sql, mean_from_sql, q, round_sql
 from cirrus.session import ensure_checkpoint_dir
 
 _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
@@ -56,8 +55,7 @@ class Stat:
 class AggSpec:
     keys: tuple[str, ...]
     buffers: dict[str, str]  # name -> aggregate SQL
-    # finish(aggregated, small): ``small`` is True when the aggregate is known
-    # to hold at most SINGLE_TASK_ROWS rows (window/rank strategy choice).
+    # finish(aggregated): result from keys and buffers.
     finish: Callable[..., DataFrame]
     derived: dict[str, str] = field(default_factory=dict)  # name -> row-level SQL
     # For a grand total (no keys) of count-like buffers: in a grouping-sets
@@ -76,9 +74,9 @@ def is_fractional(df: DataFrame, column: str) -> bool:
 
 def column_type(df: DataFrame, column: str, derived: Mapping[str, str]) -> bool:
     """Whether ``column`` (possibly a derived one) is fractional."""
-    if column in df.columns:
-        return is_fractional(df, column)
-    return isinstance(df.selectExpr(derived[column]).schema[0].dataType, _FRACTIONAL)
+    if column in derived:
+        return isinstance(df.selectExpr(derived[column]).schema[0].dataType, _FRACTIONAL)
+    return is_fractional(df, column)
 
 
 # ---------------------------------------------------------------------------
@@ -97,7 +95,7 @@ def mean_buffers(column: str, frac: bool, decimals: int | None) -> dict[str, str
     s = _scale(frac, decimals)
     if s is None:
         return {f"__avg__{column}": f"AVG({q(column)})"}
-    return {f"__su{s}__{column}": exact_sum_units_sql(q(column), s), f"__n__{column}": f"COUNT({q(column)})"}
+    return {f"__su{s}__{column}": exact_sum_units_sql(q(column), s), f"__n__{column}": counted_sql(q(column), s)}
 
 
 def mean_value(column: str, frac: bool, decimals: int | None) -> str:
@@ -172,9 +170,9 @@ def stats_spec(
         if s.alias in keep_raw:
             raws.append(f"{v} AS {q(raw_name(s.alias))}")
 
-    def finish(g: DataFrame, small: bool = False) -> DataFrame:
+    def finish(g: DataFrame) -> DataFrame:
         out = g.selectExpr(*cols, *raws)
-        return then(out, small) if then else out
+        return then(out) if then else out
 
     return AggSpec(tuple(keys), buffers, finish, derived)
 
@@ -185,8 +183,11 @@ def stats_spec(
 
 
 def with_derived(df: DataFrame, derived: Mapping[str, str]) -> DataFrame:
-    new = [f"{t} AS {q(n)}" for n, t in derived.items() if n not in df.columns]
-    return df.selectExpr("*", *new) if new else df
+    """``df`` plus the derived columns; an input column of the same name is
+    replaced (its value is still what the derived expressions see)."""
+    names = {n.lower() for n in derived}
+    kept = [q(c) for c in df.columns if c.lower() not in names]
+    return df.selectExpr(*kept, *[f"{t} AS {q(n)}" for n, t in derived.items()]) if derived else df
 
 
 def _aggs(buffers: Mapping[str, str]):
@@ -215,15 +216,8 @@ def run_spec(df: DataFrame, spec: AggSpec) -> DataFrame:
     return spec.finish(src.groupBy(*spec.keys).agg(*_aggs(spec.buffers)))
 
 
-# Largest shared aggregate finished in a single task.  A single-partition
-# input satisfies every distribution, so the finishing windows and sorts then
-# need no exchange (and no range-sampling job); above it they stay
-# distributed.
-SINGLE_TASK_ROWS = 1_000_000
-
-
 def run_specs_fused(
-    df: DataFrame, specs: Mapping[str, AggSpec], persist: bool = True, single_task_rows: int = SINGLE_TASK_ROWS
+    df: DataFrame, specs: Mapping[str, AggSpec], cut: bool = True
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Run several specs over ``df`` in one GROUPING SETS aggregate.
 
@@ -267,17 +261,13 @@ def run_specs_fused(
     agg = src.groupingSets([list(s) for s in sets], *all_keys).agg(
         *_aggs(filtered), F.expr("GROUPING_ID() AS __gid")
     )
-    small = False
-    if persist:
-        # Persist, then checkpoint into the session's checkpoint folder: the
-        # aggregate is computed once, its lineage (the scan) is cut, and the
-        # results below are planned against a small leaf instead of the
-        # whole grouping-sets plan.
+    if cut:
+        # Checkpointed into the session's checkpoint folder: the aggregate is
+        # computed once, its lineage (the scan) is cut, and the results below
+        # are planned against a small leaf.  Nothing is cached, so a later run
+        # over the same path reads its files again.
         ensure_checkpoint_dir(df.sparkSession)
-        agg = agg.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
-        agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
-        if agg.count() <= single_task_rows:
-            agg, small = agg.coalesce(1), True
+        agg = agg.checkpoint(eager=True)
     out = {}
     for name, spec in specs.items():
         part = agg.where(f"__gid = {gid_of(spec.keys)}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
@@ -285,7 +275,7 @@ def run_specs_fused(
             cols = list(spec.buffers)
             zero = df.sparkSession.range(1).selectExpr(*[f"CAST(0 AS BIGINT) AS {q(c)}" for c in cols])
             part = part.unionByName(zero).agg(*[F.expr(f"SUM({q(c)}) AS {q(c)}") for c in cols])
-        out[name] = spec.finish(part, small)
+        out[name] = spec.finish(part)
     return out, agg
 
 

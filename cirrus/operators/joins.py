@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (in rows) that is broadcast; above it the join shuffles both
-# sides (sort-merge, with AQE splitting skewed partitions).
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+from cirrus.session import ensure_checkpoint_dir
 
+# Largest side, by counted rows times the width of a row, that is broadcast;
+# above it the join shuffles both sides, with AQE splitting skewed partitions.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_STRING_BYTES = 64
 
-def size_checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``small`` marked for broadcast if it really holds <= max_rows rows.
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes to allow for a row: 16 for each column, more for variable lengths."""
+    wide = ("string", "binary", "array", "map", "struct")
+    return sum(16 + (_STRING_BYTES if t.startswith(wide) else 0) for _, t in df.dtypes)
+
+
+def size_checked_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``small`` marked for broadcast if it really is at most ``max_bytes``.
 
     ``small`` is usually an aggregate whose planner estimate is meaningless
-    (Spark sizes an aggregate like its input).  It is materialised once
-    (persisted, so a lost executor recomputes it from lineage) and its row
-    count decides: broadcast when bounded, an ordinary shuffled join
-    otherwise.  Either way the aggregate is computed only once.
+    (Spark sizes an aggregate like its input).  It is computed once, into the
+    checkpoint folder, and counted there.  Nothing stays cached.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
+    return F.broadcast(small) if small.count() * row_bytes(small) <= max_bytes else small

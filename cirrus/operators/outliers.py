@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from cirrus.functions.expr import corr_from_parts_sql, corr_parts_sql, q, round_sql
 from cirrus.operators.aggregates import AggSpec, asc, column_type, desc, mean_buffers, mean_value, run_spec
-from cirrus.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
+from cirrus.operators.joins import MAX_BROADCAST_BYTES, size_checked_broadcast
 
 
 def grouped_correlation_spec(
@@ -19,7 +19,7 @@ def grouped_correlation_spec(
     corr = corr_from_parts_sql(*[q(f"__corr{k}__{x}__{y}") for k in ("n", "cov", "sx", "sy")])
     buffers = {**parts, **mean_buffers(x, fx, decimals), **mean_buffers(y, fy, decimals)}
 
-    def finish(g: DataFrame, small: bool = False) -> DataFrame:
+    def finish(g: DataFrame) -> DataFrame:
         out = g.selectExpr(
             *[q(k) for k in keys],
             f"{round_sql(corr, 4)} AS {q(corr_alias)}",
@@ -52,7 +52,7 @@ def group_moments_spec(df: DataFrame, keys: Sequence[str], value: str, decimals:
     sds = f"__sds__{value}"
     buffers = {**mean_buffers(value, frac, decimals), sds: f"STDDEV_SAMP({q(value)})"}
 
-    def finish(g: DataFrame, small: bool = False) -> DataFrame:
+    def finish(g: DataFrame) -> DataFrame:
         out = g.selectExpr(*[q(k) for k in keys], f"{mean_value(value, frac, decimals)} AS {MEAN}", f"{q(sds)} AS {SD}")
         return out.where(f"{SD} IS NOT NULL")
 
@@ -67,7 +67,7 @@ def zscore_outliers(
     threshold: float = 2.0,
     limit: int | None = 50,
     decimals: int | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     names: Sequence[str] = ("city_mean", "city_stddev", "z_score", "is_anomaly"),
     moments: DataFrame | None = None,
 ) -> DataFrame:
@@ -85,7 +85,7 @@ def zscore_outliers(
     mean_a, sd_a, z_a, flag_a = names
     if moments is None:
         moments = run_spec(df, group_moments_spec(df, keys, value, decimals))
-    stats = size_checked_broadcast(moments, max_broadcast_rows)
+    stats = size_checked_broadcast(moments, max_broadcast_bytes)
     v = q(value)
     dev = f"ABS({v} - {MEAN})"
     flag = f"({dev} > {float(threshold)!r}D * {SD})"

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cirrus.functions.expr import exact_sum_units_sql, lookup_sql, mean_from_sql, period_start_sql, q, round_sql
-from cirrus.session import ensure_checkpoint_dir
+from cirrus.functions.expr import counted_sql, exact_sum_units_sql, lookup_sql, mean_from_sql, period_start_sql, q, round_sql
 from cirrus.operators.aggregates import (
     AggSpec,
     Stat,
@@ -25,152 +22,14 @@ from cirrus.operators.aggregates import (
 )
 
 
-# Aggregates up to this many rows are ranked with an unpartitioned window
-# (one task); larger ones with ``distributed_rank``.
-RANK_SINGLE_TASK_ROWS = 1_000_000
-
-
-def _same(null_a, val_a, nan_a, null_b, val_b, nan_b) -> bool:
-    """Equality for ranking: NULLs equal each other, NaNs equal each other."""
-    if null_a or null_b:
-        return bool(null_a and null_b)
-    return bool((nan_a and nan_b) or val_a == val_b)
-
-
-def distributed_rank(df: DataFrame, column: str, descending: bool, alias: str) -> DataFrame:
-    """SQL ``RANK()`` over all rows of ``df`` ordered by ``column`` (NULLs
-    last), without moving the rows into one task.
-
-    Rows are range-partitioned on (``column``, a hash of the row), so even a
-    value shared by a third of the rows is split over several ranges, sorted
-    within each range, and checkpointed (which fixes the sampled ranges for
-    the passes that follow).  Pass one emits one summary row per partition
-    (row count, first and last value, length of the trailing run of equal
-    values); from these the driver gets each partition's offset and the rank
-    of a tie run that continues from earlier partitions.  Pass two ranks each
-    partition's sorted rows locally (vectorised, ``mapInPandas``).
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
-    ordered = (
-        df.withColumn("__tie", F.xxhash64(*[F.col(c) for c in df.columns]))
-        .repartitionByRange(order, F.col("__tie"))
-        .sortWithinPartitions(order, "__tie")
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__null", F.col(column).isNull())
-        .checkpoint(eager=True)
-    )
-
-    def arrays(pdf):
-        import numpy as np
-
-        null = pdf["__null"].to_numpy(dtype=bool)
-        vals = pdf[column].to_numpy()
-        nan = np.isnan(vals.astype("float64")) & ~null if vals.dtype.kind in "fc" else np.zeros(len(pdf), dtype=bool)
-        return null, vals, nan
-
-    def run_starts(null, vals, nan):
-        import numpy as np
-
-        new = np.ones(len(null), dtype=bool)
-        if len(null) > 1:
-            both = ~null[1:] & ~null[:-1]
-            same = (null[1:] & null[:-1]) | (both & ((vals[1:] == vals[:-1]) | (nan[1:] & nan[:-1])))
-            new[1:] = ~same
-        return new
-
-    summary_schema = (
-        "pid int, n long, first_null boolean, first_val double, first_nan boolean, "
-        "last_null boolean, last_val double, last_nan boolean, tail long"
-    )
-
-    def summarise(batches):
-        import pandas as pd
-
-        pid, n, first, last, tail = None, 0, None, None, 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pid = int(pdf["__pid"].iat[0])
-            null, vals, nan = arrays(pdf)
-            new = run_starts(null, vals, nan)
-            if first is None:
-                first = (bool(null[0]), vals[0], bool(nan[0]))
-            continues = last is not None and _same(*last, bool(null[0]), vals[0], bool(nan[0]))
-            starts = [i for i in range(len(pdf)) if new[i] and not (i == 0 and continues)]
-            tail = (len(pdf) - starts[-1]) if starts else tail + len(pdf)
-            last = (bool(null[-1]), vals[-1], bool(nan[-1]))
-            n += len(pdf)
-        if pid is not None:
-            yield pd.DataFrame([{
-                "pid": pid, "n": n,
-                "first_null": first[0], "first_val": float(first[1]) if not first[0] else None, "first_nan": first[2],
-                "last_null": last[0], "last_val": float(last[1]) if not last[0] else None, "last_nan": last[2],
-                "tail": tail,
-            }])
-
-    parts = sorted(
-        (tuple(r) for r in ordered.select("__pid", "__null", column).mapInPandas(summarise, summary_schema).collect()),
-        key=lambda r: r[0],
-    )
-    # Per partition: offset (rows before it) and, when its first rows continue
-    # the previous partition's last run, the rank of that run.
-    start, carry, acc, prev_last, prev_run_start = {}, {}, 0, None, None
-    for pid, n, f_null, f_val, f_nan, l_null, l_val, l_nan, tail in parts:
-        first = (f_null, f_val, f_nan)
-        cont = prev_last is not None and _same(*prev_last, *first)
-        start[pid], carry[pid] = acc, (prev_run_start if cont else None)
-        whole = tail == n
-        prev_run_start = prev_run_start if (cont and whole) else acc + n - tail + 1
-        prev_last, acc = (l_null, l_val, l_nan), acc + n
-    schema = T.StructType([*ordered.schema.fields, T.StructField(alias, T.LongType(), False)])
-
-    def rank_partition(batches):
-        import numpy as np
-
-        seen, prev = 0, None  # prev: (null, value, nan, rank) of the last row seen in this partition
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                yield pdf.assign(**{alias: np.zeros(0, dtype="int64")})
-                continue
-            pid = int(pdf["__pid"].iat[0])
-            null, vals, nan = arrays(pdf)
-            new = run_starts(null, vals, nan)
-            if prev is not None:
-                new[0] = not _same(prev[0], prev[1], prev[2], bool(null[0]), vals[0], bool(nan[0]))
-                lead = prev[3]
-            else:
-                new[0] = carry[pid] is None
-                lead = carry[pid] or 0
-            pos = start[pid] + seen + np.arange(1, n + 1, dtype="int64")
-            ranks = np.maximum.accumulate(np.where(new, pos, 0))
-            ranks = np.where(ranks == 0, lead, ranks)
-            prev = (bool(null[-1]), vals[-1], bool(nan[-1]), int(ranks[-1]))
-            seen += n
-            yield pdf.assign(**{alias: ranks})
-
-    return ordered.mapInPandas(rank_partition, schema).drop("__pid", "__null", "__tie")
-
-
-def add_ranks(
-    g: DataFrame, ranks: Sequence[tuple[str, bool, str]], small: bool, single_task_rows: int | None = None
-) -> DataFrame:
+def add_ranks(g: DataFrame, ranks: Sequence[tuple[str, bool, str]]) -> DataFrame:
     """Add ``RANK()`` columns, each ``(value column, descending, alias)``.
 
-    Unless the caller knows the aggregate is small, it is persisted and its
-    size checked first: up to ``single_task_rows`` rows a plain window (one
-    task, no extra passes), beyond that ``distributed_rank``.
+    One path at all sizes, lazy and exact for every type.  ``g`` is an
+    aggregate (one row per group); its rows are sorted in one task, which
+    spills, and ranks are streamed, so memory doesn't grow with the groups.
     """
-    if not small:
-        limit = RANK_SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-        g = g.persist(StorageLevel.MEMORY_AND_DISK)
-        small = g.count() <= limit
-    if small:
-        return g.selectExpr("*", *[f"{rank_sql(q(v), d)} AS {q(a)}" for v, d, a in ranks])
-    for v, d, a in ranks:
-        g = distributed_rank(g, v, d, a)
-    return g
+    return g.selectExpr("*", *[f"{rank_sql(q(v), d)} AS {q(a)}" for v, d, a in ranks])
 
 
 def rank_sql(value: str, descending: bool = True) -> str:
@@ -195,8 +54,8 @@ def rank_groups_spec(
     avg_a = f"avg_{value}"
     raw = q(raw_name(avg_a))
 
-    def then(g: DataFrame, small: bool = False) -> DataFrame:
-        ranked = add_ranks(g, [(raw_name(avg_a), True, desc_alias), (raw_name(avg_a), False, asc_alias)], small)
+    def then(g: DataFrame) -> DataFrame:
+        ranked = add_ranks(g, [(raw_name(avg_a), True, desc_alias), (raw_name(avg_a), False, asc_alias)])
         out = ranked.select(*keys, avg_a, desc_alias, asc_alias)
         return out.orderBy(*asc(desc_alias))
 
@@ -229,8 +88,8 @@ def volatility_rank_spec(
     ]
     shown = [*keys, *[s.alias for s in stats]]
 
-    def then(g: DataFrame, small: bool = False) -> DataFrame:
-        out = add_ranks(g, [(raw_name(sd), True, rank_alias)], small).select(*shown, rank_alias)
+    def then(g: DataFrame) -> DataFrame:
+        out = add_ranks(g, [(raw_name(sd), True, rank_alias)]).select(*shown, rank_alias)
         return out.orderBy(*asc(rank_alias))
 
     return stats_spec(df, keys, stats, decimals, keep_raw=[sd], then=then)
@@ -267,7 +126,7 @@ def mapped_rollup_rank_spec(
     v = q(value)
     buffers = {
         su: exact_sum_units_sql(v, scale) if scale is not None else f"SUM({v})",
-        n: f"COUNT({v})",
+        n: counted_sql(v, scale or 0),
         mn: f"MIN({v})",
         mx: f"MAX({v})",
         "__rows": "COUNT(1)",
@@ -279,9 +138,9 @@ def mapped_rollup_rank_spec(
     def mm(c: str) -> str:
         return round_sql(c, 2) if frac else c
 
-    def finish(g: DataFrame, small: bool = False) -> DataFrame:
+    def finish(g: DataFrame) -> DataFrame:
         if via_keys:
-            merge = {su: "TRY_SUM" if scale is not None else "SUM", n: "SUM", mn: "MIN", mx: "MAX", "__rows": "SUM"}
+            merge = {su: "SUM" if scale is not None else "SUM", n: "SUM", mn: "MIN", mx: "MAX", "__rows": "SUM"}
             g = g.selectExpr(f"{lookup_sql(q(key), mapping, otherwise)} AS {q(rollup_alias)}", q(key),
                              *[q(b) for b in buffers])
             g = g.groupBy(rollup_alias, key).agg(*[F.expr(f"{merge[b]}({q(b)}) AS {q(b)}") for b in buffers])
@@ -307,7 +166,7 @@ def mapped_rollup_rank_spec(
             q(count_alias),
             f"{mean} AS __rank_value",
         )
-        out = add_ranks(out, [("__rank_value", True, rank_alias)], small).drop("__rank_value")
+        out = add_ranks(out, [("__rank_value", True, rank_alias)]).drop("__rank_value")
         return out.orderBy(*asc(rank_alias))
 
     if via_keys:
@@ -347,7 +206,7 @@ def period_over_period_spec(
     if via_day and _scale(frac, decimals) is not None:
         return _period_over_period_via_day(df, keys, ts, period, value, period_alias, change_alias, decimals, via_day)
 
-    def then(g: DataFrame, small: bool = False) -> DataFrame:
+    def then(g: DataFrame) -> DataFrame:
         lag = f"LAG({raw}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
         out = g.selectExpr(
             *[q(k) for k in keys], q(period_alias), q(avg_a), f"{round_sql(f'{raw} - {lag}', 2)} AS {q(change_alias)}"
@@ -372,11 +231,11 @@ def _period_over_period_via_day(df, keys, ts, period, value, period_alias, chang
     mean = mean_value(value, frac, decimals)
     part = ", ".join(q(k) for k in keys)
 
-    def finish(g: DataFrame, small: bool = False) -> DataFrame:
+    def finish(g: DataFrame) -> DataFrame:
         per = g.selectExpr(*[q(k) for k in keys], f"{period_start_sql(q(day), period)} AS {q(period_alias)}",
                            *[q(b) for b in buffers])
         # Exact integer sums and counts merge without error.
-        per = per.groupBy(*keys, period_alias).agg(*[F.expr(f"TRY_SUM({q(b)}) AS {q(b)}") for b in buffers])
+        per = per.groupBy(*keys, period_alias).agg(*[F.expr(f"SUM({q(b)}) AS {q(b)}") for b in buffers])
         lag = f"LAG({mean}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
         out = per.selectExpr(
             *[q(k) for k in keys],

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cirrus.operators.quality import quality_report, quality_spec, report_summary
 from cirrus.plans.suite import run_suite
+from cirrus.session import ensure_checkpoint_dir
 from cirrus.sinks.parquet_export import export_all
 from cirrus.sources.jdbc import jdbc_full_load, jdbc_incremental_load
 from cirrus.sources.sample import generate_readings
@@ -64,7 +65,8 @@ def load_readings(
 
 def validate(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Quality report and its one-row summary; nothing is stored."""
-    report = quality_report(readings).persist()
+    ensure_checkpoint_dir(readings.sparkSession)
+    report = quality_report(readings).checkpoint(eager=True)  # a row per check
     return report, report_summary(report)
 
 
@@ -88,7 +90,7 @@ def analyse(
     readings = conform(readings)
     if fused and not strict:
         results, status = run_suite(readings, fused=True, as_of=as_of, extra={_REPORT: quality_spec(readings)})
-        report = results.pop(_REPORT).persist()
+        report = results.pop(_REPORT)
         summary = report_summary(report)
     else:
         report, summary = validate(readings)

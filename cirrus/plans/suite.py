@@ -9,12 +9,12 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from cirrus.operators.aggregates import AggSpec, run_spec
 from cirrus.plans.weather import QUERIES, data_freshness_per_city, fused_queries
+from cirrus.session import ensure_checkpoint_dir
 from cirrus.sources.local import local_frame
 
 log = logging.getLogger(__name__)
@@ -70,8 +70,8 @@ def run_suite(
     shared pass fails, every query is run on its own so that one bad query
     cannot fail the others.
 
-    Otherwise each query is materialised (persisted and counted) on its
-    own, concurrently.  A failing query - at plan or at run time; Spark
+    Otherwise each query is run on its own, concurrently, into the checkpoint
+    folder.  Nothing is cached, so a later run reads its input again.  A failing query - at plan or at run time; Spark
     errors surface at the action, so the action is inside the guard - gets
     status 'failed' and no result.
 
@@ -97,7 +97,8 @@ def run_suite(
             if built is not None:
                 df = built[name]
             else:
-                df = fn(readings).persist(StorageLevel.MEMORY_AND_DISK)
+                ensure_checkpoint_dir(spark)
+                df = fn(readings).checkpoint(eager=True)
             return df, df.count(), time.perf_counter() - t0
 
         return run
@@ -107,8 +108,7 @@ def run_suite(
     if built is not None:
         # Extras (e.g. the quality report) materialise alongside the results.
         def materialise(df: DataFrame):
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            return df, df.count(), None
+            return df.checkpoint(eager=True), None, None
 
         for name in extras:
             actions[name] = (lambda d=built[name]: materialise(d))

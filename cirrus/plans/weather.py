@@ -148,22 +148,20 @@ def fused_queries(
     as_of: dt.datetime | str | None = None,
     std_threshold: float = 2.0,
     extra: dict[str, AggSpec] | None = None,
-    single_task_rows: int | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """All sixteen results from two passes over ``r``.
 
     Pass 1: one GROUPING SETS aggregate for the fifteen aggregate queries
-    and the per-city moments of the anomaly query (persisted; as many rows
+    and the per-city moments of the anomaly query (checkpointed; as many rows
     as the results together).  Pass 2: the anomaly join of the readings with
     those moments.  Returns the results in suite order and the shared
-    aggregate (to unpersist when done).  ``extra`` specs (e.g. the quality
+    aggregate.  ``extra`` specs (e.g. the quality
     report) ride along in the same pass; their results follow the queries.
     """
     builders = _specs(as_of, fused=True)
     specs = {name: b(r) for name, b in builders.items()}
     specs[_MOMENTS] = group_moments_spec(r, [S.CITY], S.TEMPERATURE, D)
     specs.update(extra or {})
-    kw = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
-    results, shared = run_specs_fused(r, specs, **kw)
+    results, shared = run_specs_fused(r, specs)
     results["anomaly_detection"] = anomaly_detection(r, std_threshold, moments=results.pop(_MOMENTS))
     return {name: results[name] for name in [*QUERIES, *(extra or {})]}, shared

@@ -97,6 +97,8 @@ def export_all(
     """
     from cirrus.plans.suite import run_concurrently
 
+    if not results:
+        return {}
     ts = run_ts or run_stamp()
     outcomes = run_concurrently(
         {name: (lambda n=name, d=df: _export(d, n, out_dir, ts)) for name, df in results.items()}, parallelism

@@ -45,12 +45,12 @@ def _dim(field: int) -> str:
 def _readings(src: DataFrame, id_sql: str, h_sql: str, descr_sql: str, ts_sql: str) -> DataFrame:
     n = len(CITY_DIM)
     base = src.selectExpr(
-        f"({id_sql}) % {n} AS k", f"{h_sql} AS h", f"{descr_sql} AS descr", f"{ts_sql} AS recorded_at"
-    ).where(f"k BETWEEN 0 AND {n - 1}")
+        f"PMOD({id_sql}, {n}) AS k", f"{h_sql} AS h", f"{descr_sql} AS descr", f"{ts_sql} AS recorded_at"
+    )
     base_temp = f"CAST({_dim(3)} AS BIGINT)"
     return base.selectExpr(
-        f"{_dim(1)} AS city",
-        f"{_dim(2)} AS country",
+        f"COALESCE({_dim(1)}, 'unknown') AS city",
+        f"COALESCE({_dim(2)}, 'unknown') AS country",
         f"CAST({base_temp} * 100 + h % 1800 - 900 + CASE WHEN h % 97 = 0 THEN 2500 ELSE 0 END AS DOUBLE) / 100"
         " AS temperature",
         f"CAST({base_temp} * 100 + h % 1300 - 750 AS DOUBLE) / 100 AS feels_like",

@@ -3,15 +3,15 @@ and the fused suite against the same SQL (sf0.01)."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from cirrus.plans import oracle as O
 from cirrus.plans import weather as W
-from cirrus.plans.registry import FRESHNESS_AS_OF
+from cirrus.plans.registry import FRESHNESS_AS_OF, registry
 from cirrus.sources.derived import events_readings, orders_readings
 from conftest import SF001, SF01, norm_rows
 
-QUERIES = queries()
-SQL = oracle_sql()
+QUERIES = {name: fn for name, (fn, _) in registry().items()}
+SQL = {name: sql for name, (_, sql) in registry().items() if sql is not None}
 
 
 def _oracle(duck, schema, sql):
@@ -48,4 +48,4 @@ def test_fused_suite_matches_oracle(spark, duck):
             ocols, orows = _oracle(duck, "s01", O.query_sql(name, view))
             got = [tuple(r) for r in df.collect()]
             assert norm_rows(df.columns, got) == norm_rows(ocols, orows), (view, name)
-        shared.unpersist()
+        assert shared.columns

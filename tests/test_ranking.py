@@ -1,69 +1,25 @@
-"""Distributed RANK() equals the window RANK() on ties, NaN and NULLs."""
-
-import random
+"""Ranks are exact for every type, with ties, NaN and NULLs."""
 
 import pytest
 from pyspark.sql import types as T
 
-from cirrus.operators import ranking
-from cirrus.operators.ranking import distributed_rank, rank_sql
-from cirrus.plans import weather as W
-from cirrus.sources.derived import events_readings
+from cirrus.operators.ranking import add_ranks
 from cirrus.sources.local import local_frame
-from conftest import SF001
-
-SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
-
-
-def frame(spark, n, seed):
-    rnd = random.Random(seed)
-    pool = [float(x) for x in range(40)] + [float("nan"), None, -0.0, 0.0]
-    return local_frame(spark, [(i, rnd.choice(pool)) for i in range(n)], SCHEMA)
-
-
-@pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_distributed_rank_matches_window(spark, descending, seed):
-    df = frame(spark, 3000, seed).repartition(5)
-    want = {r["id"]: r["r"] for r in df.selectExpr("id", f"{rank_sql('v', descending)} AS r").collect()}
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")  # many small ranges: ties straddle partition boundaries
-    try:
-        got_df = distributed_rank(df, "v", descending, "r")
-        got = {r["id"]: r["r"] for r in got_df.collect()}
-    finally:
-        spark.conf.set(key, old)
-    assert got == want
-    plan = got_df._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" in plan or "MapInArrow" in plan
-
-
-def test_distributed_rank_splits_a_hot_value(spark):
-    # A third of the rows share one value: it must spread over partitions.
-    from pyspark.sql import functions as F
-
-    rows = [(i, 7.0 if i % 3 == 0 else float(i % 50)) for i in range(3000)]
-    df = local_frame(spark, rows, SCHEMA).repartition(6)
-    want = {r["id"]: r["r"] for r in df.selectExpr("id", f"{rank_sql('v', True)} AS r").collect()}
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")  # keep the 8 ranges apart on this tiny input
-    try:
-        got = distributed_rank(df, "v", True, "r").withColumn("pid", F.spark_partition_id()).collect()
-    finally:
-        spark.conf.set(key, old)
-    assert {r["id"]: r["r"] for r in got} == want
-    hot_parts = {r["pid"] for r in got if r["v"] == 7.0}
-    assert len(hot_parts) > 1
-
 
-def test_rank_queries_take_the_distributed_path_when_large(spark, monkeypatch):
-    r = events_readings(spark, SF001)
-    small = {tuple(x) for x in W.temperature_volatility_by_city(r).collect()}
-    monkeypatch.setattr(ranking, "RANK_SINGLE_TASK_ROWS", 0)
-    large = {tuple(x) for x in W.temperature_volatility_by_city(r).collect()}
-    assert small == large
-    both = {tuple(x) for x in W.hottest_coldest_ranking(r).collect()}
-    monkeypatch.setattr(ranking, "RANK_SINGLE_TASK_ROWS", 10**6)
-    assert both == {tuple(x) for x in W.hottest_coldest_ranking(r).collect()}
+BIG = 9007199254740992
+
+
+@pytest.mark.parametrize(
+    ("kind", "values", "descending", "want"),
+    [
+        (T.LongType(), [None, BIG, BIG + 1, BIG + 2], True, {BIG + 2: 1, BIG + 1: 2, BIG: 3, None: 4}),
+        (T.LongType(), [3, 3, 1, None], False, {1: 1, 3: 2, None: 4}),
+        (T.StringType(), ["b", "a", "b", None], True, {"b": 1, "a": 3, None: 4}),
+        (T.DoubleType(), [1.0, float("nan"), 2.0, None], True, {"nan": 1, 2.0: 2, 1.0: 3, None: 4}),
+    ],
+)
+def test_ranks(spark, kind, values, descending, want):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", kind)])
+    df = local_frame(spark, list(enumerate(values)), schema).repartition(3)
+    got = add_ranks(df, [("v", descending, "r")]).collect()
+    assert {"nan" if r["v"] != r["v"] else r["v"]: r["r"] for r in got} == want

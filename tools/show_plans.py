@@ -47,7 +47,7 @@ def main() -> None:
     specs = {n: b(r) for n, b in W._specs(FRESHNESS_AS_OF, fused=True).items()}
     from cirrus.operators.aggregates import run_specs_fused
 
-    _, agg = run_specs_fused(r, specs, persist=False)
+    _, agg = run_specs_fused(r, specs, cut=False)
     print(f"## Fused suite: the shared GROUPING SETS aggregate\n\n```\n{plan(agg)}```\n")
     print(f"## Fused suite: Q2 finished from the checkpointed aggregate\n\n```\n{plan(fused['hottest_coldest_ranking'])}```\n")
     print(f"## Fused suite: Q8 (second scan)\n\n```\n{plan(fused['anomaly_detection'])}```\n")
