@@ -102,8 +102,10 @@ def phrases(
     met = lists.join(sized(tests, 4096), "test").select("test", "key", "shift", "words", "length", both.alias("wins"))
     met = met.where(F.size("wins") > 0).withColumn("wins", F.transform("wins", lambda x: x["s"]))
     met = cut(met.groupBy("key").agg(F.collect_list(F.struct("test", "shift", "words", "length", "wins")).alias("met")))
-    of_key = sized(met.withColumnRenamed("key", "__k"), 4096)
-    there = docs.select(text_key(F.col("text")).alias("key"), "text").join(of_key, F.col("key") == F.col("__k"))
+    # Texts without a candidate are dropped in the scan, by a narrow list of keys.
+    asked = sized(met.select(F.col("key").alias("__k")), 32)
+    there = docs.select(text_key(F.col("text")).alias("key"), "text").join(asked, F.col("key") == F.col("__k"), "left_semi")
+    there = there.join(met, "key")
     there = there.select("key", terms(F.col("text")).alias("__w"), F.explode("met").alias("m"))
     w, m = F.col("__w"), F.col("m")
 

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cirrus.llm.common import cut
 from cirrus.session import ensure_checkpoint_dir
 
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -165,5 +166,5 @@ def token_counts(docs: DataFrame, ranks_path: str = RANKS, path: str | None = No
     flat = spark.read.schema("file int, block int, tokens binary, first long, ids array<long>").parquet(path)
     names = flat.where("ids is not null").select("file", "first", F.posexplode("ids").alias("k", "doc_id"))
     names = names.select("file", (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
-    counted = stitch(scan(flat.where("tokens is not null")))
+    counted = stitch(cut(scan(flat.where("tokens is not null"))))
     return names.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens")
