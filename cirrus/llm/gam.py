@@ -211,7 +211,10 @@ def score(docs: DataFrame, model: Gam, to: str = "score") -> DataFrame:
         rows = np.array(x.tolist(), dtype=float).reshape(len(x), len(FEATURES))
         return pd.Series(model.score(rows))
 
-    return with_features(docs).withColumn(to, scored("__x")).drop("__x")
+    # Marked as not deterministic so that a filter on the score stays above it:
+    # pushed below, it would take the word array into the features' lambdas,
+    # to be split anew for every word.
+    return with_features(docs).withColumn(to, scored.asNondeterministic()("__x")).drop("__x")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
