@@ -18,6 +18,19 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CLASH = {"size": "x", "score": "x", "shard": "x", "key": "x", "copies": "x", "rank": "x", "label": "x"}
 
 
+@pytest.fixture
+def docs_of(spark):
+    """Frame of documents from (doc_id, text) or (doc_id, text, lang, source) rows."""
+
+    def make(rows, extra=None):
+        rows = [(*r, "en", "src0")[:4] if len(r) == 2 else r for r in rows]
+        data = [(i, t, lang, src, len(t or "")) for i, t, lang, src in rows]
+        df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+        return df.withColumns({c: F.lit(v) for c, v in (extra or {}).items()}).repartition(3)
+
+    return make
+
+
 def text(seed, n, vocab=400):
     r = random.Random(seed)
     return " ".join(f"w{r.randrange(vocab)}" for _ in range(n))
