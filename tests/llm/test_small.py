@@ -453,3 +453,13 @@ def test_shards_are_level_and_follow_the_curve(docs_of):
     assert again.sort_values("doc_id")[key].values.tolist() == got.sort_values("doc_id")[key].values.tolist()
     few = hilbert.sharded_sizes(docs_of(rows[:3])).toPandas()
     assert few.groupby("shard").size().max() == 1
+
+
+def test_components_chains_stars_and_repeats(spark):
+    chain = [(i, i + 1) for i in range(1, 12)]
+    star = [(100, i) for i in range(101, 140)] + [(139, 200), (200, 150)]
+    repeats = [(301, 300), (300, 301), (301, 300), (302, 302)]
+    got = order_minhash.components(spark.createDataFrame(chain + star + repeats, "a long, b long")).collect()
+    want = {i: 1 for i in range(1, 13)} | {i: 100 for i in [*range(100, 140), 150, 200]} | {300: 300, 301: 300}
+    assert len(got) == len(want) and {r["key"]: r["label"] for r in got} == want
+    assert order_minhash.components(spark.createDataFrame([], "a long, b long")).isEmpty()
