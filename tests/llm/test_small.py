@@ -297,6 +297,38 @@ def test_near_duplicates_against_brute_force(docs_of):
     assert got == {i: root(i) for i in range(len(texts))}
 
 
+def edited(words, n, r):
+    out = list(words)
+    for _ in range(n):
+        k, what = r.randrange(len(out)), r.randrange(3)
+        out[k : k + 1] = [[f"z{r.randrange(10**6)}"], [], [out[k], f"z{r.randrange(10**6)}"]][what]
+    return out
+
+
+def shares(a, b):
+    a, b = order_minhash.word_hashes(a), order_minhash.word_hashes(b)
+    return bool({*order_minhash.sketch(a), *order_minhash.short_keys(a)} & {*order_minhash.sketch(b), *order_minhash.short_keys(b)})
+
+
+@pytest.mark.parametrize("share", [0.1, 0.15, 0.2])
+def test_share_of_similar_pairs_that_meet(share):
+    r = random.Random(int(100 * share))
+    for n in (40, 100, 300):
+        pairs = [(w, edited(w, int(share * n), r)) for w in (text(r.random(), n).split() for _ in range(100))]
+        pairs = [x for x in pairs if order_minhash.similar(*x) is not None]
+        assert sum(shares(*x) for x in pairs) >= 0.98 * len(pairs)
+
+
+def test_short_similar_pairs_always_meet():
+    r = random.Random(5)
+    for n in [*range(5, 31)] * 10:
+        a = text(r.random(), n, 50).split()
+        b = edited(a, r.randrange(1, n // 5 + 1), r)
+        if len(b) <= order_minhash.SHORT and order_minhash.similar(a, b) is not None:
+            keys = (set(order_minhash.short_keys(order_minhash.word_hashes(x))) for x in (a, b))
+            assert a == b or set.intersection(*keys)
+
+
 def test_one_of_each_keeps_one_row(docs_of):
     t = text(1, 80)
     d = docs_of([(3, t), (1, t), (1, t), (2, t + " end"), (9, "other text here"), (None, None)], CLASH)
