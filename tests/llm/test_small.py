@@ -297,6 +297,21 @@ def test_near_duplicates_against_brute_force(docs_of):
     assert got == {i: root(i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize(("n", "edits_each"), [(60, 8), (200, 27)])
+def test_original_joins_copies_that_are_not_alike(docs_of, n, edits_each):
+    """Copies are at 0.8 of the original but not of each other."""
+    r = random.Random(n)
+    original = text(7, n, 4000).split()
+    rows = [(300, " ".join(original))]
+    for i in range(300):
+        copy = list(original)
+        for k in r.sample(range(n), edits_each):
+            copy[k] = f"z{r.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    got = order_minhash.near_duplicates(docs_of(rows)).collect()
+    assert {x["class_id"] for x in got} == {0}
+
+
 def edited(words, n, r):
     out = list(words)
     for _ in range(n):
