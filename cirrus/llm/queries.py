@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cirrus.llm import decontam, gam, hilbert, lm_score, mixing, order_minhash, pii, quality_rules, token_scan, toxicity
+from cirrus.llm import decontam, gam, hilbert, lang_kernel, lm_score, merkle, mixing, order_minhash, periodic, pii, quality_rules
+from cirrus.llm import token_scan, toxicity
 from cirrus.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,12 +53,25 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.sharded_sizes(read_table(spark, sf_dir, "documents"))
 
 
+def op11_scale_tiled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op12_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_kernel.languages_of(read_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_quality_gam, op3_cross_entropy_difference, op4_separator_scan, op5_systematic_mix,
         op6_order_minhash, op7_personal_data, op8_positional_index, op9_toxicity_chain, op10_hilbert_shards,
+        op11_scale_tiled_runs, op12_string_kernel_language, op13_merkle_manifest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_scale_tiled_runs": periodic.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}
