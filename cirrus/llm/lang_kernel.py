@@ -116,8 +116,9 @@ class Model:
         lettered = np.zeros(len(texts), bool)
         for rows, present, some in finder.presence(texts):
             lettered[rows] = some
-            norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
-            out[rows] = present @ self.weights / norm
+            if self.languages:
+                norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
+                out[rows] = present @ self.weights / norm
         return out, lettered
 
 
