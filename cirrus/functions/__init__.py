@@ -2,33 +2,31 @@ from cirrus.functions.expr import (
     band,
     band_sql,
     day_start_sql,
-    exact_sum_units_sql,
-    guarded_corr_sql,
     hour_index_sql,
     hour_of_day_sql,
     hours_crossed_sql,
     lookup,
     lookup_sql,
-    mean_from_sql,
     month_start_sql,
     period_start_sql,
     q,
     round_sql,
     round_to,
 )
+from cirrus.functions.moments import Moments, correlation, merged
 
 __all__ = [
+    "Moments",
+    "correlation",
+    "merged",
     "band",
     "band_sql",
     "day_start_sql",
-    "exact_sum_units_sql",
-    "guarded_corr_sql",
     "hour_index_sql",
     "hour_of_day_sql",
     "hours_crossed_sql",
     "lookup",
     "lookup_sql",
-    "mean_from_sql",
     "month_start_sql",
     "period_start_sql",
     "q",

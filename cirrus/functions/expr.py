@@ -76,72 +76,6 @@ def round_to(x: str | Column, digits: int) -> Column:
     return F.when(y < 0, -F.round(-y)).otherwise(F.round(y)) / F.lit(m)
 
 
-# ---------------------------------------------------------------------------
-# Exact, order-independent means
-# ---------------------------------------------------------------------------
-
-
-def exact_sum_units_sql(x: str, decimals: int) -> str:
-    """Exact sum of ``x`` as a decimal of ``decimals`` places.
-
-    Decimal addition is associative, so the result does not depend on how
-    rows were split over tasks (a floating-point sum does, in its last bits,
-    which flips rounded averages).  A double is taken at its shortest decimal
-    form, up to ``decimals`` places.  NaN and infinities count as missing.
-    """
-    if decimals == 0:
-        return f"SUM(CAST({x} AS BIGINT))"
-    return f"SUM({decimal_sql(x, decimals)})"
-
-
-def decimal_sql(x: str, decimals: int) -> str:
-    """``x`` as a decimal; NULL for NaN and infinities."""
-    finite = f"(CAST({x} AS DOUBLE) - CAST({x} AS DOUBLE)) = 0D"
-    return f"CASE WHEN {finite} THEN CAST({x} AS DECIMAL(38, {decimals})) END"
-
-
-def counted_sql(x: str, decimals: int) -> str:
-    """Count of the values that ``exact_sum_units_sql`` adds up."""
-    return f"COUNT({decimal_sql(x, decimals)})" if decimals else f"COUNT({x})"
-
-
-def mean_from_sql(sum_units: str, count: str, decimals: int) -> str:
-    """Mean from an exact sum and a count; NULL for a zero count."""
-    return f"(CAST({sum_units} AS DOUBLE) / CAST(NULLIF({count}, 0) AS DOUBLE))"
-
-
-# ---------------------------------------------------------------------------
-# Correlation
-# ---------------------------------------------------------------------------
-
-
-def corr_parts_sql(x: str, y: str) -> dict[str, str]:
-    """The correlation as separate single-function aggregates (pair count,
-    covariance, the two standard deviations) over complete pairs; combine
-    with ``corr_from_parts_sql``."""
-    ok = f"({x} IS NOT NULL AND {y} IS NOT NULL)"
-    xs, ys = f"CASE WHEN {ok} THEN {x} END", f"CASE WHEN {ok} THEN {y} END"
-    return {"n": f"COUNT_IF({ok})", "cov": f"COVAR_POP({xs}, {ys})", "sx": f"STDDEV_POP({xs})", "sy": f"STDDEV_POP({ys})"}
-
-
-def corr_from_parts_sql(n: str, cov: str, sx: str, sy: str) -> str:
-    """NULL without complete pairs, NaN for zero variance, else cov/(sx*sy)."""
-    return f"(CASE WHEN {n} = 0 THEN CAST(NULL AS DOUBLE) ELSE COALESCE({cov} / NULLIF({sx} * {sy}, 0D), CAST('NaN' AS DOUBLE)) END)"
-
-
-def guarded_corr_sql(x: str, y: str) -> str:
-    """Pearson correlation over complete (x, y) pairs, as an aggregate.
-
-    NULL when there is no complete pair; NaN when either side has zero
-    variance (one pair included).  Spark's ``corr`` raises on a zero
-    denominator under ANSI mode and returns NULL for a single pair.
-    """
-    ok = f"({x} IS NOT NULL AND {y} IS NOT NULL)"
-    xs, ys = f"CASE WHEN {ok} THEN {x} END", f"CASE WHEN {ok} THEN {y} END"
-    r = f"COVAR_POP({xs}, {ys}) / NULLIF(STDDEV_POP({xs}) * STDDEV_POP({ys}), 0D)"
-    return f"(CASE WHEN COUNT_IF({ok}) = 0 THEN CAST(NULL AS DOUBLE) ELSE COALESCE({r}, CAST('NaN' AS DOUBLE)) END)"
-
-
 # ---------------------------------------------------------------------------
 # Calendar buckets on naive timestamps (independent of the session time zone)
 # ---------------------------------------------------------------------------

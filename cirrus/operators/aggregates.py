@@ -13,9 +13,9 @@ result (rounding, windows over the aggregate, HAVING, ordering).
   ``GROUPING SETS`` aggregate: one scan and one shuffle for all of them;
   buffers with the same name are shared between specs.
 
-Means are exact (decimal sums of the values as they are, see
-``functions.expr.exact_sum_units_sql``), which also makes them mergeable: a
-coarser grouping can be re-aggregated from a finer one without error.
+Every buffer is a count, minimum, maximum or exact decimal sum (see
+``functions.moments``), so partial results merge without error: a coarser
+grouping can be re-aggregated from a finer one, or from stored parts.
 
 Expressions are SQL text (see ``functions.expr``).
 """
@@ -27,14 +27,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cirrus.functions.expr import counted_sql, exact_sum_units_sql, mean_from_sql, q, round_sql
+from cirrus.functions.expr import q, round_sql
+from cirrus.functions.moments import FRACTIONAL, Moments, prepared
 from cirrus.session import ensure_checkpoint_dir
 
-_FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
-
-
 @dataclass(frozen=True)
 class Stat:
     """One aggregate output.
@@ -62,6 +59,9 @@ class AggSpec:
     # pass an empty input yields no row for the empty set, so the fused run
     # folds in a row of zeros (a plain global aggregate always has one row).
     counts_only: bool = False
+    # ``finish`` reads the aggregate more than once (ranks do), so it is stored
+    # in the checkpoint folder first.
+    reread: bool = False
 
 
 def raw_name(alias: str) -> str:
@@ -69,14 +69,7 @@ def raw_name(alias: str) -> str:
 
 
 def is_fractional(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, _FRACTIONAL)
-
-
-def column_type(df: DataFrame, column: str, derived: Mapping[str, str]) -> bool:
-    """Whether ``column`` (possibly a derived one) is fractional."""
-    if column in derived:
-        return isinstance(df.selectExpr(derived[column]).schema[0].dataType, _FRACTIONAL)
-    return is_fractional(df, column)
+    return isinstance(df.schema[column].dataType, FRACTIONAL)
 
 
 # ---------------------------------------------------------------------------
@@ -84,55 +77,41 @@ def column_type(df: DataFrame, column: str, derived: Mapping[str, str]) -> bool:
 # ---------------------------------------------------------------------------
 
 
-def _scale(frac: bool, decimals: int | None) -> int | None:
-    """Decimal scale of the exact mean; None = floating ``avg``."""
-    if frac and decimals is None:
-        return None
-    return decimals if frac else 0
-
-
-def mean_buffers(column: str, frac: bool, decimals: int | None) -> dict[str, str]:
-    s = _scale(frac, decimals)
-    if s is None:
-        return {f"__avg__{column}": f"AVG({q(column)})"}
-    return {f"__su{s}__{column}": exact_sum_units_sql(q(column), s), f"__n__{column}": counted_sql(q(column), s)}
+def moments_of(df: DataFrame, column: str, derived: Mapping[str, str] | None = None) -> Moments:
+    """Moments of ``column``, possibly a derived one."""
+    if column in (derived or {}):
+        return Moments(column, derived[column], df.selectExpr(derived[column]).schema[0].dataType)
+    return Moments(column, q(column), df.schema[column].dataType)
 
 
-def mean_value(column: str, frac: bool, decimals: int | None) -> str:
-    s = _scale(frac, decimals)
-    if s is None:
-        return q(f"__avg__{column}")
-    return mean_from_sql(q(f"__su{s}__{column}"), q(f"__n__{column}"), s)
+_SIMPLE = {"min": "MIN", "max": "MAX", "sum": "SUM"}
 
 
-_SIMPLE = {"min": "MIN", "max": "MAX", "stddev_samp": "STDDEV_SAMP", "stddev_pop": "STDDEV_POP", "sum": "SUM"}
-_SHORT = {"min": "min", "max": "max", "stddev_samp": "sds", "stddev_pop": "sdp", "sum": "sum"}
-
-
-def stat_buffers(s: Stat, frac: bool, decimals: int | None) -> dict[str, str]:
-    c = s.column
+def stat_buffers(s: Stat, m: Moments | None) -> tuple[dict[str, str], dict[str, str]]:
+    """Aggregates and row-level columns that ``s`` needs."""
     if s.kind == "count":
-        return {"__rows": "COUNT(1)"}
+        return {"__rows": "COUNT(1)"}, {}
     if s.kind == "avg":
-        return mean_buffers(c, frac, decimals)
+        return m.mean_buffers(), m.mean_derived()
+    if s.kind in ("stddev_samp", "stddev_pop"):
+        return m.square_buffers(), m.square_derived()
     if s.kind == "range":
-        return {f"__min__{c}": f"MIN({q(c)})", f"__max__{c}": f"MAX({q(c)})"}
+        return {f"__{k}__{m.name}": f"{_SIMPLE[k]}({m.x})" for k in ("min", "max")}, {}
     if s.kind in _SIMPLE:
-        return {f"__{_SHORT[s.kind]}__{c}": f"{_SIMPLE[s.kind]}({q(c)})"}
+        return {f"__{s.kind}__{m.name}": f"{_SIMPLE[s.kind]}({m.x})"}, {}
     raise ValueError(f"unknown stat kind {s.kind!r}")
 
 
-def stat_value(s: Stat, frac: bool, decimals: int | None) -> str:
-    c = s.column
+def stat_value(s: Stat, m: Moments | None) -> str:
     if s.kind == "count":
         return q("__rows")
     if s.kind == "avg":
-        return mean_value(c, frac, decimals)
+        return m.mean()
+    if s.kind in ("stddev_samp", "stddev_pop"):
+        return m.stddev(s.kind == "stddev_samp")
     if s.kind == "range":
-        return f"({q(f'__max__{c}')} - {q(f'__min__{c}')})"
-    if s.kind in _SIMPLE:
-        return q(f"__{_SHORT[s.kind]}__{c}")
-    raise ValueError(f"unknown stat kind {s.kind!r}")
+        return f"({q(f'__max__{m.name}')} - {q(f'__min__{m.name}')})"
+    return q(f"__{s.kind}__{m.name}")
 
 
 def _is_frac_result(s: Stat, frac: bool) -> bool:
@@ -143,38 +122,41 @@ def stats_spec(
     df: DataFrame,
     keys: Sequence[str],
     stats: Sequence[Stat],
-    decimals: int | None = None,
     keep_raw: Sequence[str] = (),
     derived: Mapping[str, str] | None = None,
     then: Callable[..., DataFrame] | None = None,
+    reread: bool = False,
 ) -> AggSpec:
     """Spec producing ``keys + [s.alias ...] (+ raw_name(k) for k in keep_raw)``.
 
     Fractional results are rounded to ``s.digits``; integer ones are not.
     ``then`` post-processes the rounded frame (windows, HAVING, ordering).
     """
-    derived = dict(derived or {})
+    own = dict(derived or {})
     buffers: dict[str, str] = {}
+    made: dict[str, str] = dict(own)
     cols = [q(k) for k in keys]
     raws = []
-    types: dict[str, bool] = {}
+    moments: dict[str, Moments] = {}
     for s in stats:
-        frac = False
+        m = None
         if s.column is not None:
-            if s.column not in types:
-                types[s.column] = column_type(df, s.column, derived)
-            frac = types[s.column]
-        buffers.update(stat_buffers(s, frac, decimals))
-        v = stat_value(s, frac, decimals)
-        cols.append(f"{round_sql(v, s.digits) if _is_frac_result(s, frac) else v} AS {q(s.alias)}")
+            m = moments.setdefault(s.column, moments_of(df, s.column, own))
+        needs, rows = stat_buffers(s, m)
+        buffers.update(needs)
+        made.update(rows)
+        v = stat_value(s, m)
+        cols.append(f"{round_sql(v, s.digits) if _is_frac_result(s, m is not None and m.fractional) else v} AS {q(s.alias)}")
         if s.alias in keep_raw:
             raws.append(f"{v} AS {q(raw_name(s.alias))}")
 
+    spread = list({m.name: m for m in (moments[s.column] for s in stats if s.kind.startswith("stddev"))}.values())
+
     def finish(g: DataFrame) -> DataFrame:
-        out = g.selectExpr(*cols, *raws)
+        out = prepared(g, spread).selectExpr(*cols, *raws)
         return then(out) if then else out
 
-    return AggSpec(tuple(keys), buffers, finish, derived)
+    return AggSpec(tuple(keys), buffers, finish, made, reread=reread)
 
 
 # ---------------------------------------------------------------------------
@@ -211,9 +193,13 @@ def _single_call(sql: str) -> bool:
 
 
 def run_spec(df: DataFrame, spec: AggSpec) -> DataFrame:
-    """One spec as a plain ``groupBy().agg()``."""
+    """One spec as a plain ``groupBy().agg()`` (run at once if ``spec.reread``)."""
     src = with_derived(df, spec.derived)
-    return spec.finish(src.groupBy(*spec.keys).agg(*_aggs(spec.buffers)))
+    g = src.groupBy(*spec.keys).agg(*_aggs(spec.buffers))
+    if spec.reread:
+        ensure_checkpoint_dir(df.sparkSession)
+        g = g.checkpoint(eager=True)
+    return spec.finish(g)
 
 
 def run_specs_fused(
@@ -283,11 +269,10 @@ def grouped_stats(
     df: DataFrame,
     keys: Sequence[str],
     stats: Sequence[Stat],
-    decimals: int | None = None,
     keep_raw: Sequence[str] = (),
 ) -> DataFrame:
     """``groupBy(keys).agg(stats)`` with rounded outputs (see ``stats_spec``)."""
-    return run_spec(df, stats_spec(df, keys, stats, decimals, keep_raw))
+    return run_spec(df, stats_spec(df, keys, stats, keep_raw))
 
 
 def asc(*names: str):

@@ -6,57 +6,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from cirrus.functions.expr import corr_from_parts_sql, corr_parts_sql, q, round_sql
-from cirrus.operators.aggregates import AggSpec, asc, column_type, desc, mean_buffers, mean_value, run_spec
+from cirrus.functions.expr import q, round_sql
+from cirrus.functions.moments import Moments, correlation, prepared
+from cirrus.operators.aggregates import AggSpec, asc, desc, moments_of, run_spec
 from cirrus.operators.joins import MAX_BROADCAST_BYTES, size_checked_broadcast
 
 
-def grouped_correlation_spec(
-    df: DataFrame, keys: Sequence[str], x: str, y: str, corr_alias: str, decimals: int | None = None
-) -> AggSpec:
-    fx, fy = column_type(df, x, {}), column_type(df, y, {})
-    parts = {f"__corr{k}__{x}__{y}": t for k, t in corr_parts_sql(q(x), q(y)).items()}
-    corr = corr_from_parts_sql(*[q(f"__corr{k}__{x}__{y}") for k in ("n", "cov", "sx", "sy")])
-    buffers = {**parts, **mean_buffers(x, fx, decimals), **mean_buffers(y, fy, decimals)}
+def grouped_correlation_spec(df: DataFrame, keys: Sequence[str], x: str, y: str, corr_alias: str) -> AggSpec:
+    mx, my = moments_of(df, x), moments_of(df, y)
+    # The same moments over complete pairs only.
+    paired = f"({q(x)} IS NOT NULL AND {q(y)} IS NOT NULL)"
+    for m in (mx, my):
+        if m.fractional:
+            paired += f" AND ({m.x} - {m.x}) = 0"
+    px, py = (Moments(f"{m.name}__{x}_{y}", f"CASE WHEN {paired} THEN {m.x} END", m.dtype) for m in (mx, my))
+    buffers = {**mx.mean_buffers(), **my.mean_buffers(), **px.square_buffers(), **py.square_buffers(), **px.product_buffers(py)}
+    derived = {**mx.mean_derived(), **my.mean_derived(), **px.square_derived(), **py.square_derived()}
 
     def finish(g: DataFrame) -> DataFrame:
-        out = g.selectExpr(
+        out = prepared(g, [px, py], [(px, py)]).selectExpr(
             *[q(k) for k in keys],
-            f"{round_sql(corr, 4)} AS {q(corr_alias)}",
-            f"{round_sql(mean_value(x, fx, decimals), 2)} AS {q('avg_' + x)}",
-            f"{round_sql(mean_value(y, fy, decimals), 2)} AS {q('avg_' + y)}",
+            f"{round_sql(correlation(px, py), 4)} AS {q(corr_alias)}",
+            f"{round_sql(mx.mean(), 2)} AS {q('avg_' + x)}",
+            f"{round_sql(my.mean(), 2)} AS {q('avg_' + y)}",
         )
         return out.orderBy(*desc(corr_alias))
 
-    return AggSpec(tuple(keys), buffers, finish)
+    return AggSpec(tuple(keys), buffers, finish, derived)
 
 
-def grouped_correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, corr_alias: str,
-                        decimals: int | None = None) -> DataFrame:
+def grouped_correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, corr_alias: str) -> DataFrame:
     """Per group: Pearson correlation of x and y (4 decimals) and both means.
 
     Correlation is NaN for zero variance and NULL without complete pairs
-    (see ``guarded_corr_sql``).  Ordered by correlation, highest first.
+    (see ``moments.correlation``).  Ordered by correlation, highest first.
     """
-    return run_spec(df, grouped_correlation_spec(df, keys, x, y, corr_alias, decimals))
+    return run_spec(df, grouped_correlation_spec(df, keys, x, y, corr_alias))
 
 
 MEAN, SD = "__mean", "__sd"
 
 
-def group_moments_spec(df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None) -> AggSpec:
+def group_moments_spec(df: DataFrame, keys: Sequence[str], value: str) -> AggSpec:
     """Per group: mean and sample stddev of ``value`` (columns ``__mean``,
     ``__sd``); groups without a stddev (fewer than two values) are dropped,
     since nothing can lie beyond it."""
-    frac = column_type(df, value, {})
-    sds = f"__sds__{value}"
-    buffers = {**mean_buffers(value, frac, decimals), sds: f"STDDEV_SAMP({q(value)})"}
+    m = moments_of(df, value)
 
     def finish(g: DataFrame) -> DataFrame:
-        out = g.selectExpr(*[q(k) for k in keys], f"{mean_value(value, frac, decimals)} AS {MEAN}", f"{q(sds)} AS {SD}")
+        out = prepared(g, [m]).selectExpr(*[q(k) for k in keys], f"{m.mean()} AS {MEAN}", f"{m.stddev(sample=True)} AS {SD}")
         return out.where(f"{SD} IS NOT NULL")
 
-    return AggSpec(tuple(keys), buffers, finish)
+    return AggSpec(tuple(keys), m.square_buffers(), finish, m.square_derived())
 
 
 def zscore_outliers(
@@ -66,7 +67,6 @@ def zscore_outliers(
     ts: str,
     threshold: float = 2.0,
     limit: int | None = 50,
-    decimals: int | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     names: Sequence[str] = ("city_mean", "city_stddev", "z_score", "is_anomaly"),
     moments: DataFrame | None = None,
@@ -84,7 +84,7 @@ def zscore_outliers(
     """
     mean_a, sd_a, z_a, flag_a = names
     if moments is None:
-        moments = run_spec(df, group_moments_spec(df, keys, value, decimals))
+        moments = run_spec(df, group_moments_spec(df, keys, value))
     stats = size_checked_broadcast(moments, max_broadcast_bytes)
     v = q(value)
     dev = f"ABS({v} - {MEAN})"

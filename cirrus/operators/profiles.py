@@ -15,7 +15,7 @@ from cirrus.operators.aggregates import AggSpec, Stat, asc, desc, run_spec, stat
 
 
 def grouped_profile_spec(
-    df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None, count_alias: str = "record_count"
+    df: DataFrame, keys: Sequence[str], value: str, count_alias: str = "record_count"
 ) -> AggSpec:
     stats = [
         Stat("avg", value, f"avg_{value}"),
@@ -24,18 +24,18 @@ def grouped_profile_spec(
         Stat("stddev_samp", value, f"{value}_stddev"),
         Stat("count", None, count_alias),
     ]
-    return stats_spec(df, keys, stats, decimals, then=lambda g: g.orderBy(*desc(f"avg_{value}")))
+    return stats_spec(df, keys, stats, then=lambda g: g.orderBy(*desc(f"avg_{value}")))
 
 
 def grouped_profile(
-    df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None, count_alias: str = "record_count"
+    df: DataFrame, keys: Sequence[str], value: str, count_alias: str = "record_count"
 ) -> DataFrame:
     """Per group: mean, min, max and sample stddev of ``value``, and a count.
 
     Outputs ``avg_<v>, min_<v>, max_<v>, <v>_stddev, <count_alias>``, ordered
     by the rounded mean, highest first.
     """
-    return run_spec(df, grouped_profile_spec(df, keys, value, decimals, count_alias))
+    return run_spec(df, grouped_profile_spec(df, keys, value, count_alias))
 
 
 _PERIOD_STATS = {"avg": "avg_{}", "min": "min_{}", "max": "max_{}", "range": "{}_range"}
@@ -50,7 +50,6 @@ def period_profile_spec(
     label: str | None = None,
     stats: Sequence[str] = ("avg", "min", "max"),
     period_alias: str = "date",
-    decimals: int | None = None,
 ) -> AggSpec:
     label = label or value
     spec = [Stat(k, value, _PERIOD_STATS[k].format(label)) for k in stats]
@@ -58,7 +57,6 @@ def period_profile_spec(
         df,
         [*keys, period_alias],
         spec,
-        decimals,
         derived={period_alias: period_start_sql(q(ts), period)},
         then=lambda g: g.orderBy(*asc(*keys), *desc(period_alias)),
     )
@@ -80,7 +78,6 @@ def paired_gap_spec(
     keys: Sequence[str],
     actual: str,
     perceived: str,
-    decimals: int | None = None,
     names: Sequence[str] = ("avg_actual_temp", "avg_feels_like", "avg_gap", "min_gap", "max_gap"),
 ) -> AggSpec:
     a_avg, p_avg, g_avg, g_min, g_max = names
@@ -96,7 +93,6 @@ def paired_gap_spec(
         df,
         keys,
         stats,
-        decimals,
         derived={gap: f"({q(perceived)} - {q(actual)})"},
         then=lambda g: g.orderBy(*desc(g_avg)),
     )
@@ -114,7 +110,6 @@ def hour_of_day_spec(
     df: DataFrame,
     ts: str,
     values: Sequence[str],
-    decimals: int | None = None,
     hour_alias: str = "hour_of_day",
     count_alias: str = "record_count",
 ) -> AggSpec:
@@ -123,7 +118,6 @@ def hour_of_day_spec(
         df,
         [hour_alias],
         stats,
-        decimals,
         derived={hour_alias: hour_of_day_sql(q(ts))},
         then=lambda g: g.orderBy(*asc(hour_alias)),
     )

@@ -7,74 +7,41 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.functions.expr import counted_sql, exact_sum_units_sql, lookup_sql, mean_from_sql, period_start_sql, q, round_sql
-from cirrus.operators.aggregates import (
-    AggSpec,
-    Stat,
-    _scale,
-    asc,
-    column_type,
-    mean_buffers,
-    mean_value,
-    raw_name,
-    run_spec,
-    stats_spec,
-)
-
-
-def add_ranks(g: DataFrame, ranks: Sequence[tuple[str, bool, str]]) -> DataFrame:
-    """Add ``RANK()`` columns, each ``(value column, descending, alias)``.
-
-    One path at all sizes, lazy and exact for every type.  ``g`` is an
-    aggregate (one row per group); its rows are sorted in one task, which
-    spills, and ranks are streamed, so memory doesn't grow with the groups.
-    """
-    return g.selectExpr("*", *[f"{rank_sql(q(v), d)} AS {q(a)}" for v, d, a in ranks])
-
-
-def rank_sql(value: str, descending: bool = True) -> str:
-    """SQL ``RANK()`` (gaps after ties) over all rows, NULLs last, as bigint.
-
-    Used only on aggregates (one row per group), never on raw readings: an
-    unpartitioned window moves its input into one task, which is bounded by
-    the number of groups.
-    """
-    order = "DESC" if descending else "ASC"
-    return f"CAST(RANK() OVER (ORDER BY {value} {order} NULLS LAST) AS BIGINT)"
+from cirrus.functions.expr import lookup_sql, period_start_sql, q, round_sql
+from cirrus.functions.moments import merged
+from cirrus.operators.aggregates import AggSpec, Stat, asc, moments_of, raw_name, run_spec, stats_spec
+from cirrus.operators.ranks import add_ranks
 
 
 def rank_groups_spec(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    decimals: int | None = None,
     desc_alias: str = "hottest_rank",
     asc_alias: str = "coldest_rank",
 ) -> AggSpec:
     avg_a = f"avg_{value}"
-    raw = q(raw_name(avg_a))
 
     def then(g: DataFrame) -> DataFrame:
         ranked = add_ranks(g, [(raw_name(avg_a), True, desc_alias), (raw_name(avg_a), False, asc_alias)])
         out = ranked.select(*keys, avg_a, desc_alias, asc_alias)
         return out.orderBy(*asc(desc_alias))
 
-    return stats_spec(df, keys, [Stat("avg", value, avg_a)], decimals, keep_raw=[avg_a], then=then)
+    return stats_spec(df, keys, [Stat("avg", value, avg_a)], keep_raw=[avg_a], then=then, reread=True)
 
 
-def rank_groups(df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None, **kw) -> DataFrame:
+def rank_groups(df: DataFrame, keys: Sequence[str], value: str, **kw) -> DataFrame:
     """Per group: rounded mean, its rank highest-first and lowest-first.
 
     Ranks use the unrounded mean; output ordered by the descending rank.
     """
-    return run_spec(df, rank_groups_spec(df, keys, value, decimals, **kw))
+    return run_spec(df, rank_groups_spec(df, keys, value, **kw))
 
 
 def volatility_rank_spec(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    decimals: int | None = None,
     count_alias: str = "total_readings",
     rank_alias: str = "volatility_rank",
 ) -> AggSpec:
@@ -92,12 +59,12 @@ def volatility_rank_spec(
         out = add_ranks(g, [(raw_name(sd), True, rank_alias)]).select(*shown, rank_alias)
         return out.orderBy(*asc(rank_alias))
 
-    return stats_spec(df, keys, stats, decimals, keep_raw=[sd], then=then)
+    return stats_spec(df, keys, stats, keep_raw=[sd], then=then, reread=True)
 
 
-def volatility_rank(df: DataFrame, keys: Sequence[str], value: str, decimals: int | None = None, **kw) -> DataFrame:
+def volatility_rank(df: DataFrame, keys: Sequence[str], value: str, **kw) -> DataFrame:
     """Per group: population stddev, mean, min, max, count; ranked by stddev."""
-    return run_spec(df, volatility_rank_spec(df, keys, value, decimals, **kw))
+    return run_spec(df, volatility_rank_spec(df, keys, value, **kw))
 
 
 def mapped_rollup_rank_spec(
@@ -107,7 +74,6 @@ def mapped_rollup_rank_spec(
     otherwise: str,
     value: str,
     rollup_alias: str,
-    decimals: int | None = None,
     distinct_alias: str | None = None,
     count_alias: str = "total_readings",
     rank_alias: str = "temperature_rank",
@@ -119,70 +85,49 @@ def mapped_rollup_rank_spec(
     serves this query from an existing grouping set.  The distinct count of ``key`` is then a plain
     count of first-level groups (no Expand-based distinct aggregate), and the
     exact integer sums merge without error."""
-    frac = column_type(df, value, {})
-    scale = _scale(frac, decimals)
-    su = f"__su{scale}__{value}" if scale is not None else f"__fsum__{value}"
-    n, mn, mx = f"__n__{value}", f"__min__{value}", f"__max__{value}"
-    v = q(value)
-    buffers = {
-        su: exact_sum_units_sql(v, scale) if scale is not None else f"SUM({v})",
-        n: counted_sql(v, scale or 0),
-        mn: f"MIN({v})",
-        mx: f"MAX({v})",
-        "__rows": "COUNT(1)",
-    }
+    m = moments_of(df, value)
+    mn, mx = f"__min__{value}", f"__max__{value}"
+    buffers = {**m.mean_buffers(), mn: f"MIN({q(value)})", mx: f"MAX({q(value)})", "__rows": "COUNT(1)"}
     avg_a = f"avg_{value}"
     distinct_alias = distinct_alias or f"{key}_count"
-    mean = mean_from_sql(q(su), q(n), scale or 0)
+    merge = [F.expr(f"{merged(b, t)} AS {q(b)}") for b, t in buffers.items()]
 
     def mm(c: str) -> str:
-        return round_sql(c, 2) if frac else c
+        return round_sql(c, 2) if m.fractional else c
 
     def finish(g: DataFrame) -> DataFrame:
         if via_keys:
-            merge = {su: "SUM" if scale is not None else "SUM", n: "SUM", mn: "MIN", mx: "MAX", "__rows": "SUM"}
             g = g.selectExpr(f"{lookup_sql(q(key), mapping, otherwise)} AS {q(rollup_alias)}", q(key),
                              *[q(b) for b in buffers])
-            g = g.groupBy(rollup_alias, key).agg(*[F.expr(f"{merge[b]}({q(b)}) AS {q(b)}") for b in buffers])
-        r = g.groupBy(rollup_alias).agg(
-            *[
-                F.expr(t)
-                for t in (
-                    f"SUM({q(su)}) AS {q(su)}",
-                    f"SUM({q(n)}) AS {q(n)}",
-                    f"MIN({q(mn)}) AS {q(mn)}",
-                    f"MAX({q(mx)}) AS {q(mx)}",
-                    f"COUNT({q(key)}) AS {q(distinct_alias)}",
-                    f"SUM(`__rows`) AS {q(count_alias)}",
-                )
-            ]
-        )
+            g = g.groupBy(rollup_alias, key).agg(*merge)
+        r = g.groupBy(rollup_alias).agg(*merge, F.expr(f"COUNT({q(key)}) AS {q(distinct_alias)}"))
         out = r.selectExpr(
             q(rollup_alias),
-            f"{round_sql(mean, 2)} AS {q(avg_a)}",
+            f"{round_sql(m.mean(), 2)} AS {q(avg_a)}",
             f"{mm(q(mn))} AS {q('min_' + value)}",
             f"{mm(q(mx))} AS {q('max_' + value)}",
             q(distinct_alias),
-            q(count_alias),
-            f"{mean} AS __rank_value",
+            f"`__rows` AS {q(count_alias)}",
+            f"{m.mean()} AS __rank_value",
         )
         out = add_ranks(out, [("__rank_value", True, rank_alias)]).drop("__rank_value")
         return out.orderBy(*asc(rank_alias))
 
     if via_keys:
-        return AggSpec(tuple(via_keys), buffers, finish)
-    return AggSpec((rollup_alias, key), buffers, finish, {rollup_alias: lookup_sql(q(key), mapping, otherwise)})
+        return AggSpec(tuple(via_keys), buffers, finish, m.mean_derived())
+    rolled = {rollup_alias: lookup_sql(q(key), mapping, otherwise)}
+    return AggSpec((rollup_alias, key), buffers, finish, {**m.mean_derived(), **rolled}, reread=True)
 
 
 def mapped_rollup_rank(df: DataFrame, key: str, mapping: Mapping[str, str], otherwise: str, value: str,
-                       rollup_alias: str, decimals: int | None = None, **kw) -> DataFrame:
+                       rollup_alias: str, **kw) -> DataFrame:
     """Roll ``key`` up through ``mapping`` and rank the rolled-up groups.
 
     The map is a fixed literal expression (no join).  Per rolled-up group:
     mean, min, max of ``value``, distinct ``key`` count, row count and the
     rank of the unrounded mean, highest first.
     """
-    return run_spec(df, mapped_rollup_rank_spec(df, key, mapping, otherwise, value, rollup_alias, decimals, **kw))
+    return run_spec(df, mapped_rollup_rank_spec(df, key, mapping, otherwise, value, rollup_alias, **kw))
 
 
 def period_over_period_spec(
@@ -193,7 +138,6 @@ def period_over_period_spec(
     value: str,
     period_alias: str = "month",
     change_alias: str = "change_from_previous_month",
-    decimals: int | None = None,
     via_day: str | None = None,
 ) -> AggSpec:
     """``via_day`` (a column name): group by (keys, day of ``ts``) and roll the
@@ -202,9 +146,8 @@ def period_over_period_spec(
     avg_a = f"avg_{value}"
     raw = q(raw_name(avg_a))
     part = ", ".join(q(k) for k in keys)
-    frac = column_type(df, value, {})
-    if via_day and _scale(frac, decimals) is not None:
-        return _period_over_period_via_day(df, keys, ts, period, value, period_alias, change_alias, decimals, via_day)
+    if via_day:
+        return _period_over_period_via_day(df, keys, ts, period, value, period_alias, change_alias, via_day)
 
     def then(g: DataFrame) -> DataFrame:
         lag = f"LAG({raw}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
@@ -217,25 +160,24 @@ def period_over_period_spec(
         df,
         [*keys, period_alias],
         [Stat("avg", value, avg_a)],
-        decimals,
         keep_raw=[avg_a],
         derived={period_alias: period_start_sql(q(ts), period)},
         then=then,
     )
 
 
-def _period_over_period_via_day(df, keys, ts, period, value, period_alias, change_alias, decimals, day):
-    frac = column_type(df, value, {})
-    buffers = mean_buffers(value, frac, decimals)
+def _period_over_period_via_day(df, keys, ts, period, value, period_alias, change_alias, day):
+    m = moments_of(df, value)
+    buffers = m.mean_buffers()
     avg_a = f"avg_{value}"
-    mean = mean_value(value, frac, decimals)
+    mean = m.mean()
     part = ", ".join(q(k) for k in keys)
 
     def finish(g: DataFrame) -> DataFrame:
         per = g.selectExpr(*[q(k) for k in keys], f"{period_start_sql(q(day), period)} AS {q(period_alias)}",
                            *[q(b) for b in buffers])
         # Exact integer sums and counts merge without error.
-        per = per.groupBy(*keys, period_alias).agg(*[F.expr(f"SUM({q(b)}) AS {q(b)}") for b in buffers])
+        per = per.groupBy(*keys, period_alias).agg(*[F.expr(f"{merged(b, t)} AS {q(b)}") for b, t in buffers.items()])
         lag = f"LAG({mean}, 1) OVER (PARTITION BY {part} ORDER BY {q(period_alias)} ASC NULLS LAST)"
         out = per.selectExpr(
             *[q(k) for k in keys],
@@ -245,7 +187,7 @@ def _period_over_period_via_day(df, keys, ts, period, value, period_alias, chang
         )
         return out.orderBy(*asc(*keys, period_alias))
 
-    return AggSpec((*keys, day), buffers, finish, {day: period_start_sql(q(ts), "day")})
+    return AggSpec((*keys, day), buffers, finish, {**m.mean_derived(), day: period_start_sql(q(ts), "day")})
 
 
 def period_over_period(df: DataFrame, keys: Sequence[str], ts: str, period: str, value: str, **kw) -> DataFrame:

@@ -69,7 +69,6 @@ def grouped_band_spec(
     otherwise: str,
     having_below: float | None,
     band_alias: str,
-    decimals: int | None = None,
     count_alias: str = "occurrences",
 ) -> AggSpec:
     avg_a, min_a = f"avg_{value}", f"min_{value}"
@@ -84,7 +83,7 @@ def grouped_band_spec(
         )
         return out.orderBy(*asc(avg_a))
 
-    return stats_spec(df, keys, stats, decimals, keep_raw=[avg_a], then=then)
+    return stats_spec(df, keys, stats, keep_raw=[avg_a], then=then)
 
 
 def grouped_band(df: DataFrame, keys: Sequence[str], value: str, *args, **kw) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each takes a readings frame (``cirrus.schema.READINGS_SCHEMA`` columns) and
 returns a lazy DataFrame with the documented columns, in the documented
-order.  Means are exact at ``READING_DECIMALS`` (order independent).
+order.  Means, variances and correlations come from exact sums.
 
 Fifteen of the sixteen are single aggregates; ``SPECS`` gives them as
 ``AggSpec``s so that ``fused_queries`` can compute all of them in one
@@ -30,7 +30,6 @@ from cirrus.operators.ranking import (
 )
 from cirrus.operators.shares import banded_share_spec, category_share_spec, grouped_band_spec
 
-D = S.READING_DECIMALS
 CITY_COUNTRY = [S.CITY, S.COUNTRY]
 TS = S.RECORDED_AT
 
@@ -41,23 +40,23 @@ def _specs(as_of: dt.datetime | str | None = None, fused: bool = False) -> dict[
     anyway (rolled up in their finishing steps); on their own they group
     directly."""
     return {
-        "avg_temperature_per_city": lambda r: grouped_profile_spec(r, CITY_COUNTRY, S.TEMPERATURE, D),
-        "hottest_coldest_ranking": lambda r: rank_groups_spec(r, CITY_COUNTRY, S.TEMPERATURE, D),
-        "humidity_trends": lambda r: period_profile_spec(r, [S.CITY], TS, "day", S.HUMIDITY, decimals=D),
+        "avg_temperature_per_city": lambda r: grouped_profile_spec(r, CITY_COUNTRY, S.TEMPERATURE),
+        "hottest_coldest_ranking": lambda r: rank_groups_spec(r, CITY_COUNTRY, S.TEMPERATURE),
+        "humidity_trends": lambda r: period_profile_spec(r, [S.CITY], TS, "day", S.HUMIDITY),
         "wind_speed_distribution": lambda r: banded_share_spec(
             r, [S.CITY], S.WIND_SPEED, S.WIND_BANDS, S.WIND_ELSE, "wind_category"
         ),
         "weather_condition_frequency": lambda r: category_share_spec(r, [S.CITY], S.DESCRIPTION),
         "temperature_humidity_correlation": lambda r: grouped_correlation_spec(
-            r, [S.CITY], S.TEMPERATURE, S.HUMIDITY, "temp_humidity_correlation", D
+            r, [S.CITY], S.TEMPERATURE, S.HUMIDITY, "temp_humidity_correlation"
         ),
         "daily_temperature_range": lambda r: period_profile_spec(
-            r, [S.CITY], TS, "day", S.TEMPERATURE, label="temp", stats=("min", "max", "range", "avg"), decimals=D
+            r, [S.CITY], TS, "day", S.TEMPERATURE, label="temp", stats=("min", "max", "range", "avg")
         ),
         "pressure_trends": lambda r: period_profile_spec(
-            r, [S.CITY], TS, "day", S.PRESSURE, stats=("avg", "min", "max", "range"), decimals=D
+            r, [S.CITY], TS, "day", S.PRESSURE, stats=("avg", "min", "max", "range")
         ),
-        "feels_like_gap": lambda r: paired_gap_spec(r, [S.CITY], S.TEMPERATURE, S.FEELS_LIKE, decimals=D),
+        "feels_like_gap": lambda r: paired_gap_spec(r, [S.CITY], S.TEMPERATURE, S.FEELS_LIKE),
         "visibility_impact": lambda r: grouped_band_spec(
             r,
             [S.CITY, S.DESCRIPTION],
@@ -66,22 +65,21 @@ def _specs(as_of: dt.datetime | str | None = None, fused: bool = False) -> dict[
             S.VISIBILITY_ELSE,
             S.VISIBILITY_HAVING_BELOW,
             "visibility_category",
-            D,
         ),
-        "hourly_weather_pattern": lambda r: hour_of_day_spec(r, TS, [S.TEMPERATURE, S.HUMIDITY, S.WIND_SPEED], D),
+        "hourly_weather_pattern": lambda r: hour_of_day_spec(r, TS, [S.TEMPERATURE, S.HUMIDITY, S.WIND_SPEED]),
         "data_freshness_per_city": lambda r: freshness_spec(
             r, [S.CITY], TS, as_of, S.FRESHNESS_DELAYED_HOURS, S.FRESHNESS_STALE_HOURS
         ),
         # Rolled up from the (city, day) set the daily profiles use.
         "monthly_temperature_trend": lambda r: period_over_period_spec(
-            r, [S.CITY], TS, "month", S.TEMPERATURE, decimals=D, via_day="date" if fused else None
+            r, [S.CITY], TS, "month", S.TEMPERATURE, via_day="date" if fused else None
         ),
         # Rolled up from the (city, country) set of the per-city profiles.
         "continent_temperature_ranking": lambda r: mapped_rollup_rank_spec(
-            r, S.CITY, S.CONTINENT_OF_CITY, S.CONTINENT_ELSE, S.TEMPERATURE, "continent", D,
+            r, S.CITY, S.CONTINENT_OF_CITY, S.CONTINENT_ELSE, S.TEMPERATURE, "continent",
             distinct_alias="city_count", via_keys=CITY_COUNTRY if fused else None,
         ),
-        "temperature_volatility_by_city": lambda r: volatility_rank_spec(r, CITY_COUNTRY, S.TEMPERATURE, D),
+        "temperature_volatility_by_city": lambda r: volatility_rank_spec(r, CITY_COUNTRY, S.TEMPERATURE),
     }
 
 
@@ -113,7 +111,7 @@ temperature_volatility_by_city = _direct("temperature_volatility_by_city")
 
 
 def anomaly_detection(r: DataFrame, std_threshold: float = 2.0, moments: DataFrame | None = None) -> DataFrame:
-    return zscore_outliers(r, [S.CITY], S.TEMPERATURE, TS, std_threshold, 50, D, moments=moments)
+    return zscore_outliers(r, [S.CITY], S.TEMPERATURE, TS, std_threshold, 50, moments=moments)
 
 
 def data_freshness_per_city(r: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
@@ -160,7 +158,7 @@ def fused_queries(
     """
     builders = _specs(as_of, fused=True)
     specs = {name: b(r) for name, b in builders.items()}
-    specs[_MOMENTS] = group_moments_spec(r, [S.CITY], S.TEMPERATURE, D)
+    specs[_MOMENTS] = group_moments_spec(r, [S.CITY], S.TEMPERATURE)
     specs.update(extra or {})
     results, shared = run_specs_fused(r, specs)
     results["anomaly_detection"] = anomaly_detection(r, std_threshold, moments=results.pop(_MOMENTS))

@@ -31,10 +31,6 @@ READINGS_SCHEMA = T.StructType(
     ]
 )
 
-# Readings carry at most this many decimals (the sample generator rounds to
-# two).  Means are computed exactly at this scale (see functions.expr).
-READING_DECIMALS = 10
-
 # ---------------------------------------------------------------------------
 # Fixed values.  These must equal the reference behaviour for results to
 # agree; they are data, stated as given.
