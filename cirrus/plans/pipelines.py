@@ -59,7 +59,7 @@ def load_readings(
     if mode == "incremental":
         mark = high_water_mark(spark, target, day_partition=day_partition)
         source = jdbc_incremental_load(spark, url, mark, table, properties=properties)
-        return incremental_run(spark, source, target, day_partition=day_partition)
+        return incremental_run(spark, source, target, day_partition=day_partition, mark=mark)
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cirrus.sources import committed
 from cirrus.sources.local import empty_frame, local_frame
 
 log = logging.getLogger(__name__)
@@ -50,7 +51,7 @@ def _manifest(out_dir: str) -> str:
 
 def _write_manifest(spark: SparkSession, out_dir: str, entries: list[tuple[str, str, str, int]]) -> None:
     if entries:
-        local_frame(spark, entries, MANIFEST_SCHEMA).write.mode("append").parquet(_manifest(out_dir))
+        committed.append(local_frame(spark, entries, MANIFEST_SCHEMA), _manifest(out_dir))
 
 
 def _export(df: DataFrame, query_name: str, out_dir: str, ts: str) -> tuple[str, int]:
@@ -113,7 +114,7 @@ def export_all(
         elif out[0]:
             exported[name] = out[0]
             entries.append((name, ts, out[0], out[1]))
-    # One manifest write for the run (concurrent appends to one folder clash).
+    # One batch of the manifest for the run; runs side by side each commit their own.
     _write_manifest(next(iter(results.values())).sparkSession, out_dir, entries)
     ok = sum(1 for p in exported.values() if p)
     log.info("export complete - %d/%d written", ok, len(results))
@@ -127,9 +128,5 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
 
 def list_exports(spark: SparkSession, out_dir: str) -> DataFrame:
     """Manifest rows ordered by path; empty when nothing was exported."""
-    from cirrus.sources.tables import target_exists
-
-    m = _manifest(out_dir)
-    if not target_exists(spark, m):
-        return empty_frame(spark, MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(m).orderBy("path")
+    rows = committed.read(spark, _manifest(out_dir))
+    return empty_frame(spark, MANIFEST_SCHEMA) if rows is None else rows.orderBy("path")

@@ -1,7 +1,7 @@
 """Readings tables at rest: read, conform, create, append, replace, query.
 
-A *target* is either a storage path (contains '/' or a URI scheme) written
-as Parquet, or a catalog table name.
+A *target* is either a storage path (contains '/' or a URI scheme), kept as a
+committed table, or a catalog table name.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cirrus.schema import READINGS_SCHEMA
+from cirrus.sources import committed
 
 log = logging.getLogger(__name__)
 
@@ -22,16 +23,23 @@ def is_path(target: str) -> bool:
 
 
 def target_exists(spark: SparkSession, target: str) -> bool:
+    """Whether there is a table: rows of a dead run that were never committed are none."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
+    if committed.is_committed_table(spark, target):
+        return bool(committed.batches(spark, target))
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(target)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return fs.exists(p) and not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{target}/data"))
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target) if is_path(target) else spark.table(target)
+    """A committed table, any other Parquet folder, or a catalog table."""
+    if not is_path(target):
+        return spark.table(target)
+    rows = committed.read(spark, target) if committed.is_committed_table(spark, target) else None
+    return spark.read.parquet(target) if rows is None else rows
 
 
 def conform(df: DataFrame, schema: T.StructType = READINGS_SCHEMA) -> DataFrame:
@@ -74,45 +82,67 @@ def with_day(df: DataFrame, ts: str, day_column: str) -> DataFrame:
     return df if day_column in df.columns else df.withColumn(day_column, F.to_date(F.col(ts)))
 
 
-def append_or_create(df: DataFrame, target: str, day_partition: str | None = None, ts: str = "recorded_at") -> int:
+def append_or_create(
+    df: DataFrame,
+    target: str,
+    day_partition: str | None = None,
+    ts: str = "recorded_at",
+    batch_id: str | None = None,
+) -> int:
     """Append ``df`` to ``target`` (by column name), creating it if absent.
 
     Never drops existing rows.  Returns the number of rows written, observed
     during the write itself (no separate counting job).  Appending nothing
-    leaves an existing target unchanged; a new target is still created, with
-    the frame's schema and no rows, so a following read succeeds.
+    writes nothing and creates nothing.
+
+    A path is a committed table (``sources.committed``): rows count once their
+    batch is committed, and a ``batch_id`` that is there already is not added
+    again, so a run that died can be repeated.  The batch's newest ``ts`` is
+    noted beside it.  Catalog tables, and plain Parquet folders written by
+    others, are appended to by Spark as they are, without that protection.
 
-    ``day_partition`` stores the table partitioned by the day of ``ts`` (a
-    column of that name): readers filtering on time prune to the days they
-    need, and the high-water mark reads only the newest day.
+    ``day_partition`` stores the batch partitioned by the day of ``ts`` (a
+    column of that name): readers filtering on time prune to the days they need.
     """
     spark = df.sparkSession
-    obs = Observation("append")
     if day_partition:
         df = with_day(df, ts, day_partition)
     exists = target_exists(spark, target)
-    data = _ordered_like(df, spark, target) if exists else df
-    w = data.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
-    if day_partition:
-        w = w.partitionBy(day_partition)
-    if is_path(target):
-        w.parquet(target)
+    plain = exists and is_path(target) and not committed.is_committed_table(spark, target)
+    if is_path(target) and not plain:
+        naive = dict(df.dtypes).get(ts) == "timestamp_ntz"
+        rows = committed.append(df, target, batch_id, day_partition, ts if naive else None)
+    elif df.isEmpty():
+        rows = 0
     else:
-        w.saveAsTable(target)
-    rows = int(obs.get.get("rows", 0))
+        obs = Observation("append")
+        data = _ordered_like(df, spark, target) if exists else df
+        w = data.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
+        if day_partition:
+            w = w.partitionBy(day_partition)
+        if plain:
+            w.parquet(target)
+        else:
+            w.saveAsTable(target)
+        rows = int(obs.get.get("rows", 0))
     log.info("%s %d record(s) in %s", "appended" if exists else "created with", rows, target)
     return rows
 
 
-def replace_table(df: DataFrame, target: str) -> int:
-    """Replace ``target`` with ``df`` (drop and re-create).  Spark refuses to
-    overwrite a path the same plan reads from."""
-    obs = Observation("replace")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+def replace_table(df: DataFrame, target: str, batch_id: str | None = None) -> int:
+    """Replace ``target`` with ``df``.
+
+    At a path, readers see the old rows until the new ones are committed, and
+    keep them if the write fails; ``df`` may read the target itself.  A plain
+    Parquet folder written by others is refused: it has no log to switch."""
+    spark = df.sparkSession
     if is_path(target):
-        w.parquet(target)
-    else:
-        w.saveAsTable(target)
+        if target_exists(spark, target) and not committed.is_committed_table(spark, target):
+            raise ValueError(f"{target} is not a committed table")
+        naive = dict(df.dtypes).get("recorded_at") == "timestamp_ntz"
+        return committed.replace(df, target, batch_id, "recorded_at" if naive else None)
+    obs = Observation("replace")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(target)
     return int(obs.get.get("rows", 0))
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cirrus.functions.expr import ntz
 from cirrus.schema import READINGS_SCHEMA, RECORDED_AT
+from cirrus.sources import committed
 from cirrus.sources.local import empty_frame
 from cirrus.sources.tables import append_or_create, is_path, read_target, target_exists
 
@@ -49,15 +50,21 @@ def high_water_mark(
 ) -> dt.datetime | None:
     """Newest ``ts`` stored in ``target``; None when it is missing or empty.
 
-    One global aggregate (partial max per task, one row to the driver).  For
-    a day-partitioned stored path only the newest day is read (partition
-    pruning); the newest day comes from the folder listing.
+    A committed table notes each batch's newest ``ts`` when it is written, so
+    only its log is read, no row.  Otherwise one global aggregate (partial max
+    per task, one row to the driver); for a day-partitioned plain folder only
+    the newest day is read, found by a folder listing.
     """
     if not target_exists(spark, target):
         log.info("%s does not exist yet - full load required", target)
         return None
+    if is_path(target) and committed.is_committed_table(spark, target):
+        some = committed.batches(spark, target)
+        noted = committed.greatest_of(some, ts)
+        if noted is not None and all(f"greatest:{ts}" in b.info or not b.rows for b in some):
+            return dt.datetime.fromisoformat(noted)
     stored = read_target(spark, target)
-    if day_partition and is_path(target):
+    if day_partition and is_path(target) and not committed.is_committed_table(spark, target):
         day = _newest_day(spark, target, day_partition)
         if day is not None:
             newest = stored.where(F.col(day_partition) == F.to_date(F.lit(day))).agg(F.max(ts)).first()[0]
@@ -90,21 +97,31 @@ def newer_than(source: DataFrame, stored: DataFrame, ts: str = RECORDED_AT) -> D
     return source.filter(F.col(ts) > mark)
 
 
+_LOOK = object()
+
+
 def incremental_run(
     spark: SparkSession,
     source: DataFrame,
     target: str,
     ts: str = RECORDED_AT,
     day_partition: str | None = None,
+    mark: dt.datetime | None | object = _LOOK,
 ) -> DataFrame:
     """Mark -> load newer rows -> append -> the whole stored table.
 
-    Returns an empty frame with the readings schema when neither the source
-    nor the target holds anything.
+    The batch is named after the mark it starts from.  A run that dies before
+    its commit leaves the mark where it was and is simply repeated; one that
+    dies after it has moved the mark, so repeating it finds nothing newer.
+    ``mark`` saves looking it up where the caller has done so.  Returns an
+    empty frame with the readings schema when neither the source nor the target
+    holds anything.
     """
-    mark = high_water_mark(spark, target, ts, day_partition)
+    if mark is _LOOK:
+        mark = high_water_mark(spark, target, ts, day_partition)
     new_rows = incremental_load(source, mark, ts)
-    n = append_or_create(new_rows, target, day_partition, ts)
+    batch_id = f"newer than {mark.isoformat()}" if mark is not None else "full load"
+    n = append_or_create(new_rows, target, day_partition, ts, batch_id)
     log.info("loaded %d new record(s) since %s", n, mark)
     if target_exists(spark, target):
         return read_target(spark, target)

@@ -1,12 +1,15 @@
 """Tables at rest, incremental loading by high-water mark, JDBC loads."""
 
 import datetime as dt
+import glob
 import os
 
+import pytest
+
 from cirrus import schema as S
 from cirrus.sources.jdbc import jdbc_full_load, jdbc_incremental_load, with_retries
 from cirrus.sources.local import empty_frame, local_frame
-from cirrus.sources.tables import append_or_create, conform, read_readings, replace_table, run_sql
+from cirrus.sources.tables import append_or_create, conform, read_readings, read_target, replace_table, run_sql
 from cirrus.streaming.incremental import high_water_mark, incremental_load, incremental_run, newer_than
 
 T0 = dt.datetime(2026, 6, 1, 12, 0)
@@ -76,7 +79,7 @@ def test_lazy_mark_pushes_into_the_scan(spark, tmp_dir):
     append_or_create(frame(spark, rows(n=10)), target)
     src = read_readings(spark, target)
     stored = src.where(f"recorded_at <= TIMESTAMP_NTZ'{(T0 - dt.timedelta(hours=4)).isoformat(sep=' ')}'")
-    out = newer_than(spark.read.parquet(target), stored)
+    out = newer_than(read_target(spark, target), stored)
     assert out.count() == 4
     assert "GreaterThan(recorded_at" in out._jdf.queryExecution().executedPlan().toString()
 
@@ -159,8 +162,8 @@ def test_day_partitioned_store_prunes_the_mark(spark, tmp_dir):
     target = os.path.join(tmp_dir, "by_day")
     first = frame(spark, rows(n=30))                        # spans two days
     assert incremental_run(spark, first, target, day_partition="event_date").count() == 30
-    assert sorted(d for d in os.listdir(target) if d.startswith("event_date=")) == [
-        "event_date=2026-05-31", "event_date=2026-06-01"]
+    days = glob.glob(os.path.join(target, "data", "*", "__part=rows", "event_date=*"))
+    assert sorted(os.path.basename(d) for d in days) == ["event_date=2026-05-31", "event_date=2026-06-01"]
     assert high_water_mark(spark, target, day_partition="event_date") == T0
     newer = frame(spark, rows(n=30) + rows("Paris", 3, T0 + dt.timedelta(hours=14)))   # into the next day
     out = incremental_run(spark, newer, target, day_partition="event_date")
@@ -168,3 +171,15 @@ def test_day_partitioned_store_prunes_the_mark(spark, tmp_dir):
     assert high_water_mark(spark, target, day_partition="event_date") == T0 + dt.timedelta(hours=14)
     pruned = read_readings(spark, target).where("event_date = DATE'2026-06-02'").agg({"recorded_at": "max"})
     assert "PartitionFilters: [isnotnull(event_date" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plain_folders_of_others(spark, tmp_dir):
+    """A Parquet folder without a log is read, appended to and marked as it is."""
+    target = os.path.join(tmp_dir, "plain")
+    frame(spark, rows(n=30)).selectExpr("*", "to_date(recorded_at) AS event_date").write.partitionBy("event_date").parquet(target)
+    assert high_water_mark(spark, target, day_partition="event_date") == T0
+    assert append_or_create(frame(spark, rows()).where("false"), target, "event_date") == 0
+    assert append_or_create(frame(spark, rows("London", 2)), target, "event_date") == 2
+    assert read_readings(spark, target).count() == 32
+    with pytest.raises(ValueError, match="not a committed table"):
+        replace_table(frame(spark, rows()), target)
