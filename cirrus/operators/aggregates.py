@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cirrus.functions.expr import q, round_sql
-from cirrus.functions.moments import FRACTIONAL, Moments, prepared
+from cirrus.functions.moments import FRACTIONAL, Moments, merged, prepared
 from cirrus.session import ensure_checkpoint_dir
 
 @dataclass(frozen=True)
@@ -202,6 +202,74 @@ def run_spec(df: DataFrame, spec: AggSpec) -> DataFrame:
     return spec.finish(g)
 
 
+@dataclass
+class SetPlan:
+    """Several specs as one GROUPING SETS aggregate: what to derive, the
+    buffers by name, the keys of all sets, and the sets."""
+
+    specs: dict[str, AggSpec]
+    derived: dict[str, str] = field(default_factory=dict)
+    buffers: dict[str, str] = field(default_factory=dict)
+    keys: list[str] = field(default_factory=list)
+    sets: list[tuple[str, ...]] = field(default_factory=list)
+
+    def gid_of(self, keys: tuple[str, ...]) -> int:
+        """grouping_id: bit (n-1-i) is set when key i is NOT grouped in the set."""
+        n = len(self.keys)
+        return sum(1 << (n - 1 - i) for i, k in enumerate(self.keys) if k not in keys)
+
+    def aggregate(self, df: DataFrame) -> DataFrame:
+        """All sets over ``df`` in one pass: ``__gid``, keys and buffers.
+
+        ``__gid`` tells the sets apart, so genuine NULL keys in the data are not
+        confused with the NULLs of keys outside a set.  Each buffer is updated
+        only for the sets whose specs use it (FILTER on the grouping id)."""
+        users: dict[str, set[int]] = {}
+        for spec in self.specs.values():
+            for b in spec.buffers:
+                users.setdefault(b, set()).add(self.gid_of(spec.keys))
+        filtered = {
+            b: (f"{t} FILTER (WHERE GROUPING_ID() IN ({', '.join(map(str, sorted(users[b])))}))"
+                if _single_call(t) and len(users[b]) < len(self.sets) else t)
+            for b, t in self.buffers.items()
+        }
+        src = with_derived(df, self.derived)
+        return src.groupingSets([list(s) for s in self.sets], *self.keys).agg(
+            F.expr("GROUPING_ID() AS __gid"), *_aggs(filtered)
+        )
+
+    def merge(self, parts: DataFrame) -> DataFrame:
+        """Partial results of :meth:`aggregate` over any split of the rows,
+        merged into those of all rows."""
+        return parts.groupBy("__gid", *self.keys).agg(*[F.expr(f"{merged(b, t)} AS {q(b)}") for b, t in self.buffers.items()])
+
+    def finish(self, agg: DataFrame) -> dict[str, DataFrame]:
+        """Results by name."""
+        out = {}
+        for name, spec in self.specs.items():
+            part = agg.where(f"__gid = {self.gid_of(spec.keys)}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
+            if not spec.keys and spec.counts_only:
+                cols = list(spec.buffers)
+                zero = agg.sparkSession.range(1).selectExpr(*[f"CAST(0 AS BIGINT) AS {q(c)}" for c in cols])
+                part = part.unionByName(zero).agg(*[F.expr(f"SUM({q(c)}) AS {q(c)}") for c in cols])
+            out[name] = spec.finish(part)
+        return out
+
+
+def plan_sets(specs: Mapping[str, AggSpec]) -> SetPlan:
+    """Specs that define a column or buffer of one name differently are refused."""
+    plan = SetPlan(dict(specs))
+    for name, spec in specs.items():
+        for pool, new in ((plan.derived, spec.derived), (plan.buffers, spec.buffers)):
+            for col, sql in new.items():
+                if pool.setdefault(col, sql) != sql:
+                    raise ValueError(f"spec {name!r} redefines {col!r} differently")
+        plan.keys += [k for k in spec.keys if k not in plan.keys]
+        if spec.keys not in plan.sets:
+            plan.sets.append(spec.keys)
+    return plan
+
+
 def run_specs_fused(
     df: DataFrame, specs: Mapping[str, AggSpec], cut: bool = True
 ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -209,44 +277,10 @@ def run_specs_fused(
 
     Returns the results by name and the shared aggregate (checkpointed: it
     holds one row per group of every set, i.e. as many rows as the results
-    together).  ``grouping_id`` tells the sets apart, so genuine NULL keys in
-    the data are not confused with the NULLs of keys outside a set.
+    together).
     """
-    derived: dict[str, str] = {}
-    buffers: dict[str, str] = {}
-    all_keys: list[str] = []
-    sets: list[tuple[str, ...]] = []
-    for name, spec in specs.items():
-        for pool, new in ((derived, spec.derived), (buffers, spec.buffers)):
-            for col, sql in new.items():
-                if pool.setdefault(col, sql) != sql:
-                    raise ValueError(f"spec {name!r} redefines {col!r} differently")
-        for k in spec.keys:
-            if k not in all_keys:
-                all_keys.append(k)
-        if spec.keys not in sets:
-            sets.append(spec.keys)
-    n = len(all_keys)
-
-    def gid_of(keys: tuple[str, ...]) -> int:
-        # grouping_id: bit (n-1-i) is set when key i is NOT grouped in the set.
-        return sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
-
-    # Every set would otherwise update every buffer: restrict each buffer to
-    # the sets whose specs use it (FILTER on the grouping id).
-    users: dict[str, set[int]] = {}
-    for spec in specs.values():
-        for b in spec.buffers:
-            users.setdefault(b, set()).add(gid_of(spec.keys))
-    filtered = {
-        b: (f"{t} FILTER (WHERE GROUPING_ID() IN ({', '.join(map(str, sorted(users[b])))}))"
-            if _single_call(t) and len(users[b]) < len(sets) else t)
-        for b, t in buffers.items()
-    }
-    src = with_derived(df, derived)
-    agg = src.groupingSets([list(s) for s in sets], *all_keys).agg(
-        *_aggs(filtered), F.expr("GROUPING_ID() AS __gid")
-    )
+    plan = plan_sets(specs)
+    agg = plan.aggregate(df)
     if cut:
         # Checkpointed into the session's checkpoint folder: the aggregate is
         # computed once, its lineage (the scan) is cut, and the results below
@@ -254,15 +288,7 @@ def run_specs_fused(
         # over the same path reads its files again.
         ensure_checkpoint_dir(df.sparkSession)
         agg = agg.checkpoint(eager=True)
-    out = {}
-    for name, spec in specs.items():
-        part = agg.where(f"__gid = {gid_of(spec.keys)}").selectExpr(*[q(c) for c in (*spec.keys, *spec.buffers)])
-        if not spec.keys and spec.counts_only:
-            cols = list(spec.buffers)
-            zero = df.sparkSession.range(1).selectExpr(*[f"CAST(0 AS BIGINT) AS {q(c)}" for c in cols])
-            part = part.unionByName(zero).agg(*[F.expr(f"SUM({q(c)}) AS {q(c)}") for c in cols])
-        out[name] = spec.finish(part)
-    return out, agg
+    return plan.finish(agg), agg
 
 
 def grouped_stats(
