@@ -151,8 +151,8 @@ def test_rollup_variants_equal_direct_grouping(spark):
     from cirrus.sources.derived import orders_readings
 
     o = orders_readings(spark, SF01)
-    direct = period_over_period(o, ["city"], "recorded_at", "month", "temperature", decimals=2)
-    rolled = period_over_period(o, ["city"], "recorded_at", "month", "temperature", decimals=2, via_day="date")
+    direct = period_over_period(o, ["city"], "recorded_at", "month", "temperature")
+    rolled = period_over_period(o, ["city"], "recorded_at", "month", "temperature", via_day="date")
     assert [tuple(r) for r in direct.collect()] == [tuple(r) for r in rolled.collect()]
     args = (o, "city", S.CONTINENT_OF_CITY, "Other", "temperature", "continent", 2)
     a = mapped_rollup_rank(*args, distinct_alias="city_count")
