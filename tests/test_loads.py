@@ -136,7 +136,42 @@ def test_jdbc_loads_over_embedded_derby(spark):
     mark = T0 - dt.timedelta(hours=3)
     inc = jdbc_incremental_load(spark, url, mark, rows_per_partition=10, max_retries=1)
     assert inc.count() == 6
-    assert "GreaterThan" in inc._jdf.queryExecution().executedPlan().toString()
+
+
+def _history(spark):
+    """Nulls, one crowded time, one crowded minute, and a sparse year."""
+    times = [None] * 7 + [T0] * 120 + [T0 + dt.timedelta(seconds=i % 60, microseconds=i) for i in range(200)]
+    times += [T0 - dt.timedelta(days=i) for i in range(1, 300)]
+    data = [("O'Hare" if i % 3 else "Orly", "US", float(i), 0.0, 1, 1, "d", 1.0, 1, t) for i, t in enumerate(times)]
+    return data
+
+
+def test_slices_are_even_and_hold_every_row_once(spark):
+    url = "jdbc:derby:memory:cirrus_slices;create=true"
+    data = _history(spark)
+    w = frame(spark, data).write.format("jdbc").option("url", url).option("createTableColumnTypes", "city VARCHAR(64)")
+    w.option("dbtable", "weather_data").mode("overwrite").save()
+    full = jdbc_full_load(spark, url, rows_per_partition=50, max_retries=1)
+    sizes = [len(p) for p in full.select("temperature").rdd.glom().collect()]
+    assert sum(sizes) == len(data) and max(sizes) <= 80 and len(sizes) >= len(data) // 50
+    assert sorted(r[0] for r in full.select("temperature").collect()) == sorted(d[2] for d in data)
+    assert full.where("recorded_at IS NULL").count() == 7
+    for mark in (T0, T0 + dt.timedelta(seconds=3, microseconds=5), T0 + dt.timedelta(days=9)):
+        newer = jdbc_incremental_load(spark, url, mark, rows_per_partition=50, max_retries=1)
+        want = sorted(d[2] for d in data if d[-1] is not None and d[-1] > mark)
+        assert sorted(r[0] for r in newer.select("temperature").collect()) == want
+
+
+def test_jdbc_times_do_not_depend_on_the_session_zone(spark):
+    url = "jdbc:derby:memory:cirrus_zone;create=true"
+    frame(spark, rows(n=30)).write.format("jdbc").option("url", url).option("dbtable", "weather_data").mode("overwrite").save()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = jdbc_incremental_load(spark, url, T0 - dt.timedelta(hours=4), rows_per_partition=2, max_retries=1)
+        assert sorted(r[0] for r in got.select("recorded_at").collect()) == [T0 - dt.timedelta(hours=h) for h in (3, 2, 1, 0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_incremental_run_from_jdbc(spark, tmp_dir):
