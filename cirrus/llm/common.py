@@ -21,6 +21,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
 
 
+# pandas turns integer columns that hold a null into floats, so ids travel
+# through pandas workers as text.
+def id_text(doc_id: str = "doc_id") -> Column:
+    return F.col(doc_id).cast("string").alias(doc_id)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

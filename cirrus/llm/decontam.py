@@ -28,11 +28,10 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def terms(text: Column) -> Column:
     """Words (runs of ASCII letters, digits and all beyond ASCII) with A-Z lower-cased.
 
-    lower() does that at once unless the text has other capitals, which stay."""
+    lower() does just that in a text of ASCII only; it would change other capitals,
+    which stay, also ones newer than the tables of regular expressions."""
     t = F.coalesce(text, F.lit(""))
-    ascii_lower = F.when(
-        t.rlike(r"[\p{Lu}\p{Lt}\p{IsUppercase}&&[^A-Z]]"), F.translate(t, _UPPER, _UPPER.lower())
-    ).otherwise(F.lower(t))
+    ascii_lower = F.when(t.rlike(r"[^\x00-\x7F]"), F.translate(t, _UPPER, _UPPER.lower())).otherwise(F.lower(t))
     return F.filter(F.split(ascii_lower, _GAP), lambda w: w != "")
 
 

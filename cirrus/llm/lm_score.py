@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import cut, sized
+from cirrus.llm.common import cut, id_text, sized
 
 SYMBOLS = 48  # ids: 0 the edge of a text, 1 to 46 code points, 47 any other
 ORDER = 4
@@ -162,8 +162,10 @@ def lm_scores(
             })
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = texts.mapInPandas(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double")
+    scored = texts.select(id_text(), "text").mapInPandas(
+        score, "doc_id string, n_tokens long, target_loss double, background_loss double"
+    )
     return scored.select(
-        "doc_id", "n_tokens", F.nanvl("target_loss", F.lit(None)).alias("target_loss"),
+        F.col("doc_id").cast(kind).alias("doc_id"), "n_tokens", F.nanvl("target_loss", F.lit(None)).alias("target_loss"),
         F.nanvl("background_loss", F.lit(None)).alias("background_loss"),
     ).withColumn("score", F.col("target_loss") - F.col("background_loss"))

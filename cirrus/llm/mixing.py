@@ -103,7 +103,12 @@ def mixed_sizes(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of the mix, each repeated as often as it was taken."""
-    out = mix(docs, text_size(F.col("text")), wide=True).where(F.col("copies") > 0)
+    """The rows of the mix, each repeated as often as it was taken, with the
+    columns of ``docs`` as they were.
+
+    Null texts, and texts without words, have size 0 and may be taken; repeated
+    rows count each on their own; an empty table gives no rows."""
+    hidden = {c: f"__in_{c}" for c in docs.columns if c.lower() in ("size", "source_size", "target", "copies")}
+    out = mix(docs.withColumnsRenamed(hidden), text_size(F.col("text")), wide=True).where(F.col("copies") > 0)
     out = out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return out.select(*[F.col(c) for c in docs.columns])
+    return out.select(*[F.col(hidden.get(c, c)).alias(c) for c in docs.columns])

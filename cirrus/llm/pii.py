@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cirrus.llm.common import id_text
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -258,7 +260,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
+    found = docs.select(id_text(), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
         search,
-        f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string",
+        f"doc_id string, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string",
     )
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import cut
+from cirrus.llm.common import cut, id_text
 from cirrus.session import ensure_checkpoint_dir
 
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -61,7 +61,7 @@ def write_flat(docs: DataFrame, path: str, ranks: dict[bytes, int], end: int = E
             out = []
             if len(b):
                 file = int(b["file"].iat[0])
-                out.append(row(first=docs_done, ids=[None if pd.isna(x) else int(x) for x in b["doc_id"]]))
+                out.append(row(first=docs_done, ids=b["doc_id"].tolist()))
                 docs_done += len(b)
             for t in b["text"]:
                 held.append(np.array([*coder.encode_ordinary(t or ""), end], dtype=width))
@@ -81,8 +81,8 @@ def write_flat(docs: DataFrame, path: str, ranks: dict[bytes, int], end: int = E
         if n:
             yield pd.DataFrame([row(blocks, np.concatenate(held).tobytes())], columns=["file", "block", "tokens", "first", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.spark_partition_id().alias("file"))
-    packed = rows.mapInPandas(pack, "file int, block int, tokens binary, first long, ids array<long>")
+    rows = docs.select(id_text(), "text", F.spark_partition_id().alias("file"))
+    packed = rows.mapInPandas(pack, "file int, block int, tokens binary, first long, ids array<string>")
     packed.write.option("compression", "zstd").parquet(path)
 
 
@@ -158,13 +158,15 @@ def token_counts(docs: DataFrame, ranks_path: str = RANKS, path: str | None = No
     The files are written to ``path`` or a new folder below the shared
     checkpoint folder, read back and scanned; documents are matched to their
     names by file and ordinal.  A null or empty text has no tokens; repeated
-    rows and null ids each keep a row.
+    rows and null ids each keep a row.  Ids may be of any type that survives a
+    cast to text and back.
     """
     spark = docs.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark)}/flat-{uuid.uuid4().hex}"
     write_flat(docs, path, load_ranks(spark, ranks_path))
-    flat = spark.read.schema("file int, block int, tokens binary, first long, ids array<long>").parquet(path)
+    kind = docs.schema["doc_id"].dataType
+    flat = spark.read.schema("file int, block int, tokens binary, first long, ids array<string>").parquet(path)
     names = flat.where("ids is not null").select("file", "first", F.posexplode("ids").alias("k", "doc_id"))
     names = names.select("file", (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
     counted = stitch(cut(scan(flat.where("tokens is not null"))))
-    return names.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    return names.join(counted, ["file", "ordinal"]).select(F.col("doc_id").cast(kind).alias("doc_id"), "n_tokens")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import cut, words
+from cirrus.llm.common import cut, id_text, words
 from cirrus.llm.sampling import held_out, labelled_sample
 
 MAX_TRAIN_ROWS = 20_000  # bound of the fitted sample
@@ -181,9 +181,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, categories: Sequence[str
             yield pd.DataFrame({"doc_id": b["doc_id"], **{f"p_{c}": p[:, i] for i, c in enumerate(categories)}})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
-        score, f"doc_id {kind}, {', '.join(f'p_{c} double' for c in categories)}"
+    scored = docs.select(id_text(), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
+        score, f"doc_id string, {', '.join(f'p_{c} double' for c in categories)}"
     )
+    scored = scored.withColumn("doc_id", F.col("doc_id").cast(kind))
     last = F.col(f"p_{categories[-1]}")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), *[f"p_{c}" for c in categories],
