@@ -184,3 +184,38 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hit = cut(contamination(docs, benchmark).select(F.col("key").alias("__k")))
     keyed = docs.withColumn("__key", text_key(F.col("text")))
     return keyed.join(sized(hit, 32), F.col("__key") == F.col("__k"), "left_anti").select(*docs.columns)
+
+
+def _oracle() -> str:
+    """The result in DuckDB: every window of every text, of each length that an
+    item's windows have, looked up among the items' windows."""
+    letters = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+    split = f"list_filter(string_split_regex({letters}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    leads = ", ".join(f"lead(word, {k}) OVER (PARTITION BY id ORDER BY i) AS w{k}" for k in range(1, WINDOW))
+    grams = "\n  UNION ALL ".join(
+        f"SELECT id, i, {n} AS n, word{''.join(f" || ' ' || w{k}" for k in range(1, n))} AS gram FROM {{0}}" for n in range(1, WINDOW + 1)
+    )
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {split} AS w FROM documents),
+items AS (SELECT row_number() OVER () AS id, coalesce(item_id::VARCHAR, '') AS item, {split} AS w FROM benchmark),
+doc_words AS (SELECT id, unnest(range(len(w))) AS i, unnest(w) AS word FROM docs),
+item_words AS (SELECT id, unnest(range(len(w))) AS i, unnest(w) AS word FROM items),
+doc_ahead AS (SELECT *, {leads} FROM doc_words),
+item_ahead AS (SELECT *, {leads} FROM item_words),
+item_grams AS ({grams.replace("{0}", "item_ahead")}),
+windows AS (
+  SELECT DISTINCT t.item, g.n, g.gram FROM item_grams g JOIN items t USING (id)
+  WHERE g.n = least(len(t.w), {WINDOW}) AND g.gram IS NOT NULL),
+doc_grams AS ({grams.replace("{0}", "doc_ahead")}),
+found AS (
+  SELECT d.id, d.i, d.n, w.item FROM doc_grams d JOIN windows w ON w.n = d.n AND w.gram = d.gram),
+hit AS (SELECT id, count(*) AS n_hit FROM (SELECT DISTINCT id, unnest(range(i, i + n)) AS i FROM found) GROUP BY id),
+which AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, item FROM found) GROUP BY id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(k.n_items, 0) AS n_items,
+       sha256(coalesce(k.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h USING (id) LEFT JOIN which k USING (id)
+"""
+
+
+ORACLE_SQL = _oracle()

@@ -74,4 +74,8 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op11_scale_tiled_runs": periodic.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op8_positional_index": decontam.ORACLE_SQL,
+    "op11_scale_tiled_runs": periodic.ORACLE_SQL,
+    "op13_merkle_manifest": merkle.ORACLE_SQL,
+}
