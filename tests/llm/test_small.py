@@ -325,6 +325,19 @@ def shares(a, b):
     return bool({*order_minhash.sketch(a), *order_minhash.short_keys(a)} & {*order_minhash.sketch(b), *order_minhash.short_keys(b)})
 
 
+def test_bins_never_say_more_edits_than_there_are(spark):
+    r = random.Random(3)
+    rows = []
+    for n in (1, 5, 40, 300):
+        for _ in range(20):
+            a = text(r.random(), n, 30).split()
+            b = edited(a, r.randrange(1, n + 1), r) or ["x"]
+            rows.append((edits(a, b), *(order_minhash.bins(order_minhash.word_hashes(x)).tolist() for x in (a, b))))
+    d = spark.createDataFrame(rows, "e int, a array<tinyint>, b array<tinyint>")
+    got = d.select("e", order_minhash._edits_at_least(d.a, d.b).alias("least")).collect()
+    assert all(0 <= x["least"] <= x["e"] for x in got) and any(x["least"] == x["e"] > 0 for x in got)
+
+
 @pytest.mark.parametrize("share", [0.1, 0.15, 0.2])
 def test_share_of_similar_pairs_that_meet(share):
     r = random.Random(int(100 * share))
