@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -142,26 +143,76 @@ def test_gam_learns_an_interaction():
     assert len(gam.fit(x[:0], y[:0]).score(x)) == 4000 and (gam.fit(x[:5], np.ones(5)).score(x) > 0.8).all()
 
 
-def test_lm_losses_against_brute_force():
-    s, order = 5, 3
-    r = random.Random(4)
-    seq = [0, 0] + [r.randrange(1, s) for _ in range(300)]
-    counts = collections.Counter(tuple(seq[i : i + order]) for i in range(len(seq) - order + 1))
-    grams = np.array([(a * s + b) * s + c for a, b, c in counts])
-    table = lm_score.losses(grams, np.array(list(counts.values())), s, order)
-
-    def p(h, w):
-        c = collections.Counter()
-        for g, n in counts.items():
-            if g[order - 1 - len(h) : order - 1] == h:
-                c[g[-1]] += n
-        lower = p(h[1:], w) if h else 1 / s
-        k = max(1, len(c))
-        return (c[w] + k * lower) / (sum(c.values()) + k)
-
-    for g in random.Random(5).sample(range(s**order), 60):
-        h, w = (g // s // s, g // s % s), g % s
-        assert abs(table[g] + np.log(p(h, w))) < 1e-4
+def lm_brute_force(texts, targets, order):
+    """Mean losses (target, background) of every text, by counting in dictionaries."""
+    vocabulary = len({c for t in texts for c in t})
+    out = [[] for _ in texts]
+    for chosen in (targets, range(len(texts))):
+        counts = collections.Counter()
+        for i in chosen:
+            padded = ["", "", ""] + list(texts[i])
+            for j in range(3, len(padded)):
+                for n in range(order):
+                    counts[(tuple(padded[j - n : j]), padded[j])] += 1
+        seen, kinds = collections.Counter(), collections.Counter()
+        for (h, _), n in counts.items():
+            seen[h] += n
+            kinds[h] += 1
+
+        def p(h, w):
+            lower = p(h[1:], w) if h else 1 / vocabulary
+            k = max(1, kinds[h])
+            return (counts[h, w] + k * lower) / (seen[h] + k)
+
+        for i, t in enumerate(texts):
+            padded = ["", "", ""] + list(t)
+            each = [-np.log(p(tuple(padded[j - order + 1 : j]), padded[j])) for j in range(3, len(padded))]
+            out[i].append(np.mean(each) if each else None)
+    return out
+
+
+@pytest.mark.parametrize(("order", "bits"), [(4, 20), (4, 3), (2, 1), (3, 6)])
+def test_lm_scores_against_brute_force(docs_of, spark, order, bits):
+    r = random.Random(order)
+    letters = "abcde \u00e7\u4e2d\U0001f600\x00"
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(30)] + ["", "z", "\U0010ffff" * 9]
+    good = [i for i in range(len(texts)) if i % 3 == 1 and zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, int(i % 3 == 1), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in lm_score.lm_scores(docs_of(list(enumerate(texts))), labels, order, bits).collect()}
+    for i, (target, background) in enumerate(lm_brute_force(texts, good, order)):
+        assert got[i].n_tokens == len(texts[i])
+        if texts[i]:
+            assert abs(got[i].target_loss - target) < 1e-9 and abs(got[i].background_loss - background) < 1e-9
+            assert got[i].score == got[i].target_loss - got[i].background_loss
+        else:
+            assert got[i].target_loss is None and got[i].score is None
+
+
+def test_lm_pieces_meet_at_their_borders():
+    texts = ["", "abcdefghij", "k", "", "lmnop"]
+    want = [g for t in texts for g in lm_grams(t)]
+    for size in (1, 2, 3, 4, 100):
+        got = []
+        for symbols, place, owner in lm_score.pieces(texts, 3, size):
+            ctx, following = lm_score.grams(symbols, place, 4)
+            got += zip(owner.tolist(), ctx.tolist(), following.tolist())
+            summed = collections.Counter(zip(ctx.tolist(), following.tolist()))
+            told = [dict(zip(zip(c.tolist(), f.tolist()), n.tolist())) for c, f, n in lm_score.tally(symbols, place, 4)]
+            assert sum((collections.Counter(x) for x in told), collections.Counter()) == summed
+        assert [g[1:] for g in got] == want and [g[0] for g in got] == [1] * 10 + [2] + [4] * 5
+
+
+def lm_grams(text):
+    padded = [0, 0, 0] + [ord(c) + 1 for c in text]
+    return [(padded[j - 3] << 42 | padded[j - 2] << 21 | padded[j - 1], padded[j]) for j in range(3, len(padded))]
+
+
+def test_lm_halves_a_piece_of_many_symbols():
+    text = "".join(chr(0x10000 + i) for i in range(60_000))
+    (symbols, place, _), = lm_score.pieces([text], 3)
+    told = list(lm_score.tally(symbols, place, 4))
+    assert len(told) > 1
+    assert sorted(g for c, f, _ in told for g in zip(c.tolist(), f.tolist())) == sorted(lm_grams(text))
 
 
 def test_lm_prefers_texts_like_the_target(docs_of, spark):
