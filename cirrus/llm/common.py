@@ -46,6 +46,34 @@ def cut_wide(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Step:
+    """A table that the steps of a loop replace: Parquet in the shared folder.
+
+    Once a step is written, the table before it is removed: what is written is
+    read from its own files only, so nothing refers to the old ones.  Small
+    files are read together, however many partitions wrote them."""
+
+    def __init__(self, df: DataFrame):
+        self.path = None
+        self.put(df)
+
+    def put(self, df: DataFrame) -> None:
+        spark, old = df.sparkSession, self.path
+        self.path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+        df.write.parquet(self.path)
+        self.rows = spark.read.schema(df.schema).parquet(self.path)
+        if old:
+            _remove(spark, old)
+
+    def drop(self) -> None:
+        _remove(self.rows.sparkSession, self.path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` (already cut) marked for broadcast if its counted rows, at
     ``row_bytes`` each, are within ``limit``; otherwise unchanged, so the join

@@ -376,19 +376,6 @@ def shares(a, b):
     return bool({*order_minhash.sketch(a), *order_minhash.short_keys(a)} & {*order_minhash.sketch(b), *order_minhash.short_keys(b)})
 
 
-def test_bins_never_say_more_edits_than_there_are(spark):
-    r = random.Random(3)
-    rows = []
-    for n in (1, 5, 40, 300):
-        for _ in range(20):
-            a = text(r.random(), n, 30).split()
-            b = edited(a, r.randrange(1, n + 1), r) or ["x"]
-            rows.append((edits(a, b), *(order_minhash.bins(order_minhash.word_hashes(x)).tolist() for x in (a, b))))
-    d = spark.createDataFrame(rows, "e int, a array<tinyint>, b array<tinyint>")
-    got = d.select("e", order_minhash._edits_at_least(d.a, d.b).alias("least")).collect()
-    assert all(0 <= x["least"] <= x["e"] for x in got) and any(x["least"] == x["e"] > 0 for x in got)
-
-
 @pytest.mark.parametrize("share", [0.1, 0.15, 0.2])
 def test_share_of_similar_pairs_that_meet(share):
     r = random.Random(int(100 * share))
@@ -574,3 +561,24 @@ def test_components_chains_stars_and_repeats(spark):
     want = {i: 1 for i in range(1, 13)} | {i: 100 for i in [*range(100, 140), 150, 200]} | {300: 300, 301: 300}
     assert len(got) == len(want) and {r["key"]: r["label"] for r in got} == want
     assert order_minhash.components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def test_signatures_never_reject_a_similar_pair(spark):
+    r = random.Random(11)
+    rows = []
+    for n in (1, 2, 9, 60, 400, 3000):
+        for _ in range(25):
+            a = [f"w{int(r.paretovariate(0.7))}" for _ in range(n)]
+            b = list(a)
+            for _ in range(r.randrange(0, n // 3 + 2)):
+                i = r.randrange(len(b) + 1)
+                b[i : i + r.randrange(2)] = [f"v{r.randrange(50)}"] * r.randrange(2)
+            ids = {}
+            x, y = (np.array([ids.setdefault(w, len(ids)) for w in t], dtype=np.int64) for t in (a, b))
+            true = order_minhash._bits(x, y, max(len(x), len(y)) + 1)
+            bits = [order_minhash.parity(order_minhash.word_hashes(t)).tolist() for t in (a, b)]
+            rows.append((bits[0], len(a), bits[1], len(b), true))
+    df = spark.createDataFrame(rows, "p array<long>, n int, q array<long>, m int, true int")
+    least = order_minhash._edits_at_least(F.col("p"), F.col("n"), F.col("q"), F.col("m"))
+    got = df.select(least.alias("least"), "true").collect()
+    assert all(g.least <= g.true for g in got) and sum(g.least >= 0.9 * g.true for g in got) > 60
