@@ -157,11 +157,15 @@ _SPELLED = re.compile(
 _TOKEN = re.compile(rf"plus|dot|{'|'.join(REPEATS)}|{_WORD}|[0-9]+", re.I)
 _ANY_WORD = re.compile(rf"\b(?:{_WORD})\b", re.I)
 _TLD = "|".join(ENDINGS)
-_DOT_MARK = re.compile(r"\s*[(\[{<]\s*(?:dot|punkt|point|punto|\.)\s*[)\]}>]\s*", re.I)
-_DOT_WORD = re.compile(rf"(?<=[A-Za-z0-9])\s+(?:dot|\.)\s+(?=(?:[A-Za-z0-9-]+(?:\s+dot\s+|\s*\.\s*))*(?:{_TLD})\b)", re.I)
-_LOCAL_DOT = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9_%+-]+(?:\s+dot\s+[A-Za-z0-9_%+-]+)*@)", re.I)
+# A run of blanks is entered at its start only, and chains are read whole, so that every pattern is linear.
+_DOT_MARK = re.compile(r"(?:(?<!\s)\s+)?[(\[{<]\s*(?:dot|punkt|point|punto|\.)\s*[)\]}>]\s*", re.I)
+_DOT_WORD = re.compile(r"(?<=[A-Za-z0-9])\s+(?:dot|\.)\s+", re.I)
+_LABELS = re.compile(r"(?<![A-Za-z0-9-])[A-Za-z0-9-]++(?:(?:\s+dot\s+|\s*\.\s*)[A-Za-z0-9-]++)*+", re.I)
+_LABEL = re.compile(rf"(?:^|\s+dot\s+|\s*\.\s*)((?:{_TLD})\b)?[A-Za-z0-9-]*+", re.I)
+_LOCAL_DOT = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+", re.I)
+_LOCALS = re.compile(r"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:\s+dot\s+[A-Za-z0-9_%+-]++)*+", re.I)
 _NUMBER_DOT = re.compile(r"(?<=[0-9])\s*(?:\bdot\b|\s\.)\s*(?=[0-9])", re.I)
-_AT_MARK = re.compile(r"\s*[(\[{<]\s*(?:at|arroba|@)\s*[)\]}>]\s*", re.I)
+_AT_MARK = re.compile(r"(?:(?<!\s)\s+)?[(\[{<]\s*(?:at|arroba|@)\s*[)\]}>]\s*", re.I)
 _AT_SIGN = re.compile(r"(?<=[A-Za-z0-9])(?:\s+@\s*|\s*@\s+)(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 
 
@@ -178,6 +182,34 @@ def _bare_at(m: "Mapped") -> Callable[[re.Match], str | None]:
     return make
 
 
+def _dots(borders: list[tuple[int, int]]) -> Callable[[re.Match], str | None]:
+    """A dot for a match inside one of the stretches (start, end), which ascend."""
+    at = 0
+
+    def make(x: re.Match) -> str | None:
+        nonlocal at
+        while at < len(borders) and borders[at][1] < x.end():
+            at += 1
+        return "." if at < len(borders) and borders[at][0] <= x.start() else None
+
+    return make
+
+
+def _domains(text: str) -> list[tuple[int, int]]:
+    """From the start of each chain of labels to the start of its last known ending."""
+    out = []
+    for chain in _LABELS.finditer(text):
+        last = [x.start(1) for x in _LABEL.finditer(chain.group()) if x.group(1)]
+        if last and last[-1] > 0:
+            out.append((chain.start(), chain.start() + last[-1]))
+    return out
+
+
+def _local_parts(text: str) -> list[tuple[int, int]]:
+    """Chains of words joined by "dot" that end at an @."""
+    return [x.span() for x in _LOCALS.finditer(text) if text[x.end() : x.end() + 1] == "@"]
+
+
 def _digits(m: re.Match) -> str | None:
     """Digits of a run with at least three spelled ones."""
     if len(_ANY_WORD.findall(m.group())) < 3:
@@ -207,12 +239,13 @@ def rewrite(text: str) -> Mapped:
         m = m.rewritten(_SPELLED, _digits)
     dotted = "dot" in low or " ." in low or any(x in low for x in ("punkt", "punto", "point", "[.", "(.", "{.", "<."))
     if dotted:
-        m = m.rewritten(_DOT_MARK, lambda _: ".").rewritten(_DOT_WORD, lambda _: ".").rewritten(_NUMBER_DOT, lambda _: ".")
+        m = m.rewritten(_DOT_MARK, lambda _: ".")
+        m = m.rewritten(_DOT_WORD, _dots(_domains(m.text))).rewritten(_NUMBER_DOT, lambda _: ".")
         m = m.rewritten(_AT_WORD, _bare_at(m))
-    if "@" in low or any(x in low for x in ("at)", "at]", "at}", "at>", "at )", "at ]", "arroba")):
+    if "@" in low or _AT_MARK.search(low):
         m = m.rewritten(_AT_MARK, lambda _: "@").rewritten(_AT_SIGN, lambda _: "@")
     if dotted and "@" in m.text:
-        m = m.rewritten(_LOCAL_DOT, lambda _: ".")
+        m = m.rewritten(_LOCAL_DOT, _dots(_local_parts(m.text)))
     return m
 
 

@@ -582,3 +582,18 @@ def test_signatures_never_reject_a_similar_pair(spark):
     least = order_minhash._edits_at_least(F.col("p"), F.col("n"), F.col("q"), F.col("m"))
     got = df.select(least.alias("least"), "true").collect()
     assert all(g.least <= g.true for g in got) and sum(g.least >= 0.9 * g.true for g in got) > 60
+
+
+@pytest.mark.parametrize("unit", ["a dot ", "dot a . a . ", "x dot y" + " " * 300, "- dot ", "a dot b@", "a" * 300 + " dot", "x" + " " * 300 + "("])
+def test_disguises_are_read_in_linear_time(unit):
+    import time
+
+    t = (unit * 100_000)[:300_000]
+    began = time.time()
+    pii.find_disguised(t, pii.find(t))
+    assert time.time() - began < 20
+
+
+@pytest.mark.parametrize("t", ["user { at } host.com", "user < at > host.com", "user (  at\n) host.com", "a dot b at host dot co dot uk"])
+def test_any_bracketed_at_is_read(t):
+    assert pii.find_disguised(t, pii.find(t)) == [(0, 0, len(t))]
