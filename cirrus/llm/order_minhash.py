@@ -6,7 +6,8 @@ functions the two least labelled k-mers are kept in the order of the text;
 texts agree in a sketch if they share both k-mers in that order, which favours
 small edit distances over mere overlap.  Short texts have too few k-mers for
 that, so they also get their rarest labelled word pairs as keys, so many that
-two similar ones always share one.
+two similar ones always share one.  Texts that share a sketch with very many
+others get them as well.
 Candidates are verified by a banded alignment of their words: similarity =
 1 - edits / words of the longer text.
 """
@@ -14,12 +15,11 @@ Candidates are verified by a banded alignment of their words: similarity =
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from itertools import count
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cirrus.llm.common import Step, cut, id_text, sized, text_key
@@ -30,8 +30,8 @@ KEPT = 2  # k-mers of a sketch
 SIMILARITY = 0.8
 SHORT = 30  # pairs whose longer text has at most so many words are found by exact keys
 SMALL = 16  # buckets of at most so many texts are paired out
-HOT = 65_536  # word pairs of short texts that are known to be frequent; sets the cost, never the result
-DRAWS = 2  # of new hubs in a round; a search ends after a round without a link
+MIDDLE = 512  # larger buckets that hubs don't settle are split by exact keys; sets the cost, never the result
+HOT = 65_536  # word pairs that are known to be frequent; sets the cost, never the result
 BITS = 1024  # of a text's parity signature, from which the least number of edits follows
 _WORD = r"[^\x20\x09-\x0D]+"
 _CELLS = 1 << 16  # hashes held at once while a text is sketched
@@ -116,23 +116,26 @@ def parity(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def labelled_pairs(h: np.ndarray, most: int = SHORT) -> np.ndarray:
-    """The word pairs of a text of 4 to ``most`` words, labelled with how often
-    they occurred before, by its word hashes; none for other texts."""
-    if not 4 <= len(h) <= most:
+def labelled_pairs(h: np.ndarray, most: int | None = SHORT) -> np.ndarray:
+    """The word pairs of a text of 4 to ``most`` words (None: any number),
+    labelled with how often they occurred before, by its word hashes; none for
+    other texts."""
+    if len(h) < 4 or most and len(h) > most:
         return np.zeros(0, dtype=np.int64)
     h = kmers(h, 2)
     return _mix(h + occurrences(h) * np.uint64(0xA24BAED4963EE407)).view(np.int64)
 
 
-def pairs_needed(n: int, most: int = SHORT) -> int:
+@lru_cache(10_000)
+def pairs_needed(n: int, most: int | None = SHORT) -> int:
     """How many of its labelled pairs, in an order that all texts share, a text
     of n words needs as keys to share one with every similar text of at most
-    ``most`` words.
+    ``most`` words (None: of any length).
 
     With e edits, texts of n and l >= n words share at least l - 1 - 2 e of
     their pairs, and any set of n - 1 - (l - 1 - 2 e) + 1 pairs holds one of them."""
-    return max(n - l + 2 * _limit(l) + 1 for l in range(n, most + 1) if l - n <= _limit(l))
+    longest = most or int(n / SIMILARITY) + 1
+    return max(n - l + 2 * _limit(l) + 1 for l in range(n, longest + 1) if l - n <= _limit(l))
 
 
 def short_keys(h: np.ndarray, hot: dict[int, int] | None = None, most: int = SHORT) -> np.ndarray:
@@ -142,7 +145,7 @@ def short_keys(h: np.ndarray, hot: dict[int, int] | None = None, most: int = SHO
     return rarest(g, len(h), hot or {}, most)
 
 
-def rarest(g: np.ndarray, n: int, hot: dict[int, int], most: int = SHORT) -> np.ndarray:
+def rarest(g: np.ndarray, n: int, hot: dict[int, int], most: int | None = SHORT) -> np.ndarray:
     """:func:`short_keys` from the labelled pairs of a text of n words."""
     if len(g) == 0:
         return g
@@ -287,40 +290,41 @@ def sketched(docs: DataFrame) -> DataFrame:
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def members(nodes: DataFrame) -> DataFrame:
-    """(key, size, s) for every key s of every text, from nodes (key, size, sketches, pairs)."""
-    short = nodes.where(F.size("pairs") > 0).select("key", "size", "pairs")
-    often = short.select(F.explode("pairs").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+def chosen(rows: DataFrame, most: int | None = SHORT) -> DataFrame:
+    """rows with keys instead of their labelled pairs: the rarest, see :func:`rarest`."""
+    often = rows.select(F.explode("pairs").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     often = often.where(F.col("n") > SMALL).orderBy(F.desc("n"), "g").limit(HOT)
     hot = {r["g"]: r["n"] for r in often.collect()}
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b["pairs"] = [rarest(np.asarray(g), n, hot) for g, n in zip(b["pairs"], b["size"])]
-            yield b
+            b["keys"] = [rarest(np.asarray(g), n, hot, most) for g, n in zip(b["pairs"], b["size"])]
+            yield b[["key", "size", "keys"]]
 
-    first = short.mapInPandas(choose, "key binary, size int, pairs array<long>")
-    return nodes.select("key", "size", F.explode("sketches").alias("s")).unionByName(
-        first.select("key", "size", F.explode("pairs").alias("s"))
-    )
+    return rows.select("key", "size", "pairs").mapInPandas(choose, "key binary, size int, keys array<long>")
+
+
+def exploded(rows: DataFrame) -> DataFrame:
+    """One row for each of a text's keys, s."""
+    return rows.select(*[c for c in rows.columns if c != "keys"], F.explode("keys").alias("s"))
 
 
 def buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """key, size, s and n of every text that shares a key s with n - 1 others:
-    in buckets of at most ``SMALL`` texts, and in larger ones with the text's
-    signature and its degree there, the sum of its n."""
-    rows = members(nodes)
-    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = cut(rows.join(often, "s"))
-    large = shared.where(F.col("n") > SMALL)
-    degree = large.groupBy("key").agg(F.sum("n").alias("degree"))
-    return shared.where(F.col("n") <= SMALL), cut(large.join(degree.join(nodes.select("key", "bits"), "key"), "key"))
+    """key, size, s of every text that shares a key s with at most ``SMALL`` - 1
+    others; and for every text in larger buckets its key, size, signature, the
+    keys of those buckets and its degree there, the sum of their sizes."""
+    short = chosen(nodes.where(F.size("pairs") > 0))
+    rows = nodes.select("key", "size", F.col("sketches").alias("keys")).unionByName(short)
+    n = F.count(F.lit(1)).over(Window.partitionBy("s"))
+    shared = cut(exploded(rows).withColumn("n", n).where("n > 1"))
+    large = shared.where(F.col("n") > SMALL).groupBy("key").agg(F.sum("n").alias("degree"), F.collect_list("s").alias("keys"))
+    large = large.join(nodes.select("key", "size", "bits"), "key").select("key", "size", "bits", "degree", "keys")
+    return shared.where(F.col("n") <= SMALL).select("key", "size", "s"), cut(large)
 
 
-def _pairs(a: str, b: str, size_a: str, size_b: str) -> tuple[Column, list[Column]]:
-    """Whether the lengths of a and b allow a pair, and its columns."""
-    allowed = F.abs(F.col(size_a) - F.col(size_b)) <= (1 - SIMILARITY) * F.greatest(size_a, size_b) + 1e-9
-    return (F.col(a) != F.col(b)) & allowed, [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _limit_of(size_a: Column, size_b: Column) -> Column:
+    """:func:`_limit` of a pair's longer text."""
+    return F.floor((1 - SIMILARITY) * F.greatest(size_a, size_b) + 1e-9)
 
 
 def _edits_at_least(a: Column, size_a: Column, b: Column, size_b: Column) -> Column:
@@ -333,27 +337,11 @@ def _edits_at_least(a: Column, size_a: Column, b: Column, size_b: Column) -> Col
     return F.ceil((differ + F.abs(size_a - size_b)) / 2)
 
 
-def _met(rows: DataFrame, hubs: DataFrame, on: list[str], who: list[str]) -> DataFrame:
-    """(x, y, first) for every text x and every hub y of its buckets that may be
-    similar by lengths and signatures, once for each hub: a group shares hubs over many
-    buckets, so a text's hubs are merged first (it has no more buckets than keys).
-    first marks the hub from which the text may have the least edits."""
-    met = rows.join(hubs, on).groupBy(*who).agg(
-        F.first("bits").alias("bits"), F.array_distinct(F.flatten(F.collect_set("hubs"))).alias("hubs")
-    )
-    least = F.transform("hubs", lambda y: F.struct(
-        _edits_at_least(F.col("bits"), F.col("size"), y["bits"], y["size"]).alias("edits"), y.dropFields("bits").alias("y")
-    ))
-
-    def may(h: Column) -> Column:
-        limit = F.floor((1 - SIMILARITY) * F.greatest("size", h["y"]["size"]) + 1e-9)
-        near = F.abs(F.col("size") - h["y"]["size"]) <= limit
-        return (h["y"]["key"] != F.col("key")) & near & (h["edits"] <= limit)
-
-    met = met.select(F.struct(*who).alias("x"), F.filter(least, may).alias("hubs"))
-    return met.select("x", F.array_min("hubs").alias("best"), F.explode("hubs").alias("h")).select(
-        "x", "h.y", (F.col("h.y.key") == F.col("best.y.key")).alias("first")
-    )
+def _may(x: Column, y: Column) -> Column:
+    """Whether x and y (size, bits) may be similar: false only if they are not."""
+    limit = _limit_of(x["size"], y["size"])
+    near = F.abs(x["size"] - y["size"]) <= limit
+    return near & (_edits_at_least(x["bits"], x["size"], y["bits"], y["size"]) <= limit)
 
 
 def candidates(small: DataFrame, large: DataFrame) -> DataFrame:
@@ -363,55 +351,140 @@ def candidates(small: DataFrame, large: DataFrame) -> DataFrame:
     A small bucket is paired out.  In a larger one each member is paired with
     the least and the greatest key, which are the same for the many buckets of
     a group, and with the member of the greatest degree: the original of a
-    group is in the large buckets of all its sketches, each copy in some.
+    group is in the large buckets of all its sketches, each copy in some.  The
+    pairs that this leaves in two classes are those of :func:`remaining`.
     """
-    member, hub = F.struct("key", "size"), F.struct("key", "size", "bits")
-    few = small.groupBy("s").agg(F.collect_list(member).alias("all")).select("all", F.posexplode("all").alias("i", "x"))
+    pair = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
+    few = small.groupBy("s").agg(F.collect_list(F.struct("key", "size")).alias("all"))
+    few = few.select("all", F.posexplode("all").alias("i", "x"))
     few = few.select("x", F.explode(F.slice("all", F.col("i") + 2, F.lit(SMALL))).alias("y"))
-    hubs = large.groupBy("s").agg(
-        F.min(hub).alias("lo"), F.max(hub).alias("hi"), F.max(F.struct("degree", "key", "size", "bits")).alias("top")
+    few = few.where(F.abs(F.col("x.size") - F.col("y.size")) <= _limit_of(F.col("x.size"), F.col("y.size")))
+    few = few.select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).select(*pair, F.lit(True).alias("first"))
+
+    of, hub = Window.partitionBy("s"), F.struct("key", "size", "bits")
+    top = F.max(F.struct("degree", *("key", "size", "bits"))).over(of)
+    met = exploded(large).select(
+        hub.alias("own"), F.array(F.min(hub).over(of), F.max(hub).over(of), top.dropFields("degree")).alias("hubs")
     )
-    hubs = hubs.select("s", F.array("lo", "hi", F.struct("top.key", "top.size", "top.bits")).alias("hubs"))
-    met = _met(large, hubs, ["s"], ["key", "size"])
-    ok, pair = _pairs("x.key", "y.key", "x.size", "y.size")
-    few = few.where(ok).select(*pair, F.lit(True).alias("first"))
-    return few.unionByName(met.where(ok).select(*pair, "first")).groupBy("a", "b").agg(F.max("first").alias("first"))
+    x = F.col("own")
+    met = met.select("own", F.filter("hubs", lambda y: (y["key"] != x["key"]) & _may(x, y)).alias("hubs"))
+    met = met.select(x["key"].alias("x"), F.transform("hubs", lambda y: F.struct(
+        _edits_at_least(x["bits"], x["size"], y["bits"], y["size"]).alias("edits"), y["key"].alias("y")
+    )).alias("hubs"))
+    # A group shares hubs over many buckets, so a text's hubs are merged before they are paired with it.
+    met = met.groupBy("x").agg(F.array_distinct(F.flatten(F.collect_set("hubs"))).alias("hubs"))
+    met = met.select("x", F.array_min("hubs").alias("best"), F.explode("hubs").alias("h")).select(
+        "x", "h.y", (F.col("h.y") == F.col("best.y")).alias("first")
+    )
+    return few.unionByName(met.select(*pair, "first")).groupBy("a", "b").agg(F.max("first").alias("first"))
+
+
+def unsettled(rows: DataFrame) -> DataFrame:
+    """rows (key, label, s, ...) of the keys s whose texts are in two classes or more, with their count n."""
+    of = Window.partitionBy("s")
+    counts = {"n": F.count(F.lit(1)).over(of), "lo": F.min("label").over(of), "hi": F.max("label").over(of)}
+    return rows.withColumns(counts).where("lo <> hi").drop("lo", "hi")
 
 
-def candidates_again(large: DataFrame, labels: DataFrame, salt: int) -> DataFrame:
-    """Pairs (a, b) of keys in different classes, with new hubs.
+def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, edits) for every pair of texts in different classes that share a
+    large bucket, except pairs that cannot be similar; edits: at least so many.
 
-    Large buckets are divided by length, at other places for each ``salt``.
-    Where such a part holds more than one class, each member is paired with two
-    hubs, unless of its class: a member drawn by hash, and the member of the
-    greatest degree of a class drawn by hash, so that small classes have a turn.
+    Buckets of up to ``MIDDLE`` texts are compared by signature.  Larger ones
+    are split by the exact keys of short texts, here at any length: of all
+    texts in them, similar ones share one of their rarest labelled word pairs,
+    so those that share none are left out without having been compared.
     """
-    band = F.floor(F.log(F.col("size")) / 0.5 + 0.382 * salt)
-    x = large.where(F.col("size") > 0).join(labels, "key", "left").withColumns(
-        {"label": F.coalesce("label", "key"), "band": band}
-    )
-    hub = F.struct("key", "size", "label", "bits")
-    hubs = x.groupBy("s", "band").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"),
-        F.min_by(hub, F.xxhash64("key", "s", F.lit(salt))).alias("h1"),
-        F.min_by(hub, F.struct(F.xxhash64("label", "s", F.lit(salt)), -F.col("degree"), "key")).alias("h2"),
+    x = large.drop("degree").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    x = unsettled(exploded(x)).groupBy("key").agg(
+        *(F.first(c).alias(c) for c in ("size", "bits", "label")),
+        F.collect_list(F.when(F.col("n") <= MIDDLE, F.col("s"))).alias("keys"), F.max(F.col("n") > MIDDLE).alias("wide"),
     )
-    hubs = hubs.where("lo <> hi").select("s", "band", F.array("h1", "h2").alias("hubs"))
-    met = _met(x, hubs, ["s", "band"], ["key", "size", "label"])
-    ok, pair = _pairs("x.key", "y.key", "x.size", "y.size")
-    return met.where("x.label <> y.label").where(ok).select(*pair).distinct()
+    x = cut(x)
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import re
+
+        word = re.compile(_WORD)
+        for b in batches:
+            yield pd.DataFrame({
+                "key": b["key"], "size": b["size"],
+                "pairs": [labelled_pairs(word_hashes(word.findall(t)), None) for t in b["text"]],
+            })
+
+    texts = texts_of(docs, nodes, x.where("wide").select("key"), "size")
+    paired = cut(texts.mapInPandas(pairs, "key binary, size int, pairs array<long>"))
+    keys = chosen(paired, None).select("key", "keys")
+    rows = x.drop("wide").unionByName(x.drop("wide", "keys").join(keys, "key"))
+    return compared(unsettled(exploded(rows)))
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """(a, b, edits) of all pairs in different classes that share a key s and
+    may be similar, from :func:`unsettled` rows.
+
+    A bucket is dealt into parts of about ``MIDDLE`` texts, and any two parts
+    are compared as one group, so that no group holds more than two parts."""
+    parts = F.ceil(F.col("n") / MIDDLE).cast("int")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
+    group = ["s", "i", "j"]
+    rows = rows.select(
+        "s", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "key", "label", "size", "bits"
+    ).repartition(*group).sortWithinPartitions(*group)
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the last group of a batch may go on in the next
+        for b in batches:
+            b = b if held is None else pd.concat([held, b], ignore_index=True)
+            starts = np.flatnonzero((b[group] != b[group].shift()).any(axis=1))
+            yield _close(b.iloc[: starts[-1]], starts)
+            held = b.iloc[starts[-1] :].reset_index(drop=True)
+        if held is not None:
+            yield _close(held, np.zeros(1, dtype=np.int64))
+
+    return rows.mapInPandas(compare, "a binary, b binary, edits int").distinct()
+
+
+def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """:func:`compared` for whole groups, which begin at ``starts``."""
+    out: dict[str, list] = {"a": [], "b": [], "edits": []}
+    if len(b):
+        key, size = b["key"].to_numpy(), b["size"].to_numpy(dtype=np.int64)
+        bits, label = np.stack(b["bits"].to_list()).view(np.uint64), np.unique(b["label"], return_inverse=True)[1]
+        part, mixed = b["part"].to_numpy(), (b["i"] != b["j"]).to_numpy()
+        ends = [*starts[starts < len(b)][1:], len(b)]
+        for start, end in zip(starts, ends):
+            for x in range(start, end - 1):
+                y = np.arange(x + 1, end)
+                longest, differ = np.maximum(size[x], size[y]), np.abs(size[x] - size[y])
+                limit = ((1 - SIMILARITY) * longest + 1e-9).astype(np.int64)
+                ok = (label[y] != label[x]) & (differ <= limit)
+                if mixed[x]:
+                    ok &= part[y] != part[x]
+                y, limit, differ = y[ok], limit[ok], differ[ok]
+                edits = (np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) + differ + 1) // 2
+                for z, e in zip(y[edits <= limit], edits[edits <= limit]):
+                    out["a"].append(min(key[x], key[z]))
+                    out["b"].append(max(key[x], key[z]))
+                    out["edits"].append(e)
+    return pd.DataFrame(out)
+
+
+def texts_of(docs: DataFrame, nodes: DataFrame, keys: DataFrame, *more: str) -> DataFrame:
+    """key, text and more columns of nodes, once for each of the distinct keys."""
+    asked = cut(keys.join(nodes.select("key", "rep", *more), "key").withColumnsRenamed({"key": "__k", "rep": "__rep"}))
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = rows.join(sized(asked, 64), (F.col("key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__rep")))
+    return texts.select("key", "text", *more).dropDuplicates(["key"])
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose texts align at ``least`` or more.
 
     Only texts that are in a pair are shuffled, once for each side."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", "rep"), "key")
-    asked = cut(asked.select(F.col("key").alias("__k"), F.col("rep").alias("__rep")))
-    rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    asked = sized(asked, 64)
-    texts = rows.join(asked, (F.col("key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__rep")))
-    texts = texts.select("key", "text").dropDuplicates(["key"])
+    asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    texts = texts_of(docs, nodes, asked)
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
@@ -475,9 +548,10 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """:func:`components` of the similar texts.
+    """:func:`components` of the similar texts that share a key.
 
-    Rounds of ``DRAWS`` draws of new hubs go on until one joins no classes."""
+    Hubs link most of a large bucket; each pair that they leave in two classes
+    is then verified, unless a bound or its exact keys rule it out."""
     small, large = buckets(nodes)
     tested = cut(candidates(small, large))
     labels = components(cut(verified(docs, nodes, tested.where("first").select("a", "b"))))
@@ -486,14 +560,17 @@ def linked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     found = cut(verified(docs, nodes, rest))
     if not found.isEmpty():
         labels = joined(labels, found)
-    for first in count(1, DRAWS):
-        draws = [candidates_again(large, labels, salt) for salt in range(first, first + DRAWS)]
-        pairs = cut(reduce(DataFrame.unionByName, draws).distinct().join(tested, ["a", "b"], "left_anti"))
-        found = cut(verified(docs, nodes, pairs))
-        if found.isEmpty():
-            return labels
-        tested = cut(tested.unionByName(pairs))
+    left = cut(remaining(docs, nodes, large, labels).join(tested, ["a", "b"], "left_anti"))
+    # Again each text's most alike one first, and the others where that leaves two classes.
+    ends = left.select("a", "b", "edits").union(left.select("b", "a", "edits"))
+    best = ends.groupBy("a").agg(F.min(F.struct("edits", "b")).alias("best")).select("a", "best.b")
+    best = cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    found = cut(verified(docs, nodes, best))
+    if not found.isEmpty():
         labels = joined(labels, found)
+    rest = cut(across(left.select("a", "b").join(best, ["a", "b"], "left_anti"), labels))
+    found = cut(verified(docs, nodes, rest))
+    return labels if found.isEmpty() else joined(labels, found)
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

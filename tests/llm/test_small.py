@@ -363,6 +363,72 @@ def test_original_joins_copies_that_are_not_alike(docs_of, n, edits_each):
     assert {x["class_id"] for x in got} == {0}
 
 
+def crowd(r, n=700):
+    """Texts that share a passage, so that they share sketches, and a few that
+    are each like one of them."""
+    passage = text(3, 60, 5000).split()
+    rows = [[*passage, *text(1000 + i, 60, 5000).split()] for i in range(n)]
+    rows += [changed(rows[i], 10, r) for i in (100, 200, 300)]
+    return rows
+
+
+@pytest.mark.parametrize("middle", [512, 64])
+def test_links_in_crowded_buckets_that_no_hub_touches(spark, docs_of, monkeypatch, middle):
+    monkeypatch.setattr(order_minhash, "MIDDLE", middle, raising=False)
+    rows = crowd(random.Random(2))
+    docs = docs_of([(i, " ".join(t)) for i, t in enumerate(rows)])
+    nodes = order_minhash.sketched(docs).withColumn("rep", F.col("doc_id"))
+    key = {r["doc_id"]: bytes(r["key"]) for r in nodes.collect()}
+    small, large = order_minhash.buckets(nodes)
+    want = {tuple(sorted((key[i], key[700 + k]))) for k, i in enumerate((100, 200, 300))}
+    # They may share a small bucket too, so the large ones are asked alone.
+    met = {(bytes(r["a"]), bytes(r["b"])) for r in order_minhash.candidates(small.limit(0), large).collect()}
+    none = spark.createDataFrame([], "key binary, label binary")
+    left = {(bytes(r["a"]), bytes(r["b"])): r["edits"] for r in order_minhash.remaining(docs, nodes, large, none).collect()}
+    assert want - met and want <= set(left) and all(left[p] <= 10 for p in want)
+    labels = spark.createDataFrame([(p[1], p[0]) for p in want], "key binary, label binary")
+    again = order_minhash.remaining(docs, nodes, large, labels).collect()
+    assert not want & {(bytes(r["a"]), bytes(r["b"])) for r in again}
+
+
+@pytest.mark.parametrize("middle", [512, 7])
+def test_groups_are_compared_whole(spark, monkeypatch, middle):
+    """All pairs of a bucket that the bound allows, however its parts and batches fall."""
+    monkeypatch.setattr(order_minhash, "MIDDLE", middle, raising=False)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        r = random.Random(4)
+        words = text(9, 40, 900).split()
+        texts = [changed(words, r.randrange(12), r) for _ in range(60)]
+        hashed = [order_minhash.word_hashes(t) for t in texts]
+        bits = [order_minhash.parity(h) for h in hashed]
+        rows = [(bytes([i]), len(h), b.tolist(), bytes([i // 2]), i % 3 // 2, 40 - 20 * (i % 3 // 2)) for i, (h, b) in enumerate(zip(hashed, bits))]
+        got = order_minhash.compared(spark.createDataFrame(rows, "key binary, size int, bits array<long>, label binary, s long, n long"))
+        want = {}
+        for i in range(60):
+            for j in range(i + 1, 60):
+                e = (sum(int(x).bit_count() for x in (bits[i] ^ bits[j]).view(np.uint64)) + abs(len(texts[i]) - len(texts[j])) + 1) // 2
+                if i // 2 != j // 2 and i % 3 // 2 == j % 3 // 2 and e <= 8:
+                    want[bytes([i]), bytes([j])] = e
+        got = [((bytes(x["a"]), bytes(x["b"])), x["edits"]) for x in got.collect()]
+        assert len(got) == len(dict(got)) and dict(got) == want and 100 < len(want) < 1000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("n", [4, 5, 9, 31, 60, 200])
+def test_similar_texts_of_any_length_share_an_exact_key(n):
+    r = random.Random(n)
+    for _ in range(60):
+        a = text(r.random(), n, 50).split()
+        b = edited(a, r.randrange(1, n // 4 + 2), r)
+        if order_minhash.similar(a, b) is not None and a != b:
+            g = [order_minhash.labelled_pairs(order_minhash.word_hashes(x), None) for x in (a, b)]
+            hot = {x: 20 + x % 7 for x in g[0].tolist() if x % 3}
+            keys = (set(order_minhash.rarest(p, len(x), hot, None)) for p, x in zip(g, (a, b)))
+            assert set.intersection(*keys)
+
+
 def edited(words, n, r):
     out = list(words)
     for _ in range(n):
