@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import Step, cut, id_text, sized, text_key
+from cirrus.llm.common import BROADCAST_BYTES, Step, cut, id_text, sized, text_key
 
 K = 3  # words of a k-mer
 SKETCHES = 64  # hash functions
@@ -292,9 +292,15 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 def chosen(rows: DataFrame, most: int | None = SHORT) -> DataFrame:
     """rows with keys instead of their labelled pairs: the rarest, see :func:`rarest`."""
-    often = rows.select(F.explode("pairs").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    often = often.where(F.col("n") > SMALL).orderBy(F.desc("n"), "g").limit(HOT)
-    hot = {r["g"]: r["n"] for r in often.collect()}
+
+    def often(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:  # what a batch holds once is hardly frequent
+            g, n = np.unique(np.concatenate(b["pairs"].to_list()), return_counts=True)
+            yield pd.DataFrame({"g": g[n > 1], "n": n[n > 1]})
+
+    counts = rows.select("pairs").mapInPandas(often, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    counts = counts.where(F.col("n") > SMALL).orderBy(F.desc("n"), "g").limit(HOT)
+    hot = {r["g"]: r["n"] for r in counts.collect()}
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -415,8 +421,9 @@ def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataF
     texts = texts_of(docs, nodes, x.where("wide").select("key"), "size")
     paired = cut(texts.mapInPandas(pairs, "key binary, size int, pairs array<long>"))
     keys = chosen(paired, None).select("key", "keys")
-    rows = x.drop("wide").unionByName(x.drop("wide", "keys").join(keys, "key"))
-    return compared(unsettled(exploded(rows)))
+    rows = x.select("key", "label", "keys").unionByName(x.select("key", "label").join(keys, "key"))
+    # Signatures are joined to what is left, so that they are not shuffled with every key.
+    return compared(unsettled(exploded(rows)).join(sized(x.select("key", "size", "bits"), 256), "key"))
 
 
 def compared(rows: DataFrame) -> DataFrame:
@@ -480,11 +487,13 @@ def texts_of(docs: DataFrame, nodes: DataFrame, keys: DataFrame, *more: str) ->
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose texts align at ``least`` or more.
+    """The pairs (a, b), already cut, whose texts align at ``least`` or more.
 
-    Only texts that are in a pair are shuffled, once for each side."""
-    asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    Only texts that are in a pair are read.  Their words are broadcast if they
+    are small, else shuffled, once for each side."""
+    asked = cut(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
     texts = texts_of(docs, nodes, asked)
+    size = asked.join(nodes.select("key", "size"), "key").agg(F.sum(8 * F.col("size") + 64)).first()[0] or 0
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
@@ -500,8 +509,9 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, least: float =
 
     # A text is parsed once, however many pairs it is in.
     numbered = texts.mapInPandas(number, "key binary, w binary")
-    both = pairs.join(numbered.select(F.col("key").alias("a"), F.col("w").alias("w_a")), "a")
-    both = both.join(numbered.select(F.col("key").alias("b"), F.col("w").alias("w_b")), "b")
+    if size <= BROADCAST_BYTES:
+        numbered, pairs = F.broadcast(numbered), pairs.repartition(pairs.count() // 1000 + 1)
+    both = pairs.join(numbered.toDF("a", "w_a"), "a").join(numbered.toDF("b", "w_b"), "b")
     return both.select("a", "b", "w_a", "w_b").mapInPandas(align, "a binary, b binary")
 
 
