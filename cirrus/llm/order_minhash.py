@@ -298,7 +298,8 @@ def chosen(rows: DataFrame, most: int | None = SHORT) -> DataFrame:
             g, n = np.unique(np.concatenate(b["pairs"].to_list()), return_counts=True)
             yield pd.DataFrame({"g": g[n > 1], "n": n[n > 1]})
 
-    counts = rows.select("pairs").mapInPandas(often, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    together = rows.select("pairs").coalesce(rows.count() // 2000 + 1)
+    counts = together.mapInPandas(often, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
     counts = counts.where(F.col("n") > SMALL).orderBy(F.desc("n"), "g").limit(HOT)
     hot = {r["g"]: r["n"] for r in counts.collect()}
 
