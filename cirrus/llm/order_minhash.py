@@ -31,7 +31,7 @@ SIMILARITY = 0.8
 SHORT = 30  # pairs whose longer text has at most so many words are found by exact keys
 SMALL = 16  # buckets of at most so many texts are paired out
 MIDDLE = 512  # larger buckets that hubs don't settle are split by exact keys; sets the cost, never the result
-HOT = 65_536  # word pairs that are known to be frequent; sets the cost, never the result
+HOT = 65_536  # word pairs that are known to repeat; sets the cost, never the result
 BITS = 1024  # of a text's parity signature, from which the least number of edits follows
 _WORD = r"[^\x20\x09-\x0D]+"
 _CELLS = 1 << 16  # hashes held at once while a text is sketched
@@ -300,7 +300,7 @@ def chosen(rows: DataFrame, most: int | None = SHORT) -> DataFrame:
 
     together = rows.select("pairs").coalesce(rows.count() // 2000 + 1)
     counts = together.mapInPandas(often, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    counts = counts.where(F.col("n") > SMALL).orderBy(F.desc("n"), "g").limit(HOT)
+    counts = counts.orderBy(F.desc("n"), "g").limit(HOT)
     hot = {r["g"]: r["n"] for r in counts.collect()}
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -393,9 +393,21 @@ def unsettled(rows: DataFrame) -> DataFrame:
     return rows.withColumns(counts).where("lo <> hi").drop("lo", "hi")
 
 
+def needed(rows: DataFrame) -> DataFrame:
+    """rows (key, label, s, n, ...) of :func:`unsettled` without the keys that another one covers.
+
+    If the texts of a key all have the same largest key, they are all among
+    that key's texts, where each pair of them is compared anyway.  A covering
+    key is never left out itself: it is the largest of the texts it covers."""
+    rows = rows.withColumn("top", F.max(F.struct("n", "s")).over(Window.partitionBy("key"))["s"])
+    of = Window.partitionBy("s")
+    rows = rows.withColumns({"lo": F.min("top").over(of), "hi": F.max("top").over(of)})
+    return rows.where("lo <> hi OR lo = s").drop("top", "lo", "hi")
+
+
 def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, edits) for every pair of texts in different classes that share a
-    large bucket, except pairs that cannot be similar; edits: at least so many.
+    """(a, b, label_a, label_b, edits) for every pair of texts in different classes that
+    share a large bucket, except pairs that cannot be similar; edits: at least so many.
 
     Buckets of up to ``MIDDLE`` texts are compared by signature.  Larger ones
     are split by the exact keys of short texts, here at any length: of all
@@ -424,21 +436,24 @@ def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataF
     keys = chosen(paired, None).select("key", "keys")
     rows = x.select("key", "label", "keys").unionByName(x.select("key", "label").join(keys, "key"))
     # Signatures are joined to what is left, so that they are not shuffled with every key.
-    return compared(unsettled(exploded(rows)).join(sized(x.select("key", "size", "bits"), 256), "key"))
+    rows = cut(needed(unsettled(exploded(rows))))
+    return compared(rows.join(sized(x.select("key", "size", "bits"), 256), "key"))
 
 
 def compared(rows: DataFrame) -> DataFrame:
-    """(a, b, edits) of all pairs in different classes that share a key s and
-    may be similar, from :func:`unsettled` rows.
+    """(a, b, label_a, label_b, edits) of all pairs in different classes that share a
+    key s and may be similar, from :func:`unsettled` rows.
 
     A bucket is dealt into parts of about ``MIDDLE`` texts, and any two parts
-    are compared as one group, so that no group holds more than two parts."""
+    are compared as one group, so that no group holds more than two parts.  A
+    pair is given once, by the least key that its texts share."""
+    rows = rows.withColumn("keys", F.collect_set("s").over(Window.partitionBy("key")))
     parts = F.ceil(F.col("n") / MIDDLE).cast("int")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
     group = ["s", "i", "j"]
     rows = rows.select(
-        "s", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "key", "label", "size", "bits"
+        "s", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "key", "label", "size", "bits", "keys"
     ).repartition(*group).sortWithinPartitions(*group)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -451,16 +466,18 @@ def compared(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield _close(held, np.zeros(1, dtype=np.int64))
 
-    return rows.mapInPandas(compare, "a binary, b binary, edits int").distinct()
+    return rows.mapInPandas(compare, "a binary, b binary, label_a binary, label_b binary, edits int")
 
 
 def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
     """:func:`compared` for whole groups, which begin at ``starts``."""
-    out: dict[str, list] = {"a": [], "b": [], "edits": []}
+    out: dict[str, list] = {"a": [], "b": [], "label_a": [], "label_b": [], "edits": []}
     if len(b):
         key, size = b["key"].to_numpy(), b["size"].to_numpy(dtype=np.int64)
-        bits, label = np.stack(b["bits"].to_list()).view(np.uint64), np.unique(b["label"], return_inverse=True)[1]
+        bits = np.stack(b["bits"].to_list()).view(np.uint64)
+        names, label = np.unique(b["label"], return_inverse=True)
         part, mixed = b["part"].to_numpy(), (b["i"] != b["j"]).to_numpy()
+        own, keys = b["s"].to_list(), [frozenset(k.tolist()) for k in b["keys"]]
         ends = [*starts[starts < len(b)][1:], len(b)]
         for start, end in zip(starts, ends):
             for x in range(start, end - 1):
@@ -473,8 +490,13 @@ def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
                 y, limit, differ = y[ok], limit[ok], differ[ok]
                 edits = (np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) + differ + 1) // 2
                 for z, e in zip(y[edits <= limit], edits[edits <= limit]):
-                    out["a"].append(min(key[x], key[z]))
-                    out["b"].append(max(key[x], key[z]))
+                    if min(keys[x] & keys[z]) != own[x]:
+                        continue
+                    i, j = (x, z) if key[x] < key[z] else (z, x)
+                    out["a"].append(key[i])
+                    out["b"].append(key[j])
+                    out["label_a"].append(names[label[i]])
+                    out["label_b"].append(names[label[j]])
                     out["edits"].append(e)
     return pd.DataFrame(out)
 
@@ -545,17 +567,25 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (a, b) of keys in different classes."""
+def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) with their classes label_a, label_b, where these differ."""
     for k in ("a", "b"):
         of = labels.select(F.col("key").alias(k), F.col("label").alias(f"label_{k}"))
         pairs = pairs.join(of, k, "left").withColumn(f"label_{k}", F.coalesce(f"label_{k}", k))
-    return pairs.where("label_a <> label_b").select("a", "b")
+    return pairs.where("label_a <> label_b").select("a", "b", "label_a", "label_b")
 
 
-def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """:func:`components` of classes and further links."""
-    return components(links.unionByName(labels.select(F.col("key").alias("a"), F.col("label").alias("b"))))
+def merged(links: DataFrame) -> DataFrame:
+    """label and to, the class that each linked class becomes, from links label_a, label_b of classes."""
+    return components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).toDF("label", "to")
+
+
+def relabelled(labels: DataFrame, moves: DataFrame) -> DataFrame:
+    """labels after the classes have become others by :func:`merged`; a text that was alone is its own class."""
+    moves = sized(moves, 64)
+    alone = moves.withColumnRenamed("label", "key").join(labels, "key", "left_anti").toDF("key", "label")
+    moved = labels.join(moves, "label", "left").select("key", F.coalesce("to", "label").alias("label"))
+    return cut(moved.unionByName(alone))
 
 
 def linked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -567,21 +597,25 @@ def linked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     tested = cut(candidates(small, large))
     labels = components(cut(verified(docs, nodes, tested.where("first").select("a", "b"))))
     # The others are needed only between classes that the first ones have left.
-    tested, rest = tested.select("a", "b"), cut(across(tested.where("not first").select("a", "b"), labels))
-    found = cut(verified(docs, nodes, rest))
+    tested, rest = tested.select("a", "b"), cut(labelled(tested.where("not first").select("a", "b"), labels))
+    found = cut(verified(docs, nodes, rest.select("a", "b")))
     if not found.isEmpty():
-        labels = joined(labels, found)
-    left = cut(remaining(docs, nodes, large, labels).join(tested, ["a", "b"], "left_anti"))
+        labels = relabelled(labels, merged(labelled(found, labels)))
+    left = cut(remaining(docs, nodes, large, labels))
     # Again each text's most alike one first, and the others where that leaves two classes.
     ends = left.select("a", "b", "edits").union(left.select("b", "a", "edits"))
     best = ends.groupBy("a").agg(F.min(F.struct("edits", "b")).alias("best")).select("a", "best.b")
     best = cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     found = cut(verified(docs, nodes, best))
+    rest = left.drop("edits").join(tested.unionByName(best), ["a", "b"], "left_anti")
     if not found.isEmpty():
-        labels = joined(labels, found)
-    rest = cut(across(left.select("a", "b").join(best, ["a", "b"], "left_anti"), labels))
+        moves = merged(labelled(found, labels))
+        labels = relabelled(labels, moves)
+        for k in ("label_a", "label_b"):
+            rest = rest.join(sized(moves.toDF(k, "to"), 64), k, "left").withColumn(k, F.coalesce("to", k)).drop("to")
+    rest = cut(rest.where("label_a <> label_b").select("a", "b"))
     found = cut(verified(docs, nodes, rest))
-    return labels if found.isEmpty() else joined(labels, found)
+    return labels if found.isEmpty() else relabelled(labels, merged(labelled(found, labels)))
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -416,6 +416,38 @@ def test_groups_are_compared_whole(spark, monkeypatch, middle):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_covered_keys_are_left_out(spark):
+    """No pair is lost with the keys whose texts all share another one."""
+    r = random.Random(5)
+    for _ in range(4):
+        nested = {s: set(range(s, 30)) for s in range(12)}  # as of texts that share a passage
+        rows = nested | {s: set(r.sample(range(36), r.randrange(2, 6))) for s in range(12, 30)}
+        table = [(bytes([t]), bytes([t]), s, len(m)) for s, m in rows.items() for t in m]
+        got = {}
+        for x in order_minhash.needed(spark.createDataFrame(table, "key binary, label binary, s long, n long")).collect():
+            got.setdefault(x["s"], set()).add(x["key"][0])
+        pairs = [{(a, b) for m in y.values() for a in m for b in m if a < b} for y in (rows, got)]
+        assert pairs[0] == pairs[1] and all(got[s] == rows[s] for s in got)
+    alone = [(t, t, s, n) for t, _, s, n in table if s < 12]
+    left = order_minhash.needed(spark.createDataFrame(alone, "key binary, label binary, s long, n long"))
+    assert {x["s"] for x in left.collect()} == {0}
+
+
+def test_comparison_of_texts_that_share_a_passage(spark, docs_of, monkeypatch):
+    """Few rows for each text, and each pair once, however long the passage."""
+    monkeypatch.setattr(order_minhash, "MIDDLE", 64)
+    passage = text(3, 150, 5000).split()
+    rows = [[*passage, *text(1000 + i, 50, 5000).split()] for i in range(200)]
+    rows += [changed(rows[i], 10, random.Random(i)) for i in (50, 100)]
+    docs = docs_of([(i, " ".join(t)) for i, t in enumerate(rows)])
+    nodes = order_minhash.sketched(docs).withColumn("rep", F.col("doc_id"))
+    given, compared = [], order_minhash.compared
+    monkeypatch.setattr(order_minhash, "compared", lambda x: (given.append(x.count()), compared(x))[1])
+    none = spark.createDataFrame([], "key binary, label binary")
+    left = order_minhash.remaining(docs, nodes, order_minhash.buckets(nodes)[1], none).select("a", "b").collect()
+    assert len(left) == len(set(left)) >= 2 and given[0] < 5 * len(rows)
+
+
 @pytest.mark.parametrize("n", [4, 5, 9, 31, 60, 200])
 def test_similar_texts_of_any_length_share_an_exact_key(n):
     r = random.Random(n)
