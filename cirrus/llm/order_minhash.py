@@ -30,7 +30,7 @@ KEPT = 2  # k-mers of a sketch
 SIMILARITY = 0.8
 SHORT = 30  # pairs whose longer text has at most so many words are found by exact keys
 SMALL = 16  # buckets of at most so many texts are paired out
-MIDDLE = 512  # larger buckets that hubs don't settle are split by exact keys; sets the cost, never the result
+MIDDLE = 2048  # texts compared with each other at once; buckets over twice that are split by exact keys; sets the cost, never the result
 HOT = 65_536  # word pairs that are known to repeat; sets the cost, never the result
 BITS = 1024  # of a text's parity signature, from which the least number of edits follows
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -409,7 +409,7 @@ def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataF
     """(a, b, label_a, label_b, edits) for every pair of texts in different classes that
     share a large bucket, except pairs that cannot be similar; edits: at least so many.
 
-    Buckets of up to ``MIDDLE`` texts are compared by signature.  Larger ones
+    Buckets of up to twice ``MIDDLE`` texts are compared by signature.  Larger ones
     are split by the exact keys of short texts, here at any length: of all
     texts in them, similar ones share one of their rarest labelled word pairs,
     so those that share none are left out without having been compared.
@@ -417,7 +417,7 @@ def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataF
     x = large.drop("degree").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     x = unsettled(exploded(x)).groupBy("key").agg(
         *(F.first(c).alias(c) for c in ("size", "bits", "label")),
-        F.collect_list(F.when(F.col("n") <= MIDDLE, F.col("s"))).alias("keys"), F.max(F.col("n") > MIDDLE).alias("wide"),
+        F.collect_list(F.when(F.col("n") <= 2 * MIDDLE, F.col("s"))).alias("keys"), F.max(F.col("n") > 2 * MIDDLE).alias("wide"),
     )
     x = cut(x)
 
@@ -480,8 +480,10 @@ def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         own, keys = b["s"].to_list(), [frozenset(k.tolist()) for k in b["keys"]]
         ends = [*starts[starts < len(b)][1:], len(b)]
         for start, end in zip(starts, ends):
-            for x in range(start, end - 1):
-                y = np.arange(x + 1, end)
+            order = start + np.argsort(size[start:end], kind="stable")  # by size, so that those too long for x are left at once
+            last = np.searchsorted(size[order], size[order] / SIMILARITY + 1, side="right")
+            for at, x in enumerate(order):
+                y = order[at + 1 : last[at]]
                 longest, differ = np.maximum(size[x], size[y]), np.abs(size[x] - size[y])
                 limit = ((1 - SIMILARITY) * longest + 1e-9).astype(np.int64)
                 ok = (label[y] != label[x]) & (differ <= limit)
