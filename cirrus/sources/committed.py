@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import logging
+import threading
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -76,13 +77,18 @@ def batches(spark: SparkSession, path: str) -> list[Batch]:
     return list(out.values())
 
 
+# A local file system looks for a file and creates it in two steps, between which another writer's thread may claim it.
+_CLAIMS = threading.Lock()
+
+
 def _commit(spark: SparkSession, path: str, entry: dict) -> None:
     log_folder = f"{path}/_commits"
     fs, path_of = _fs(spark, path)
     fs.mkdirs(path_of(log_folder))
-    number = max((int(n.split(".")[0]) for n in _names(spark, log_folder) if n[0].isdigit()), default=0) + 1
-    while not fs.createNewFile(path_of(f"{log_folder}/{number:010d}.claim")):
-        number += 1
+    with _CLAIMS:
+        number = max((int(n.split(".")[0]) for n in _names(spark, log_folder) if n[0].isdigit()), default=0) + 1
+        while not fs.createNewFile(path_of(f"{log_folder}/{number:010d}.claim")):
+            number += 1
     draft = path_of(f"{log_folder}/_{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(json.dumps({"number": number, **entry}).encode()))
