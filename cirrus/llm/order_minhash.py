@@ -33,6 +33,7 @@ SMALL = 16  # buckets of at most so many texts are paired out
 MIDDLE = 2048  # texts compared with each other at once; buckets over twice that are split by exact keys; sets the cost, never the result
 HOT = 65_536  # word pairs that are known to repeat; sets the cost, never the result
 BITS = 1024  # of a text's parity signature, from which the least number of edits follows
+WIDE = 8192  # of the signatures of long texts, where buckets are compared; sets the cost, never the result
 _WORD = r"[^\x20\x09-\x0D]+"
 _CELLS = 1 << 16  # hashes held at once while a text is sketched
 _FIRST_BAND = 256  # an alignment starts with this band, if the limit is larger
@@ -108,14 +109,24 @@ def _limit(longest: int, least: float = SIMILARITY) -> int:
     return int((1 - least) * longest + 1e-9)
 
 
-def parity(h: np.ndarray) -> np.ndarray:
-    """Signature of a text by its word hashes: ``BITS`` bits, each flipped by
-    every word (labelled with how often it occurred before) that falls on it."""
+def parity(h: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Signature of a text by its word hashes: bits, each flipped by every
+    word (labelled with how often it occurred before) that falls on it."""
     at = _mix(h + occurrences(h) * np.uint64(0x8CB92BA72F3D8DD7)) if len(h) else h
-    odd = np.bincount((at % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    odd = np.bincount((at % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def width(n: int) -> int:
+    """Bits of the signature of a text of n words: 4 to 8 a word, a power of two from ``BITS`` to ``WIDE``."""
+    return min(WIDE, max(BITS, 1 << (4 * n - 1).bit_length()))
+
+
+def folded(bits: np.ndarray, n: int) -> np.ndarray:
+    """The signature of n numbers that the same text has, from one of as many or more."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, n), axis=0)
+
+
 def labelled_pairs(h: np.ndarray, most: int | None = SHORT) -> np.ndarray:
     """The word pairs of a text of 4 to ``most`` words (None: any number),
     labelled with how often they occurred before, by its word hashes; none for
@@ -413,6 +424,8 @@ def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataF
     are split by the exact keys of short texts, here at any length: of all
     texts in them, similar ones share one of their rarest labelled word pairs,
     so those that share none are left out without having been compared.
+    Here long texts get signatures of up to ``WIDE`` bits: in the first ones many of
+    their words fall on the same bit, which hides edits.
     """
     x = large.drop("degree").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     x = unsettled(exploded(x)).groupBy("key").agg(
@@ -421,23 +434,26 @@ def remaining(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataF
     )
     x = cut(x)
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
 
         word = re.compile(_WORD)
         for b in batches:
+            hashed = [word_hashes(word.findall(t)) for t in b["text"]]
             yield pd.DataFrame({
-                "key": b["key"], "size": b["size"],
-                "pairs": [labelled_pairs(word_hashes(word.findall(t)), None) for t in b["text"]],
+                "key": b["key"], "size": b["size"], "bits": [parity(h, width(len(h))) for h in hashed],
+                "pairs": [labelled_pairs(h if w else h[:0], None) for h, w in zip(hashed, b["wide"])],
             })
 
-    texts = texts_of(docs, nodes, x.where("wide").select("key"), "size")
-    paired = cut(texts.mapInPandas(pairs, "key binary, size int, pairs array<long>"))
-    keys = chosen(paired, None).select("key", "keys")
+    asked = F.col("wide") | (4 * F.col("size") > BITS)
+    texts = texts_of(docs, nodes, x.where(asked).select("key", "size", "wide"))
+    texts = cut(texts.mapInPandas(read, "key binary, size int, bits array<long>, pairs array<long>"))
+    keys = chosen(texts.where(F.size("pairs") > 0), None).select("key", "keys")
     rows = x.select("key", "label", "keys").unionByName(x.select("key", "label").join(keys, "key"))
     # Signatures are joined to what is left, so that they are not shuffled with every key.
     rows = cut(needed(unsettled(exploded(rows))))
-    return compared(rows.join(sized(x.select("key", "size", "bits"), 256), "key"))
+    signed = x.where(~asked).select("key", "size", "bits").unionByName(texts.select("key", "size", "bits"))
+    return compared(rows.join(sized(signed, 128 + WIDE // 8), "key"))
 
 
 def compared(rows: DataFrame) -> DataFrame:
@@ -474,7 +490,8 @@ def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
     out: dict[str, list] = {"a": [], "b": [], "label_a": [], "label_b": [], "edits": []}
     if len(b):
         key, size = b["key"].to_numpy(), b["size"].to_numpy(dtype=np.int64)
-        bits = np.stack(b["bits"].to_list()).view(np.uint64)
+        wide = [x.view(np.uint64) for x in b["bits"]]
+        bits = np.stack([folded(x, BITS // 64) for x in wide])
         names, label = np.unique(b["label"], return_inverse=True)
         part, mixed = b["part"].to_numpy(), (b["i"] != b["j"]).to_numpy()
         own, keys = b["s"].to_list(), [frozenset(k.tolist()) for k in b["keys"]]
@@ -491,8 +508,12 @@ def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
                     ok &= part[y] != part[x]
                 y, limit, differ = y[ok], limit[ok], differ[ok]
                 edits = (np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) + differ + 1) // 2
-                for z, e in zip(y[edits <= limit], edits[edits <= limit]):
-                    if min(keys[x] & keys[z]) != own[x]:
+                near = edits <= limit
+                for z, e, most, apart in zip(*(v[near].tolist() for v in (y, edits, limit, differ))):
+                    n = min(len(wide[x]), len(wide[z]))
+                    if n > bits.shape[1]:  # both have wider ones
+                        e = (int(np.bitwise_count(folded(wide[x], n) ^ folded(wide[z], n)).sum()) + apart + 1) // 2
+                    if e > most or min(keys[x] & keys[z]) != own[x]:
                         continue
                     i, j = (x, z) if key[x] < key[z] else (z, x)
                     out["a"].append(key[i])
@@ -503,12 +524,12 @@ def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def texts_of(docs: DataFrame, nodes: DataFrame, keys: DataFrame, *more: str) -> DataFrame:
-    """key, text and more columns of nodes, once for each of the distinct keys."""
-    asked = cut(keys.join(nodes.select("key", "rep", *more), "key").withColumnsRenamed({"key": "__k", "rep": "__rep"}))
+def texts_of(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
+    """keys, distinct ones and what columns they have, with their texts."""
+    asked = cut(keys.join(nodes.select("key", "rep"), "key").withColumnsRenamed({"key": "__k", "rep": "__rep"}))
     rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     texts = rows.join(sized(asked, 64), (F.col("key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__rep")))
-    return texts.select("key", "text", *more).dropDuplicates(["key"])
+    return texts.select("text", *keys.columns).dropDuplicates(["key"])
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -448,6 +448,40 @@ def test_comparison_of_texts_that_share_a_passage(spark, docs_of, monkeypatch):
     assert len(left) == len(set(left)) >= 2 and given[0] < 5 * len(rows)
 
 
+def test_long_texts_that_share_a_passage_are_not_aligned(spark, docs_of):
+    """Three quarters of their words are common: only copies of one are left to align."""
+    passage = text(3, 600, 5000).split()
+    rows = [[*passage, *text(1000 + i, 200, 5000).split()] for i in range(60)]
+    rows += [changed(rows[i], 40, random.Random(i)) for i in (10, 20)] + [rows[30][:-100]]
+    docs = docs_of([(i, " ".join(t)) for i, t in enumerate(rows)])
+    nodes = order_minhash.sketched(docs).withColumn("rep", F.col("doc_id"))
+    key = {r["doc_id"]: bytes(r["key"]) for r in nodes.collect()}
+    none = spark.createDataFrame([], "key binary, label binary")
+    left = order_minhash.remaining(docs, nodes, order_minhash.buckets(nodes)[1], none).collect()
+    want = {tuple(sorted((key[i], key[j]))) for i, j in ((10, 60), (20, 61), (30, 62))}
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in left}
+    assert want <= got and len(got) < 10
+    assert all(r["edits"] <= 100 for r in left if (bytes(r["a"]), bytes(r["b"])) in want)
+
+
+def test_signatures_of_unlike_width():
+    r = random.Random(8)
+    for n in (0, 5, 128, 129, 500, 3000):
+        h = order_minhash.word_hashes(text(n, n, 300).split())
+        wide = order_minhash.parity(h, order_minhash.WIDE)
+        for bits in (1024, 2048, 8192):
+            assert (order_minhash.folded(wide, bits // 64) == order_minhash.parity(h, bits)).all()
+        assert len(order_minhash.parity(h, order_minhash.width(n))) * 64 == order_minhash.width(n)
+        if n:
+            a = text(n, n, 300).split()
+            b = edited(a, n // 6 + 1, r)
+            x, y = (order_minhash.parity(order_minhash.word_hashes(t), order_minhash.WIDE).view(np.uint64) for t in (a, b))
+            ids = {w: i for i, w in enumerate({*a, *b})}
+            e = order_minhash._bits(*(np.array([ids[w] for w in t], dtype=np.int64) for t in (a, b)), n)
+            assert int(np.bitwise_count(x ^ y).sum()) + abs(len(a) - len(b)) <= 2 * e
+    assert [order_minhash.width(n) for n in (0, 256, 257, 1025, 10**6)] == [1024, 1024, 2048, 8192, 8192]
+
+
 @pytest.mark.parametrize("n", [4, 5, 9, 31, 60, 200])
 def test_similar_texts_of_any_length_share_an_exact_key(n):
     r = random.Random(n)
