@@ -494,11 +494,12 @@ def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         bits = np.stack([folded(x, BITS // 64) for x in wide])
         names, label = np.unique(b["label"], return_inverse=True)
         part, mixed = b["part"].to_numpy(), (b["i"] != b["j"]).to_numpy()
-        own, keys = b["s"].to_list(), [frozenset(k.tolist()) for k in b["keys"]]
+        own, keys = b["s"].to_list(), b["keys"].to_list()
         ends = [*starts[starts < len(b)][1:], len(b)]
         for start, end in zip(starts, ends):
             order = start + np.argsort(size[start:end], kind="stable")  # by size, so that those too long for x are left at once
             last = np.searchsorted(size[order], size[order] / SIMILARITY + 1, side="right")
+            sets: dict[int, set[int]] = {}  # keys of the group's texts that come near another
             for at, x in enumerate(order):
                 y = order[at + 1 : last[at]]
                 longest, differ = np.maximum(size[x], size[y]), np.abs(size[x] - size[y])
@@ -513,7 +514,12 @@ def _close(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
                     n = min(len(wide[x]), len(wide[z]))
                     if n > bits.shape[1]:  # both have wider ones
                         e = (int(np.bitwise_count(folded(wide[x], n) ^ folded(wide[z], n)).sum()) + apart + 1) // 2
-                    if e > most or min(keys[x] & keys[z]) != own[x]:
+                    if e > most:
+                        continue
+                    for k in (x, z):
+                        if k not in sets:
+                            sets[k] = set(keys[k].tolist())
+                    if min(sets[x] & sets[z]) != own[x]:
                         continue
                     i, j = (x, z) if key[x] < key[z] else (z, x)
                     out["a"].append(key[i])
